@@ -3,49 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import inf
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slumberline.rules import EVERY_NTH, SPLIT_SEED, SPLIT_WEIGHTS
+from slumberline.session import materialize
 
 SPLIT_NAMES = ("train", "test")
 
 
-def with_dense_index(rows: DataFrame, key: str, ranges: int | None = None) -> DataFrame:
-    """Add ``idx``: 0, 1, 2, … in the order of ``key``, a numeric column that is unique and never null.
+def with_dense_index(rows: DataFrame, *key: str) -> DataFrame:
+    """Add ``idx``: 0, 1, 2, … in the order of ``key``, whose columns together tell rows apart.
 
-    A ranking over the whole table would sort it in one task. Here quantiles of the key cut it into
-    ``ranges`` of like size (one per shuffle partition by default), each range is ranked by itself,
-    and the count of rows before it is added. The cut points are plain numbers once found, so a
-    recomputed task finds the same ranges. What is broadcast is one row per range.
+    A ranking over the whole table would sort it in one task. Here the rows are partitioned by range
+    and sorted within, so that a row's place is its partition and its position there. The placed
+    rows are stored: cut points come from a sample, and a second run of the same plan could place
+    them otherwise. What is added to a position is the count of rows in earlier partitions; that
+    table, which is broadcast, has one row per shuffle partition.
     """
-    spark = rows.sparkSession
-    ranges = ranges or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = [position / ranges for position in range(1, ranges)]
-    cuts = rows.approxQuantile(key, shares, max(1 / (4 * ranges), 1e-4)) or [0.0]
-    cutter = Bucketizer(splits=[-inf, *sorted(set(cuts)), inf], inputCol=key, outputCol="_range")
-
-    sizes = cutter.transform(rows.select(key)).groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-
-    in_range = F.row_number().over(Window.partitionBy("_range").orderBy(key))
-    return (
-        cutter.transform(rows)
-        .withColumn("_rank", in_range)
-        .join(F.broadcast(starts), "_range")
-        .withColumn("idx", (F.col("_start") + F.col("_rank") - 1).cast("bigint"))
-        .drop("_range", "_rank", "_start")
-    )
-
-
-def every_nth(rows: DataFrame, key: str, n: int = EVERY_NTH, ranges: int | None = None) -> DataFrame:
+    in_order = rows.repartitionByRange(*key).sortWithinPartitions(*key)
+    placed = materialize(in_order.withColumn("_place", F.monotonically_increasing_id()), "placed")
+    # Fixed values of the generated id: the partition above bit 33, the position below it.
+    placed = placed.withColumn("_partition", F.shiftright("_place", 33))
+    position = F.col("_place").bitwiseAND((1 << 33) - 1)
+
+    sizes = placed.groupBy("_partition").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_partition", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    indexed = placed.join(F.broadcast(starts), "_partition").withColumn("idx", F.col("_start") + position)
+    return indexed.drop("_partition", "_place", "_start")
+
+
+def every_nth(rows: DataFrame, key: Sequence[str], n: int = EVERY_NTH) -> DataFrame:
     """Every ``n``-th row by ``key``, starting with the first; ``idx`` is its position among all rows."""
-    indexed = with_dense_index(rows, key, ranges)
-    return indexed.filter(F.col("idx") % n == 0)
+    return with_dense_index(rows, *key).filter(F.col("idx") % n == 0)
 
 
 def hash_split(

@@ -71,14 +71,16 @@ def sensor_filter_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(of_sensors(read_events_table(spark, sf_dir), REPLAYED))
 
 
+def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_hour(of_sensor(read_events_table(spark, sf_dir), RULE.sensor_id), RULE)
+
+
 def hour_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    featured = with_hour(of_sensor(read_events_table(spark, sf_dir), RULE.sensor_id), RULE)
-    return _plain(featured.select(EVENT_ID, "timestamp", *FEATURES))
+    return _plain(_featured(spark, sf_dir).select(EVENT_ID, "timestamp", *FEATURES))
 
 
 def night_pressure_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    featured = with_hour(of_sensor(read_events_table(spark, sf_dir), RULE.sensor_id), RULE)
-    return _plain(with_label(featured, RULE).select(EVENT_ID, "hour_of_day", LABEL))
+    return _plain(with_label(_featured(spark, sf_dir), RULE).select(EVENT_ID, "hour_of_day", LABEL))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +101,7 @@ def topic_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def every_nth_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     replayed = of_sensors(read_events_table(spark, sf_dir), REPLAYED)
-    sampled = sampling.every_nth(replayed.select(EVENT_ID, "sensor_id", "value"), EVENT_ID)
+    sampled = sampling.every_nth(replayed.select(EVENT_ID, "sensor_id", "value"), [EVENT_ID])
     return _plain(sampled.select("idx", EVENT_ID, "sensor_id", "value"))
 
 
@@ -107,13 +109,11 @@ def every_nth_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pressure_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats, _ = describe(read_events_table(spark, sf_dir), RULE)
-    return _plain(stats, 6)
+    return _plain(reports.pressure_stats(_featured(spark, sf_dir)), 6)
 
 
 def hour_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, hours = describe(read_events_table(spark, sf_dir), RULE)
-    return _plain(hours)
+    return _plain(reports.hour_distribution(_featured(spark, sf_dir)))
 
 
 def _through_csv(table: DataFrame, label: str) -> DataFrame:
@@ -136,7 +136,7 @@ def hours_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_features(read_events_table(spark, sf_dir), RULE, key=[EVENT_ID])
+    return split_features(read_events_table(spark, sf_dir), RULE, key=[EVENT_ID], carry=[EVENT_ID])
 
 
 def _params(tol: float = ModelParams.tol) -> list[ModelParams]:

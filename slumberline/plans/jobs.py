@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from slumberline.functions.messages import encode_messages
 from slumberline.operators.features import of_sensor, of_sensors, with_hour
 from slumberline.operators.learning import load_model, save_model
-from slumberline.operators.reports import hour_distribution, pressure_stats
+from slumberline.operators.reports import hour_distribution_of_hours, hourly_readings, pressure_stats_of_hours
 from slumberline.plans.training import Training, split_features, train
 from slumberline.rules import REPLAYED_SENSORS, SPLIT_WEIGHTS, ModelParams, SleepRule
 from slumberline.sources.csv_reports import write_csv
@@ -19,15 +20,19 @@ from slumberline.streaming.scoring import score_messages, start_console, start_p
 
 
 def describe(events: DataFrame, rule: SleepRule) -> tuple[DataFrame, DataFrame]:
-    """Statistics of the sensor's readings, and its events per hour of day."""
-    featured = with_hour(of_sensor(events, rule.sensor_id), rule)
-    return pressure_stats(featured), hour_distribution(featured)
+    """Statistics of the sensor's readings, and its events per hour of day, from one pass over the events.
 
+    The pass runs at once; what it leaves is one row per hour, so showing or writing the reports reads nothing again.
+    """
+    hourly = hourly_readings(with_hour(of_sensor(events, rule.sensor_id), rule))
+    hourly = events.sparkSession.createDataFrame(hourly.collect(), hourly.schema)
+    return pressure_stats_of_hours(hourly), hour_distribution_of_hours(hourly)
 
-def write_description(events: DataFrame, rule: SleepRule, stats_path: str, hours_path: str) -> None:
-    stats, hours = describe(events, rule)
-    write_csv(stats, stats_path)
-    write_csv(hours, hours_path)
+
+def write_tables(tables: Mapping[str, DataFrame]) -> None:
+    """Write each table to its path as CSV."""
+    for path, table in tables.items():
+        write_csv(table, path)
 
 
 def train_and_save(
@@ -51,6 +56,13 @@ def replay_records(events: DataFrame, sensor_ids: Sequence[str] = REPLAYED_SENSO
     return encode_messages(of_sensors(complete, sensor_ids))
 
 
+def publish_replay(events: DataFrame, sensor_ids: Sequence[str], write: Callable[[DataFrame], None]) -> int:
+    """Publish the complete events of some sensors; the number of records is counted on the way."""
+    replayed = Observation()
+    write(replay_records(events, sensor_ids).observe(replayed, F.count(F.lit(1)).alias("records")))
+    return replayed.get["records"]
+
+
 def start_scoring(
     spark: SparkSession,
     records: DataFrame,

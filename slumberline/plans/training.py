@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slumberline.operators.features import feature_table
+from slumberline.operators.features import feature_table, of_sensor
 from slumberline.operators.learning import WEIGHT, feature_cells, fit_cells, fit_scaler_cells, score_each
 from slumberline.operators.metrics import area_under_roc, classification_report, confusion_matrix
 from slumberline.operators.reports import label_distribution, split_counts
@@ -21,10 +21,15 @@ BY_MODEL = ("reg",)
 
 
 def split_features(
-    events: DataFrame, rule: SleepRule, key: Sequence[str], weights: Sequence[float] = SPLIT_WEIGHTS
+    events: DataFrame,
+    rule: SleepRule,
+    key: Sequence[str],
+    weights: Sequence[float] = SPLIT_WEIGHTS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Labelled feature rows with their key and their side of the split."""
-    return hash_split(feature_table(events, rule, carry=key), key, weights)
+    """Labelled feature rows with their side of the split, which hangs on ``key``, after the ``carry`` columns."""
+    split_events = hash_split(of_sensor(events, rule.sensor_id), key, weights)
+    return feature_table(split_events, rule, carry=[*carry, "split"])
 
 
 @dataclass(frozen=True)
@@ -47,6 +52,10 @@ class Training:
     def report(self) -> DataFrame:
         return classification_report(self.confusion_matrix(), BY_MODEL)
 
+    def metrics(self) -> DataFrame:
+        """All quality figures of a model in one row."""
+        return self.report().join(F.broadcast(self.area_under_roc()), list(BY_MODEL))
+
     def area_under_roc(self) -> DataFrame:
         areas = [(reg, area_under_roc(self.scored.filter(F.col("reg") == reg), WEIGHT)) for reg in self.models]
         return self.cells.sparkSession.createDataFrame(areas, "reg double, auc double")

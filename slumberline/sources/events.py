@@ -37,7 +37,7 @@ def canonical_events(raw: DataFrame, columns: EventColumns = EventColumns()) ->
     """Rename and type the columns of ``raw``; a sensor id that is text already stays a bare column,
     so that a filter on it still reaches the scan."""
     sensor = F.col(columns.sensor_id)
-    if not isinstance(raw.schema[raw.select(sensor).columns[0]].dataType, T.StringType):
+    if not isinstance(raw.select(sensor).schema[0].dataType, T.StringType):
         sensor = sensor.cast("string")
     in_utc = raw.sparkSession.conf.get("spark.sql.session.timeZone") in UTC_NAMES
     selected = [

@@ -87,8 +87,11 @@ def peek(
     """The first ``n`` records by ``position``, decoded; fewer if there are fewer. Waits for none and commits nothing.
 
     Records in a column format should say ``columnar``: the ``n``-th position is then found from the
-    position columns alone, and other columns are read only up to it.
+    position columns alone, and other columns are read only up to it. Without a position the order
+    of the source is taken as it is.
     """
+    if not position:
+        return decode_messages(records.limit(n))
     if columnar:
         first = records.select(*position).orderBy(*position).limit(n)
         last = first.agg(F.max(F.struct(*position)).alias("last")).first()["last"]

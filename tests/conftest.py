@@ -10,15 +10,11 @@ from slumberline.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests",
         "local[8]",
-        **{
-            "spark.sql.shuffle.partitions": "8",
-            "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
-        },
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -1,0 +1,130 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from slumberline.functions.clock import epoch_millis, event_time, hour_of_day
+from slumberline.operators.features import feature_table, inference_table, of_sensors, with_hour, with_label
+from slumberline.rules import SleepRule
+from slumberline.sources.events import EXPORT_COLUMNS, EventColumns, canonical_events, read_csv_events
+
+RULE = SleepRule()
+HOUR = 3_600_000
+SCHEMA = "event_id long, timestamp long, sensor_id string, value float"
+
+
+def events(spark, *rows):
+    return spark.createDataFrame([(i, ts, "P02", value) for i, (ts, value) in enumerate(rows)], SCHEMA)
+
+
+def labels(df):
+    return [row["label"] for row in with_label(with_hour(df, RULE), RULE).orderBy("event_id").collect()]
+
+
+def test_threshold_is_strict(spark):
+    above = 500.00003  # the next 32-bit float after 500
+    assert labels(events(spark, (23 * HOUR, 500.0), (23 * HOUR, above))) == [0.0, 1.0]
+
+
+def test_night_window_bounds(spark):
+    assert labels(events(spark, *[(hour * HOUR, 600.0) for hour in (6, 7, 21, 22)])) == [1.0, 0.0, 0.0, 1.0]
+
+
+def test_window_within_one_day(spark):
+    rule = SleepRule(night_start=13, night_end=15)
+    day = events(spark, *[(hour * HOUR, 600.0) for hour in (12, 13, 14, 15)])
+    found = [row["label"] for row in with_label(with_hour(day, rule), rule).orderBy("event_id").collect()]
+    assert found == [0.0, 1.0, 1.0, 0.0]
+
+
+def test_null_and_nan_are_labelled_then_dropped(spark):
+    df = events(spark, (23 * HOUR, None), (23 * HOUR, math.nan), (None, 600.0), (23 * HOUR, 600.0))
+    assert labels(df) == [0.0, 1.0, 0.0, 1.0]
+    assert [row["event_id"] for row in feature_table(df, RULE, ["event_id"]).collect()] == [3]
+    assert [row["event_id"] for row in inference_table(df, RULE, ["event_id"]).collect()] == [3]
+
+
+def test_hour_of_a_known_instant(spark):
+    millis = F.lit(1700000000123)
+    row = spark.range(1).select(
+        event_time(millis).cast("string").alias("wall"),
+        hour_of_day(millis).alias("utc"),
+        hour_of_day(millis, "America/New_York").alias("new_york"),
+        hour_of_day(F.lit(-1)).alias("before_epoch"),
+        hour_of_day(F.lit(None).cast("bigint")).alias("unknown"),
+    ).first()
+    assert tuple(row) == ("2023-11-14 22:13:20.123", 22, 17, 23, None)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_no_result_depends_on_the_session_zone(spark, zone):
+    kept = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        raw = spark.sql(
+            "SELECT TIMESTAMP_NTZ'2024-07-01 02:30:07.999999' AS ts, 'P02' AS s, 600.0D AS v "
+            "UNION ALL SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00' AS ts, 'P02' AS s, 600.0D AS v"
+        )
+        canonical = canonical_events(raw, EventColumns("ts", "s", "v", unit="timestamp_ntz"))
+        found = with_hour(canonical, RULE).orderBy("timestamp").select("timestamp", "hour_of_day").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", kept)
+    assert [tuple(row) for row in found] == [(1710037800000, 2), (1719801007999, 2)]
+
+
+@pytest.mark.parametrize(
+    "text, unit, expected",
+    [
+        ("1700000000123", "ms", 1700000000123),
+        ("1700000000123.9", "ms", 1700000000123),
+        ("1700000000.1239", "s", 1700000000123),
+        ("1700000000", "s", 1700000000000),
+        ("2023-11-14 22:13:20.123", "timestamp_ntz", 1700000000123),
+        ("2023-11-14T22:13:20.123Z", "timestamp", 1700000000123),
+        ("soon", "ms", None),
+        ("soon", "s", None),
+        ("soon", "timestamp", None),
+        ("soon", "timestamp_ntz", None),
+        (None, "ms", None),
+    ],
+)
+def test_time_units(spark, text, unit, expected):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(epoch_millis(F.col("t"), unit)).first()[0] == expected
+
+
+def test_unknown_unit_is_refused():
+    with pytest.raises(ValueError, match="unknown time unit"):
+        epoch_millis(None, "hours")
+
+
+def test_csv_is_read_by_name_without_guessing_types(spark, tmp_path):
+    (tmp_path / "events.csv").write_text(
+        "Room,Value,Time,Sensor_ID\nbed,612.5,1700000000123,P02\nbed,ON,1700000000124,M04\n"
+        "bed,,1700000000125,P02\nbed,7,,5892\n"
+    )
+    df = read_csv_events(spark, str(tmp_path), EXPORT_COLUMNS)
+    assert df.dtypes == [("timestamp", "bigint"), ("sensor_id", "string"), ("value", "float")]
+    assert sorted(map(tuple, df.collect()), key=str) == [
+        (1700000000123, "P02", 612.5),
+        (1700000000124, "M04", None),
+        (1700000000125, "P02", None),
+        (None, "5892", 7.0),
+    ]
+    assert [tuple(row) for row in df.na.drop("any").collect()] == [(1700000000123, "P02", 612.5)]
+
+
+def test_a_missing_column_is_an_error(spark, tmp_path):
+    (tmp_path / "events.csv").write_text("Time,Sensor_ID,Value\n1,P02,2\n")
+    with pytest.raises(Exception, match="sensor_id"):
+        read_csv_events(spark, str(tmp_path))
+
+
+def test_a_numeric_sensor_id_becomes_text(spark):
+    raw = spark.createDataFrame([(1, 5892, 2.0)], "timestamp long, sensor_id int, value double")
+    assert canonical_events(raw).first()["sensor_id"] == "5892"
+
+
+def test_several_sensors(spark):
+    df = spark.createDataFrame([(1, "P02"), (2, "M04"), (3, "X")], "event_id long, sensor_id string")
+    assert of_sensors(df, ["P02", "M04"]).count() == 2

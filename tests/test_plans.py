@@ -1,0 +1,104 @@
+"""What the plans look like: these properties decide whether a query holds at a thousand times the data."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from slumberline.functions.messages import encode_messages
+from slumberline.operators.features import feature_table, of_sensor, of_sensors, with_hour
+from slumberline.operators.learning import feature_cells
+from slumberline.operators.reports import hour_distribution, pressure_stats
+from slumberline.operators.sampling import every_nth
+from slumberline.plans.catalog import QUERIES, RULE
+from slumberline.plans.training import split_features
+from slumberline.sources.events import EXPORT_COLUMNS, read_csv_events, read_events_table
+from slumberline.sources.schema import EVENT_ID
+from slumberline.streaming.scoring import scorable_rows
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return read_events_table(spark, SF_DIR)
+
+
+def test_sensor_filters_reach_the_scan(events):
+    assert "EqualTo(event_type,click)" in plan(of_sensor(events, "click"))
+    assert "In(event_type, [click,view])" in plan(of_sensors(events, ["click", "view"]))
+    assert "EqualTo(event_type,click)" in plan(feature_table(events, RULE))
+    assert "EqualTo(event_type,click)" in plan(feature_cells(split_features(events, RULE, [EVENT_ID]), ["split"]))
+
+
+def test_only_needed_columns_are_read(events):
+    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan(feature_table(events, RULE))
+    hours = hour_distribution(with_hour(of_sensor(events, "click"), RULE))
+    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan(hours)
+
+
+def test_csv_scan_reads_only_needed_columns(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("Room,Value,Time,Sensor_ID\nbed,1,2,P02\n")
+    found = plan(of_sensor(read_csv_events(spark, str(tmp_path), EXPORT_COLUMNS), "P02").select("sensor_id", "value"))
+    assert "ReadSchema: struct<Value:string,Sensor_ID:string>" in found
+    assert "EqualTo(Sensor_ID,P02)" in found
+
+
+def test_reports_shuffle_partial_aggregates_only(events):
+    featured = with_hour(of_sensor(events, "click"), RULE)
+    assert plan(pressure_stats(featured)).count("Exchange") == 1
+    hours = plan(hour_distribution(featured))
+    assert "TakeOrderedAndProject" in hours and hours.count("Exchange") == 1
+    for found in (plan(pressure_stats(featured)), hours):
+        assert "partial_" in found
+
+
+def test_cells_take_one_shuffle_with_map_side_sums(events):
+    found = plan(feature_cells(split_features(events, RULE, [EVENT_ID]), ["split"]))
+    assert found.count("Exchange") == 1 and "partial_count" in found
+
+
+def test_messages_are_parsed_once(events):
+    assert plan(scorable_rows(encode_messages(events), RULE)).count("from_json") == 1
+
+
+def test_dense_index_sorts_no_table_in_one_task(events):
+    found = plan(every_nth(of_sensors(events, ["click", "view"]), [EVENT_ID]))
+    single = found[found.index("SinglePartition") :]
+    # What goes to one task has been aggregated per partition before.
+    assert re.match(r".*?HashAggregate\(keys=\[_partition", single, re.S)
+    assert "CartesianProduct" not in found and "NestedLoop" not in found
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_row_passes_through_python_or_a_cross_join(spark, name):
+    found = plan(QUERIES[name](spark, SF_DIR))
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in found
+
+
+def test_scratch_paths_never_repeat_and_need_a_shared_folder(spark, monkeypatch):
+    from slumberline import session
+
+    assert session.scratch_path(spark, "a") != session.scratch_path(spark, "a")
+
+    class Remote:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_path(Remote, "a")
+
+
+def test_materialized_table_takes_filters(spark):
+    from slumberline.session import materialize
+
+    stored = materialize(spark.range(10).withColumn("s", F.lit("x")), "t")
+    assert "GreaterThan(id,7)" in plan(stored.filter("id > 7")) and stored.filter("id > 7").count() == 2

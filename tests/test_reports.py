@@ -1,0 +1,76 @@
+import math
+import statistics
+
+import pytest
+
+from slumberline.operators.features import with_hour
+from slumberline.operators.reports import (
+    hour_distribution,
+    hour_distribution_of_hours,
+    hourly_readings,
+    label_distribution,
+    pressure_stats,
+    pressure_stats_of_hours,
+    split_counts,
+)
+from slumberline.plans.jobs import describe
+from slumberline.rules import SleepRule
+
+HOUR = 3_600_000
+RULE = SleepRule()
+
+
+def events(spark, rows):
+    return spark.createDataFrame([(ts, "P02", value) for ts, value in rows], "timestamp long, sensor_id string, value float")
+
+
+def both_stats(spark, rows):
+    featured = with_hour(events(spark, rows), RULE)
+    return pressure_stats(featured).first(), pressure_stats_of_hours(hourly_readings(featured)).first()
+
+
+def test_no_reading_at_all(spark):
+    for stats in both_stats(spark, []):
+        assert tuple(stats) == (0, None, None, None, None)
+    featured = with_hour(events(spark, []), RULE)
+    assert hour_distribution(featured).collect() == []
+    assert hour_distribution_of_hours(hourly_readings(featured)).collect() == []
+
+
+def test_a_single_reading_has_no_deviation(spark):
+    for stats in both_stats(spark, [(0, 2.5)]):
+        assert tuple(stats) == (1, 2.5, 2.5, None, 2.5)
+
+
+def test_nulls_are_not_counted(spark):
+    for stats in both_stats(spark, [(0, 2.0), (HOUR, None), (None, 4.0)]):
+        assert tuple(stats)[:3] == (2, 2.0, 3.0)
+        assert stats["StdDev_Pressure"] == pytest.approx(math.sqrt(2))
+
+
+def test_one_pass_equals_direct_statistics(spark):
+    values = [1e6 + (i * 37 % 101) / 8 for i in range(500)]
+    for stats in both_stats(spark, [(i * HOUR // 3, value) for i, value in enumerate(values)]):
+        assert stats["Count"] == 500
+        assert stats["Mean_Pressure"] == pytest.approx(statistics.fmean(values), rel=1e-12)
+        assert stats["StdDev_Pressure"] == pytest.approx(statistics.stdev(values), rel=1e-9)
+
+
+def test_hours_come_in_order_without_the_unknown_one(spark):
+    rows = [(hour * HOUR, 1.0) for hour in (*range(23, -1, -1), 5)] + [(None, 1.0)]
+    featured = with_hour(events(spark, rows), RULE)
+    expected = [(hour, 2 if hour == 5 else 1) for hour in range(24)]
+    assert [tuple(row) for row in hour_distribution(featured).collect()] == expected
+    assert [tuple(row) for row in hour_distribution_of_hours(hourly_readings(featured)).collect()] == expected
+
+
+def test_describe_takes_the_rule_s_sensor_only(spark):
+    stats, hours = describe(events(spark, [(0, 1.0), (HOUR, 3.0)]), SleepRule(sensor_id="other"))
+    assert stats.first()["Count"] == 0 and hours.count() == 0
+
+
+def test_weighted_counts_equal_counted_rows(spark):
+    rows = spark.createDataFrame([("train", 1.0), ("train", 1.0), ("test", 0.0)], "split string, label double")
+    cells = spark.createDataFrame([("train", 1.0, 2), ("test", 0.0, 1)], "split string, label double, weight long")
+    for report in (split_counts, label_distribution):
+        assert report(rows).exceptAll(report(cells, "weight")).isEmpty()

@@ -1,0 +1,121 @@
+import pytest
+from pyspark.sql import functions as F
+
+from slumberline.functions.messages import encode_messages
+from slumberline.operators.learning import fit_model, save_model
+from slumberline.operators.sampling import side
+from slumberline.plans.jobs import start_scoring
+from slumberline.plans.training import split_features
+from slumberline.rules import ModelParams, SleepRule
+from slumberline.sources.events import read_events_table
+from slumberline.sources.schema import EVENT_ID
+from slumberline.sources.topic import publish_files, read_message_files, stream_message_files
+from slumberline.streaming.scoring import scorable_rows, score_messages, start_console, start_parquet_sink
+
+SF_DIR = "/root/testdata/sf0.001"
+RULE = SleepRule("click", 25.0)
+FILES = 5
+BAD = ["not json", '{"sensor_id":"click"}', '{"timestamp":"x","sensor_id":"click","value":1}', "", "[]"]
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return read_events_table(spark, SF_DIR)
+
+
+@pytest.fixture(scope="module")
+def model(events):
+    train_rows = side(split_features(events, RULE, [EVENT_ID]), "train")
+    return fit_model(train_rows, ModelParams(reg_param=0.0))
+
+
+@pytest.fixture
+def topic(spark, events, tmp_path):
+    """All events in several files, with bad messages among them."""
+    path = str(tmp_path / "topic")
+    publish_files(encode_messages(events).repartition(FILES), path)
+    publish_files(spark.createDataFrame([(text,) for text in BAD], "value string").coalesce(1), path)
+    return path
+
+
+def stored(spark, path):
+    return spark.read.parquet(path).drop("Processing_Time")
+
+
+def expected(spark, topic, model):
+    return score_messages(read_message_files(spark, topic), model, RULE).drop("Processing_Time")
+
+
+def test_stream_equals_batch_despite_bad_messages(spark, topic, model, tmp_path):
+    records = stream_message_files(spark, topic, max_files_per_trigger=1)
+    query = start_parquet_sink(
+        score_messages(records, model, RULE), str(tmp_path / "out"), str(tmp_path / "checkpoint"), available_now=True
+    )
+    assert query.awaitTermination(120)
+    result, batch = stored(spark, str(tmp_path / "out")), expected(spark, topic, model)
+    assert result.exceptAll(batch).isEmpty() and batch.exceptAll(result).isEmpty()
+    assert result.count() == 210
+
+    # The pace: one file per micro-batch. What was left out is counted.
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(progress) == FILES + 1
+    assert all(p["numInputRows"] <= 1000 for p in progress)
+    counted = {
+        name: sum(p["observedMetrics"][part][name] for p in progress)
+        for part, name in (("decoded", "messages"), ("decoded", "malformed"), ("decoded", "of_sensor"), ("scorable", "rows"))
+    }
+    # "not json", the mistyped field and the list cannot be read in full; an empty line counts as null.
+    assert counted["messages"] == 1000 + len(BAD)
+    assert counted["malformed"] >= 2
+    assert counted["of_sensor"] == 212 and counted["rows"] == 210
+
+
+def test_processing_time_is_one_per_batch_and_event_time_is_kept(spark, topic, model):
+    scored = score_messages(read_message_files(spark, topic), model, RULE)
+    assert scored.columns == [
+        "Processing_Time", "Event_Time_ms", "pressure_value", "hour_of_day", "Is_Sleeping_Prediction"
+    ]
+    assert scored.select("Processing_Time").distinct().count() == 1
+    assert scored.filter(F.col("Event_Time_ms").isNull()).isEmpty()
+
+
+def test_restart_goes_on_where_it_stopped(spark, topic, model, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def run(**how):
+        records = stream_message_files(spark, topic, max_files_per_trigger=1)
+        return start_parquet_sink(score_messages(records, model, RULE), out, checkpoint, **how)
+
+    first = run(interval="1 minute")  # one micro-batch, then it waits
+    while not first.lastProgress or not first.lastProgress["numInputRows"]:
+        assert first.awaitTermination(0.2) is False
+    first.stop()
+    assert 0 < stored(spark, out).count() < 210
+
+    assert run(available_now=True).awaitTermination(120)
+    result, batch = stored(spark, out), expected(spark, topic, model)
+    assert result.exceptAll(batch).isEmpty() and batch.exceptAll(result).isEmpty()
+
+    # Messages that arrive later are scored once, the others not again.
+    publish_files(spark.createDataFrame([('{"timestamp":1,"sensor_id":"click","value":9}',)], "value string"), topic)
+    assert run(available_now=True).awaitTermination(120)
+    assert stored(spark, out).count() == 211
+
+
+def test_saved_model_scores_a_stream(spark, topic, model, tmp_path):
+    path = str(tmp_path / "model")
+    save_model(model, path)
+    records = stream_message_files(spark, topic)
+    query = start_scoring(spark, records, RULE, path, str(tmp_path / "o"), str(tmp_path / "c"), available_now=True)
+    assert query.awaitTermination(120)
+    assert stored(spark, str(tmp_path / "o")).count() == 210
+    with pytest.raises(ValueError, match="checkpoint"):
+        start_scoring(spark, records, RULE, path, str(tmp_path / "o"))
+
+
+def test_console(spark, topic):
+    rows = scorable_rows(stream_message_files(spark, topic), RULE)
+    query = start_console(rows.limit(3), available_now=True)
+    assert query.awaitTermination(120)
+    assert "ConsoleTable" in query.lastProgress["sink"]["description"]
+    assert query.lastProgress["numInputRows"] > 0
