@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,11 +78,13 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
+    records = jobs.replay_records(_events(spark, args), args.sensors)
+    if args.count:
+        print(f"{records.count()} events to publish")
     if args.files:
-        write = partial(topics.publish_files, path=args.files)
+        topics.publish_files(records, args.files)
     else:
-        write = partial(topics.publish, topic=_topic(args))
-    print(f"{jobs.publish_replay(_events(spark, args), args.sensors, write)} events published")
+        topics.publish(records, _topic(args))
 
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -130,6 +131,7 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = command(publish, _add_events, _add_topic)
     sub.add_argument("--sensors", nargs="+", default=list(REPLAYED_SENSORS))
+    sub.add_argument("--count", action="store_true", help="count the events first, in a pass of its own")
 
     sub = command(score, _add_topic, _add_rule)
     sub.add_argument("--model", required=True, help="folder of a fitted model")

@@ -43,7 +43,7 @@ def test_train_publish_score_peek(spark, csv, tmp_path, capsys):
         assert heading in shown
     assert coefficients(load_model(model))[1] > 0  # higher pressure speaks for sleep
 
-    main(["publish", "--input", csv, *COLUMNS, "--files", topic])
+    main(["publish", "--input", csv, *COLUMNS, "--files", topic, "--count"])
     published = int(capsys.readouterr().out.split()[0])
     assert 1200 < published < 1500 and spark.read.text(topic).count() == published
 
