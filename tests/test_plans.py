@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from slumberline.functions.messages import encode_messages
+from slumberline.functions.messages import decode_messages, encode_messages
 from slumberline.operators.features import feature_table, of_sensor, of_sensors, with_hour
 from slumberline.operators.learning import feature_cells
 from slumberline.operators.reports import hour_distribution, pressure_stats
@@ -14,6 +14,7 @@ from slumberline.plans.catalog import QUERIES, RULE
 from slumberline.plans.training import split_features
 from slumberline.sources.events import EXPORT_COLUMNS, read_csv_events, read_events_table
 from slumberline.sources.schema import EVENT_ID
+from slumberline.sources.topic import peek
 from slumberline.streaming.scoring import scorable_rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -63,7 +64,17 @@ def test_cells_take_one_shuffle_with_map_side_sums(events):
 
 
 def test_messages_are_parsed_once(events):
-    assert plan(scorable_rows(encode_messages(events), RULE)).count("from_json") == 1
+    records = encode_messages(events)
+    assert plan(scorable_rows(records, RULE)).count("from_json") == 1
+    assert plan(of_sensor(decode_messages(records), "click")).count("from_json") == 1
+
+
+def test_peek_sorts_only_the_head_and_seeks_in_columns(spark, events):
+    records = encode_messages(events, EVENT_ID).withColumnRenamed(EVENT_ID, "offset")
+    for columnar in (False, True):
+        found = plan(peek(records, columnar=columnar))
+        assert "TakeOrderedAndProject" in found and "Exchange" not in found
+        assert ("LessThanOrEqual(event_id,9)" in found) == columnar
 
 
 def test_dense_index_sorts_no_table_in_one_task(events):
