@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slumberline.rules import ModelParams
-from slumberline.session import materialize
+from slumberline.session import at_once, materialize
 from slumberline.sources.schema import FEATURES, LABEL
 
 WEIGHT = "weight"
@@ -103,11 +103,15 @@ def fit_cells(cells: DataFrame, scaler_model: StandardScalerModel, params: Model
     return PipelineModel([assembler(), scaler_model, model])
 
 
+def fit_each(cells: DataFrame, params: Sequence[ModelParams]) -> list[PipelineModel]:
+    """One model per setting from stored cells; they share a scaler."""
+    scaler_model = fit_scaler_cells(cells)
+    return at_once(lambda setting: fit_cells(cells, scaler_model, setting), params)
+
+
 def fit_models(train: DataFrame, params: Sequence[ModelParams]) -> list[PipelineModel]:
     """One model per setting, from one pass over the training rows."""
-    cells = materialize(feature_cells(train), "training-cells")
-    scaler_model = fit_scaler_cells(cells)
-    return [fit_cells(cells, scaler_model, setting) for setting in params]
+    return fit_each(materialize(feature_cells(train), "training-cells"), params)
 
 
 def fit_model(train: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:

@@ -63,7 +63,8 @@ def area_under_roc(scored: DataFrame, weight: str | None = None) -> float | None
     """
     count = F.sum(weight) if weight else F.count(F.lit(1))
     margins = scored.groupBy("margin", LABEL).agg(count.cast("double").alias("n"))
-    if margins.select(LABEL).distinct().count() < 2:
+    classes = margins.agg(F.min(LABEL), F.max(LABEL)).first()
+    if classes[0] == classes[1]:
         return None
     evaluator = BinaryClassificationEvaluator(
         rawPredictionCol="margin", labelCol=LABEL, weightCol="n", metricName="areaUnderROC", numBins=0

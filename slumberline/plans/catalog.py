@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from slumberline.operators.features import feature_table, of_sensor, of_sensors,
 from slumberline.plans.jobs import describe
 from slumberline.plans.training import Training, split_features, train
 from slumberline.rules import PEEK_SIZE, ModelParams, SleepRule
-from slumberline.session import scratch_path
+from slumberline.session import at_once, scratch_path
 from slumberline.sources.csv_reports import read_csv, write_csv
 from slumberline.sources.events import EventColumns, read_csv_events, read_events_table, stream_events_table
 from slumberline.sources.schema import EVENT_FIELDS, EVENT_ID, FEATURES, LABEL, MESSAGE_FIELDS
@@ -173,7 +174,7 @@ def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logreg_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = learning.fit_models(sampling.side(_split_rows(spark, sf_dir), "train"), _params(tol=1e-8))
+    models = learning.fit_models(sampling.side(_split_rows(spark, sf_dir), "train"), _params(tol=1e-7))
     fitted = [(reg, *learning.coefficients(model)) for reg, model in zip(REGS, models)]
     table = spark.createDataFrame(fitted, "reg double, intercept double, w_pressure double, w_hour double")
     return _plain(table, 4, reg=1)
@@ -196,12 +197,14 @@ def logreg_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _split_rows(spark, sf_dir)
-    reloaded = {}
-    for reg, model in _fit(rows).items():
+    fitted = _fit(rows)
+
+    def reload(model: PipelineModel) -> PipelineModel:
         path = scratch_path(spark, "model")
         learning.save_model(model, path)
-        reloaded[reg] = learning.load_model(path)
-    return _score_test_rows(rows, reloaded)
+        return learning.load_model(path)
+
+    return _score_test_rows(rows, dict(zip(fitted, at_once(reload, list(fitted.values())))))
 
 
 def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slumberline.operators.features import feature_table, of_sensor
-from slumberline.operators.learning import WEIGHT, feature_cells, fit_cells, fit_scaler_cells, score_each
+from slumberline.operators.learning import WEIGHT, feature_cells, fit_each, score_each
 from slumberline.operators.metrics import area_under_roc, classification_report, confusion_matrix
 from slumberline.operators.reports import label_distribution, split_counts
 from slumberline.operators.sampling import hash_split, side
 from slumberline.rules import SPLIT_WEIGHTS, ModelParams, SleepRule
-from slumberline.session import materialize
+from slumberline.session import at_once, materialize
 
 BY_MODEL = ("reg",)
 
@@ -57,14 +57,14 @@ class Training:
         return self.report().join(F.broadcast(self.area_under_roc()), list(BY_MODEL))
 
     def area_under_roc(self) -> DataFrame:
-        areas = [(reg, area_under_roc(self.scored.filter(F.col("reg") == reg), WEIGHT)) for reg in self.models]
-        return self.cells.sparkSession.createDataFrame(areas, "reg double, auc double")
+        regs = list(self.models)
+        areas = at_once(lambda reg: area_under_roc(self.scored.filter(F.col("reg") == reg), WEIGHT), regs)
+        return self.cells.sparkSession.createDataFrame(list(zip(regs, areas)), "reg double, auc double")
 
 
 def train(split_rows: DataFrame, params: Sequence[ModelParams]) -> Training:
     """Fit one model per setting on the train side and score the test side."""
     cells = materialize(feature_cells(split_rows, by=["split"]), "cells")
-    train_cells = side(cells, "train")
-    scaler_model = fit_scaler_cells(train_cells)
-    models = {setting.reg_param: fit_cells(train_cells, scaler_model, setting) for setting in params}
+    fitted = fit_each(side(cells, "train"), params)
+    models = {setting.reg_param: model for setting, model in zip(params, fitted)}
     return Training(models, cells, score_each(models, side(cells, "test")))

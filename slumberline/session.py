@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+R = TypeVar("R")
+
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -49,3 +56,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def at_once(work: Callable[[T], R], items: Sequence[T]) -> list[R]:
+    """Run independent Spark actions side by side: the short jobs of one fill the gaps of the other."""
+    with ThreadPoolExecutor(max(len(items), 1)) as pool:
+        return list(pool.map(inheritable_thread_target(work), items))
