@@ -106,7 +106,7 @@ def fit_cells(cells: DataFrame, scaler_model: StandardScalerModel, params: Model
 def fit_each(cells: DataFrame, params: Sequence[ModelParams]) -> list[PipelineModel]:
     """One model per setting from stored cells; they share a scaler."""
     scaler_model = fit_scaler_cells(cells)
-    return at_once(lambda setting: fit_cells(cells, scaler_model, setting), params)
+    return at_once(cells.sparkSession, lambda setting: fit_cells(cells, scaler_model, setting), params)
 
 
 def fit_models(train: DataFrame, params: Sequence[ModelParams]) -> list[PipelineModel]:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from slumberline.functions.messages import decode_messages, encode_messages
 from slumberline.operators import learning, reports, sampling
 from slumberline.operators.features import feature_table, of_sensor, of_sensors, with_hour, with_label
-from slumberline.plans.jobs import describe
+from slumberline.plans.jobs import describe, replay_records
 from slumberline.plans.training import Training, split_features, train
 from slumberline.rules import PEEK_SIZE, ModelParams, SleepRule
 from slumberline.session import at_once, scratch_path
@@ -95,6 +95,10 @@ def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(decode_messages(encode_messages(read_events_table(spark, sf_dir))))
 
 
+def replay_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(decode_messages(replay_records(read_events_table(spark, sf_dir), REPLAYED)))
+
+
 def topic_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = encode_messages(read_events_table(spark, sf_dir), EVENT_ID).withColumnRenamed(EVENT_ID, "offset")
     return _plain(peek(topic, PEEK_SIZE, columnar=True))
@@ -204,7 +208,7 @@ def model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         learning.save_model(model, path)
         return learning.load_model(path)
 
-    return _score_test_rows(rows, dict(zip(fitted, at_once(reload, list(fitted.values())))))
+    return _score_test_rows(rows, dict(zip(fitted, at_once(spark, reload, list(fitted.values())))))
 
 
 def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +227,7 @@ def auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_train(spark, sf_dir).area_under_roc(), 4)
 
 
-# --- streams ------------------------------------------------------------------------------------
+# --- scoring of messages, as a stream and as a batch ----------------------------------------------
 
 
 def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,11 +246,18 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_drained(scorable_rows(_stream_records(spark, sf_dir), RULE), "decoded"))
 
 
+def _serving_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    return learning.fit_model(sampling.side(_split_rows(spark, sf_dir), "train"), ModelParams(reg_param=0.0))
+
+
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train_rows = sampling.side(_split_rows(spark, sf_dir), "train")
-    model = learning.fit_model(train_rows, ModelParams(reg_param=0.0))
-    scored = _drained(score_messages(_stream_records(spark, sf_dir), model, RULE), "scored")
-    return _plain(scored.drop("Processing_Time"))
+    rows = score_messages(_stream_records(spark, sf_dir), _serving_model(spark, sf_dir), RULE)
+    return _plain(_drained(rows, "scored").drop("Processing_Time"))
+
+
+def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = encode_messages(read_events_table(spark, sf_dir))
+    return _plain(score_messages(records, _serving_model(spark, sf_dir), RULE).drop("Processing_Time"))
 
 
 QUERIES: dict[str, Query] = {
@@ -258,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "night_pressure_label": night_pressure_label,
     "feature_table": features,
     "message_roundtrip": message_roundtrip,
+    "replay_messages": replay_messages,
     "topic_peek": topic_peek,
     "every_nth_event": every_nth_event,
     "pressure_stats": pressure_stats,
@@ -277,4 +289,5 @@ QUERIES: dict[str, Query] = {
     "auc_exact": auc_exact,
     "stream_decode": stream_decode,
     "stream_score": stream_score,
+    "batch_score": batch_score,
 }

@@ -109,6 +109,14 @@ _TEST_SCORES = (
     "WITH RECURSIVE" + _SCORED + "\nSELECT reg, event_id, label, prediction FROM scored WHERE split = 'test'"
 )
 
+_SENSOR_SCORES = (
+    "WITH RECURSIVE"
+    + _SCORED
+    + """
+SELECT "timestamp" AS "Event_Time_ms", pressure_value, hour_of_day, prediction AS "Is_Sleeping_Prediction"
+FROM scored WHERE reg = 0"""
+)
+
 ORACLE_SQL: dict[str, str] = {
     "csv_scan": "WITH" + _EVENTS + '\nSELECT event_id, "timestamp", sensor_id, value FROM ev',
     "projected_scan_dropna": "WITH"
@@ -135,6 +143,11 @@ SELECT event_id, hour_of_day,
 FROM ev WHERE sensor_id = 'click'""",
     "feature_table": "WITH" + _FEATURES + "\nSELECT event_id, pressure_value, hour_of_day, label FROM ft",
     "message_roundtrip": "WITH" + _EVENTS + '\nSELECT "timestamp", sensor_id, value FROM ev',
+    "replay_messages": "WITH"
+    + _EVENTS
+    + """
+SELECT "timestamp", sensor_id, value FROM ev
+WHERE sensor_id IN ('click', 'view') AND "timestamp" IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)""",
     "topic_peek": "WITH"
     + _EVENTS
     + """
@@ -203,9 +216,6 @@ SELECT reg, round(sum(p * (below + n / 2)) / nullif(sum(p) * sum(n), 0), 4) AS a
     + _FEATURES
     + """
 SELECT "timestamp", 'click' AS sensor_id, pressure_value, hour_of_day FROM ft""",
-    "stream_score": "WITH RECURSIVE"
-    + _SCORED
-    + """
-SELECT "timestamp" AS "Event_Time_ms", pressure_value, hour_of_day, prediction AS "Is_Sleeping_Prediction"
-FROM scored WHERE reg = 0""",
+    "stream_score": _SENSOR_SCORES,
+    "batch_score": _SENSOR_SCORES,
 }

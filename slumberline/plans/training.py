@@ -58,8 +58,9 @@ class Training:
 
     def area_under_roc(self) -> DataFrame:
         regs = list(self.models)
-        areas = at_once(lambda reg: area_under_roc(self.scored.filter(F.col("reg") == reg), WEIGHT), regs)
-        return self.cells.sparkSession.createDataFrame(list(zip(regs, areas)), "reg double, auc double")
+        spark = self.cells.sparkSession
+        areas = at_once(spark, lambda reg: area_under_roc(self.scored.filter(F.col("reg") == reg), WEIGHT), regs)
+        return spark.createDataFrame(list(zip(regs, areas)), "reg double, auc double")
 
 
 def train(split_rows: DataFrame, params: Sequence[ModelParams]) -> Training:

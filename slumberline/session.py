@@ -58,7 +58,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def at_once(work: Callable[[T], R], items: Sequence[T]) -> list[R]:
+def at_once(spark: SparkSession, work: Callable[[T], R], items: Sequence[T]) -> list[R]:
     """Run independent Spark actions side by side: the short jobs of one fill the gaps of the other."""
     with ThreadPoolExecutor(max(len(items), 1)) as pool:
-        return list(pool.map(inheritable_thread_target(work), items))
+        return list(pool.map(inheritable_thread_target(spark)(work), items))

@@ -1,7 +1,7 @@
 """Every registered query against its SQL, over the whole table."""
 
 import pytest
-from compare import duckdb_rows, spark_rows
+from compare import duckdb_rows, duckdb_types, spark_rows, spark_types
 
 import __spark_entry__ as driver
 
@@ -16,6 +16,7 @@ def test_every_query_has_its_sql():
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query_equals_its_sql(spark, name, sf_dir):
     result = driver.queries()[name](spark, sf_dir)
+    assert spark_types(result) == duckdb_types(driver.oracle_sql()[name], sf_dir)
     assert spark_rows(result) == duckdb_rows(driver.oracle_sql()[name], sf_dir)
 
 
