@@ -10,13 +10,14 @@ loss and gradient what w equal rows add, so the optimum is the same.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from math import sqrt
+from functools import reduce
+from math import inf, log, sqrt
+from operator import add
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slumberline.rules import ModelParams
@@ -24,7 +25,6 @@ from slumberline.session import at_once, materialize
 from slumberline.sources.schema import FEATURES, LABEL
 
 WEIGHT = "weight"
-_WORK_COLUMNS = ("features_raw", "features", "rawPrediction", "probability")
 
 
 def assembler() -> VectorAssembler:
@@ -134,18 +134,38 @@ def load_model(path: str) -> PipelineModel:
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Add ``rawPrediction``, ``probability`` and ``prediction``."""
+    """Add the vectors ``rawPrediction`` and ``probability``, and ``prediction``."""
     return model.transform(rows)
 
 
+def margin(model: PipelineModel) -> Column:
+    """The model's raw prediction for label 1 as an expression over the feature columns.
+
+    It takes the steps of the three stages in their order, so it equals ``rawPrediction`` to the last
+    bit, but it compiles into the surrounding stage: no vectors, and no model shipped with the tasks.
+    """
+    _, scaling, fitted = model.stages
+    scaled = [
+        F.col(name).cast("double") * F.lit(1 / float(deviation) if deviation else 0.0)
+        for name, deviation in zip(FEATURES, scaling.std)
+    ]
+    terms = [value * F.lit(float(weight)) for value, weight in zip(scaled, fitted.coefficients)]
+    return reduce(add, terms) + F.lit(float(fitted.intercept))
+
+
+def predict(model: PipelineModel, margin_of_row: Column) -> Column:
+    """1.0 where the margin says that the probability of label 1 is above the model's threshold, else 0.0."""
+    threshold = model.stages[-1].getThreshold()
+    odds = threshold / (1 - threshold) if threshold < 1 else inf
+    return F.when(margin_of_row > F.lit(log(odds) if odds else -inf), 1.0).otherwise(0.0)
+
+
 def score_each(models: Mapping[float, PipelineModel], rows: DataFrame) -> DataFrame:
     """Score every row with every model in one pass over ``rows``. Each row comes out once per model,
-    with ``reg`` (the model's key), ``margin`` (the raw prediction for label 1) and ``prediction``."""
-    kept = rows.columns
-    outcomes = []
-    for position, (reg, model) in enumerate(models.items()):
-        margin = F.get(vector_to_array("rawPrediction"), F.lit(1))
-        outcome = F.struct(F.lit(reg).alias("reg"), margin.alias("margin"), "prediction")
-        outcomes.append(f"_outcome_{position}")
-        rows = score(model, rows).withColumn(outcomes[-1], outcome).drop(*_WORK_COLUMNS, "prediction")
-    return rows.select(*kept, F.inline(F.array(*outcomes)))
+    with ``reg`` (the model's key), ``margin`` and ``prediction``."""
+    margins = {f"_margin_{i}": margin(model) for i, model in enumerate(models.values())}
+    outcomes = [
+        F.struct(F.lit(reg).alias("reg"), F.col(name).alias("margin"), predict(model, F.col(name)).alias("prediction"))
+        for name, (reg, model) in zip(margins, models.items())
+    ]
+    return rows.withColumns(margins).select(*rows.columns, F.inline(F.array(*outcomes)))

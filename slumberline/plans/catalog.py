@@ -7,6 +7,7 @@ leave as doubles and counts as 64-bit integers, so that any SQL engine can be co
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -184,31 +185,29 @@ def logreg_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(table, 4, reg=1)
 
 
-def _score_test_rows(split_rows: DataFrame, models: dict) -> DataFrame:
-    scored = learning.score_each(models, sampling.side(split_rows, "test"))
-    return scored.select("reg", EVENT_ID, LABEL, "prediction")
-
-
-def _fit(split_rows: DataFrame) -> dict:
+def _fit(split_rows: DataFrame) -> dict[float, PipelineModel]:
     models = learning.fit_models(sampling.side(split_rows, "train"), _params())
     return dict(zip(REGS, models))
 
 
 def logreg_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _split_rows(spark, sf_dir)
-    return _score_test_rows(rows, _fit(rows))
+    scored = learning.score_each(_fit(rows), sampling.side(rows, "test"))
+    return scored.select("reg", EVENT_ID, LABEL, "prediction")
 
 
 def model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _split_rows(spark, sf_dir)
-    fitted = _fit(rows)
+    test = sampling.side(rows, "test")
 
-    def reload(model: PipelineModel) -> PipelineModel:
+    def reload_and_score(fitted: tuple[float, PipelineModel]) -> DataFrame:
+        reg, model = fitted
         path = scratch_path(spark, "model")
         learning.save_model(model, path)
-        return learning.load_model(path)
+        scored = learning.score(learning.load_model(path), test)
+        return scored.select(F.lit(reg).alias("reg"), EVENT_ID, LABEL, "prediction")
 
-    return _score_test_rows(rows, dict(zip(fitted, at_once(spark, reload, list(fitted.values())))))
+    return reduce(DataFrame.unionAll, at_once(spark, reload_and_score, list(_fit(rows).items())))
 
 
 def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:

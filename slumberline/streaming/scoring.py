@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from slumberline.functions.messages import decode_messages
 from slumberline.operators.features import inference_table
-from slumberline.operators.learning import score
+from slumberline.operators.learning import margin, predict
 from slumberline.rules import SleepRule
 from slumberline.sources.schema import CORRUPT_COLUMN
 
@@ -19,7 +19,7 @@ def scorable_rows(records: DataFrame, rule: SleepRule) -> DataFrame:
 
     What is left out is counted: ``observedMetrics`` of the query's progress holds, under ``decoded``,
     all messages, those that were not fully readable and those of the sensor, and under ``scorable``
-    the rows that remain. The count sits between decoding and filter, so each message is parsed once.
+    the rows that remain.
     """
     decoded = decode_messages(records, keep_corrupt=True).observe(
         "decoded",
@@ -32,12 +32,12 @@ def scorable_rows(records: DataFrame, rule: SleepRule) -> DataFrame:
 
 def score_messages(records: DataFrame, model: PipelineModel, rule: SleepRule) -> DataFrame:
     """One row per scorable message: when it was processed, when it happened, what was measured, the prediction."""
-    return score(model, scorable_rows(records, rule)).select(
+    return scorable_rows(records, rule).select(
         F.current_timestamp().alias("Processing_Time"),
         F.col("timestamp").alias("Event_Time_ms"),
         "pressure_value",
         "hour_of_day",
-        F.col("prediction").alias("Is_Sleeping_Prediction"),
+        predict(model, margin(model)).alias("Is_Sleeping_Prediction"),
     )
 
 

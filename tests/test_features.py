@@ -1,4 +1,7 @@
 import math
+import random
+from datetime import UTC, datetime, timedelta
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,3 +131,14 @@ def test_a_numeric_sensor_id_becomes_text(spark):
 def test_several_sensors(spark):
     df = spark.createDataFrame([(1, "P02"), (2, "M04"), (3, "X")], "event_id long, sensor_id string")
     assert of_sensors(df, ["P02", "M04"]).count() == 2
+
+
+def test_hours_of_random_instants_equal_the_calendar(spark):
+    rng = random.Random(17)
+    instants = [rng.randrange(-(10**12), 4 * 10**12) for _ in range(500)]
+    zones = ("UTC", "America/New_York", "Asia/Kolkata")
+    hours = [hour_of_day(F.col("value"), zone).alias(zone) for zone in zones]
+    epoch = datetime(1970, 1, 1, tzinfo=UTC)
+    for row in spark.createDataFrame(instants, "long").select("value", *hours).collect():
+        moment = epoch + timedelta(milliseconds=row["value"])
+        assert [row[zone] for zone in zones] == [moment.astimezone(ZoneInfo(zone)).hour for zone in zones]

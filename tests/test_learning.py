@@ -2,6 +2,8 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from slumberline.operators.learning import (
@@ -15,6 +17,8 @@ from slumberline.operators.learning import (
     fit_scaler,
     fit_scaler_cells,
     load_model,
+    margin,
+    predict,
     save_model,
     scaler,
     score,
@@ -97,13 +101,27 @@ def test_loading_nothing_fails(spark, tmp_path):
         load_model(str(tmp_path / "missing"))
 
 
-def test_each_model_scores_each_row(train_rows, models):
+def test_each_model_scores_each_row_as_its_stages_do(train_rows, models):
     scored = score_each(models, train_rows)
     assert scored.columns == [*train_rows.columns, "reg", "margin", "prediction"]
     for reg, model in models.items():
-        own = scored.filter(F.col("reg") == reg).select(*train_rows.columns, "prediction")
-        assert own.exceptAll(score(model, train_rows).select(own.columns)).isEmpty()
-    assert scored.filter((F.col("margin") > 0) != (F.col("prediction") == 1)).isEmpty()
+        own = scored.filter(F.col("reg") == reg).drop("reg")
+        staged = score(model, train_rows).withColumn("margin", vector_to_array("rawPrediction")[1]).select(own.columns)
+        assert own.exceptAll(staged).isEmpty() and staged.exceptAll(own).isEmpty()
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.2, 0.5, 0.9, 1.0])
+def test_threshold_of_the_model(train_rows, threshold):
+    model = fit_model(train_rows, ModelParams(reg_param=0.0, threshold=threshold))
+    own = train_rows.select("*", predict(model, margin(model)).alias("prediction"))
+    assert own.exceptAll(score(model, train_rows).select(own.columns)).isEmpty()
+
+
+def test_a_constant_feature_does_not_count(spark):
+    df = spark.createDataFrame([(7.0, hour, float(hour > 11)) for hour in range(24)], SCHEMA)
+    model = fit_model(df)
+    staged = score(model, df).select("hour_of_day", vector_to_array("rawPrediction")[1].alias("margin"))
+    assert df.select("hour_of_day", margin(model).alias("margin")).exceptAll(staged).isEmpty()
 
 
 # --- metrics ------------------------------------------------------------------------------------
@@ -161,3 +179,11 @@ def test_three_classes(spark):
     report = classification_report(confusion_matrix(df)).first()
     evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")
     assert report["f1"] == pytest.approx(evaluator.evaluate(df), abs=1e-12)
+
+
+def test_fitting_and_scoring_in_a_session_that_has_observed(spark):
+    """A session that has used an ``Observation`` cannot ship a model with its training summary to tasks."""
+    session = spark.newSession()
+    session.range(3).observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    df = rows(session, 60)
+    assert score_each({0.3: fit_model(df)}, df).count() == 60
