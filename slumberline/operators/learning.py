@@ -74,7 +74,8 @@ def fit_scaler_cells(cells: DataFrame) -> StandardScalerModel:
     means = [total and value / total for value in sums]
     distances = [F.col(name).cast("double") - F.lit(mean) for name, mean in zip(FEATURES, means)]
     squares = cells.agg(*[F.sum(weight * distance * distance) for distance in distances]).first()
-    return _scaler_of(cells.sparkSession, means, [sqrt((square or 0.0) / max((total or 0) - 1, 1)) for square in squares])
+    deviations = [sqrt((square or 0.0) / max((total or 0) - 1, 1)) for square in squares]
+    return _scaler_of(cells.sparkSession, means, deviations)
 
 
 def _scaler_of(

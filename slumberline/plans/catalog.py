@@ -24,7 +24,7 @@ from slumberline.rules import PEEK_SIZE, ModelParams, SleepRule
 from slumberline.session import at_once, scratch_path
 from slumberline.sources.csv_reports import read_csv, write_csv
 from slumberline.sources.events import EventColumns, read_csv_events, read_events_table, stream_events_table
-from slumberline.sources.schema import EVENT_FIELDS, EVENT_ID, FEATURES, LABEL, MESSAGE_FIELDS
+from slumberline.sources.schema import EVENT_ID, FEATURES, LABEL, MESSAGE_FIELDS
 from slumberline.sources.topic import peek
 from slumberline.streaming.scoring import scorable_rows, score_messages, start_parquet_sink
 

@@ -82,7 +82,9 @@ margins AS (
          w0 + w1 * (pressure_value / std_pressure) + w2 * (hour_of_day / std_hour) AS margin
   FROM sp, dev, fit
 ),
-scored AS (SELECT *, CASE WHEN margin > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction FROM margins),
+scored AS (
+  SELECT *, CASE WHEN margin > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction FROM margins
+),
 confusion AS (
   SELECT reg, label, prediction, count(*) AS n FROM scored WHERE split = 'test' GROUP BY reg, label, prediction
 )"""

@@ -20,7 +20,6 @@ AUDITED_MESSAGE_SCHEMA = T.StructType([*MESSAGE_SCHEMA.fields, T.StructField(COR
 
 # The key of an event: its offset in the topic and the order of a replay.
 EVENT_ID = "event_id"
-EVENT_FIELDS = (EVENT_ID, *MESSAGE_FIELDS)
 
 FEATURES = ("pressure_value", "hour_of_day")
 LABEL = "label"

@@ -48,7 +48,8 @@ def test_train_publish_score_peek(spark, csv, tmp_path, capsys):
     assert 1200 < published < 1500 and spark.read.text(topic).count() == published
 
     sink = str(tmp_path / "scored")
-    main(["score", "--files", topic, "--model", model, "--sink", sink, "--checkpoint", str(tmp_path / "c"), "--available-now"])
+    places = ["--files", topic, "--model", model, "--sink", sink, "--checkpoint", str(tmp_path / "c")]
+    main(["score", *places, "--available-now"])
     scored = spark.read.parquet(sink)
     assert scored.count() == spark.read.text(topic).filter("value LIKE '%P02%'").count()
     assert {row[0] for row in scored.select("Is_Sleeping_Prediction").distinct().collect()} == {0.0, 1.0}

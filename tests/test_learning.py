@@ -110,6 +110,14 @@ def test_each_model_scores_each_row_as_its_stages_do(train_rows, models):
         assert own.exceptAll(staged).isEmpty() and staged.exceptAll(own).isEmpty()
 
 
+@pytest.mark.parametrize("label", [0.0, 1.0])
+def test_training_rows_of_one_class(spark, label):
+    df = spark.createDataFrame([(float(i), i % 24, label) for i in range(50)], SCHEMA)
+    scored = score_each({0.3: fit_model(df)}, df)
+    assert [tuple(row) for row in confusion_matrix(scored).collect()] == [(label, label, 50)]
+    assert area_under_roc(scored) is None
+
+
 @pytest.mark.parametrize("threshold", [0.0, 0.2, 0.5, 0.9, 1.0])
 def test_threshold_of_the_model(train_rows, threshold):
     model = fit_model(train_rows, ModelParams(reg_param=0.0, threshold=threshold))
@@ -175,7 +183,8 @@ def test_a_class_that_is_never_predicted(spark):
 
 def test_three_classes(spark):
     rng = random.Random(5)
-    df = spark.createDataFrame([(float(rng.randrange(3)), float(rng.randrange(3))) for _ in range(90)], "label double, prediction double")
+    data = [(float(rng.randrange(3)), float(rng.randrange(3))) for _ in range(90)]
+    df = spark.createDataFrame(data, "label double, prediction double")
     report = classification_report(confusion_matrix(df)).first()
     evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")
     assert report["f1"] == pytest.approx(evaluator.evaluate(df), abs=1e-12)

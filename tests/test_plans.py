@@ -96,6 +96,8 @@ def test_scratch_paths_never_repeat_and_need_a_shared_folder(spark, monkeypatch)
     from slumberline import session
 
     assert session.scratch_path(spark, "a") != session.scratch_path(spark, "a")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert session.scratch_path(spark, "a").startswith(shared or "/")
 
     class Remote:
         class conf:  # noqa: N801

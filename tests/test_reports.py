@@ -21,7 +21,8 @@ RULE = SleepRule()
 
 
 def events(spark, rows):
-    return spark.createDataFrame([(ts, "P02", value) for ts, value in rows], "timestamp long, sensor_id string, value float")
+    schema = "timestamp long, sensor_id string, value float"
+    return spark.createDataFrame([(ts, "P02", value) for ts, value in rows], schema)
 
 
 def both_stats(spark, rows):

@@ -15,6 +15,7 @@ from slumberline.streaming.scoring import scorable_rows, score_messages, start_c
 SF_DIR = "/root/testdata/sf0.001"
 RULE = SleepRule("click", 25.0)
 FILES = 5
+PARTS = (("decoded", "messages"), ("decoded", "malformed"), ("decoded", "of_sensor"), ("scorable", "rows"))
 BAD = ["not json", '{"sensor_id":"click"}', '{"timestamp":"x","sensor_id":"click","value":1}', "", "[]"]
 
 
@@ -62,7 +63,7 @@ def test_stream_equals_batch_despite_bad_messages(spark, topic, model, tmp_path)
     assert all(p["numInputRows"] <= 1000 for p in progress)
     counted = {
         name: sum(p["observedMetrics"][part][name] for p in progress)
-        for part, name in (("decoded", "messages"), ("decoded", "malformed"), ("decoded", "of_sensor"), ("scorable", "rows"))
+        for part, name in PARTS
     }
     # "not json", the mistyped field and the list cannot be read in full; an empty line counts as null.
     assert counted["messages"] == 1000 + len(BAD)
