@@ -14,15 +14,18 @@ SPLIT_NAMES = ("train", "test")
 
 
 def with_dense_index(rows: DataFrame, *key: str) -> DataFrame:
-    """Add ``idx``: 0, 1, 2, … in the order of ``key``, whose columns together tell rows apart.
+    """Add ``idx``: 0, 1, 2, … in the order of ``key``; rows with equal keys keep the order of their source.
 
     A ranking over the whole table would sort it in one task. Here the rows are partitioned by range
-    and sorted within, so that a row's place is its partition and its position there. The placed
-    rows are stored: cut points come from a sample, and a second run of the same plan could place
-    them otherwise. What is added to a position is the count of rows in earlier partitions; that
-    table, which is broadcast, has one row per shuffle partition.
+    and sorted within, so that a row's place is its partition and its position there. The source
+    position is part of the range, or a key that very many rows share would end up in one task. The
+    placed rows are stored: cut points come from a sample, and a second run of the same plan could
+    place them otherwise. What is added to a position is the count of rows in earlier partitions;
+    that table, which is broadcast, has one row per shuffle partition.
     """
-    in_order = rows.repartitionByRange(*key).sortWithinPartitions(*key)
+    order = [*key, "_source"]
+    in_source = rows.withColumn("_source", F.monotonically_increasing_id())
+    in_order = in_source.repartitionByRange(*order).sortWithinPartitions(*order).drop("_source")
     placed = materialize(in_order.withColumn("_place", F.monotonically_increasing_id()), "placed")
     # Fixed values of the generated id: the partition above bit 33, the position below it.
     placed = placed.withColumn("_partition", F.shiftright("_place", 33))

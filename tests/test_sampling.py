@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from slumberline.operators import sampling
 from slumberline.operators.sampling import every_nth, hash_split, random_split, side, with_dense_index
+from slumberline.session import materialize
 
 
 def keyed(spark, ids, partitions):
@@ -34,6 +36,27 @@ def test_a_hot_value_is_told_apart_by_the_rest_of_the_key(spark):
     assert [(row["hot"], row["k"]) for row in indexed] == sorted((0 if i % 3 else i, i) for i in range(3000))
 
 
+def test_copies_of_one_row_are_spread_over_tasks(spark, monkeypatch):
+    """A third of all rows are the same row."""
+    stored = []
+    monkeypatch.setattr(sampling, "materialize", lambda *args: stored.append(materialize(*args)) or stored[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.createDataFrame([(7 if i % 3 == 0 else i, "x") for i in range(30000)], "k long, text string")
+    indexed = with_dense_index(rows.repartition(8), "k")
+    assert indexed.agg(F.count_distinct("idx"), F.min("idx"), F.max("idx")).first() == (30000, 0, 29999)
+    ordered = [row["k"] for row in indexed.orderBy("idx").select("k").collect()]
+    assert ordered == sorted(ordered)
+    copies = stored[0].filter("k = 7").groupBy(F.shiftright("_place", 33)).count()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert copies.count() > 1 and copies.agg(F.max("count")).first()[0] < 6000
+
+
+def test_equal_keys_keep_their_order(spark):
+    rows = spark.range(1000, numPartitions=4).select((F.col("id") % 2).alias("k"), "id")
+    indexed = with_dense_index(rows, "k").orderBy("idx").collect()
+    assert [row["id"] for row in indexed] == [*range(0, 1000, 2), *range(1, 1000, 2)]
+
+
 def test_hash_split_does_not_depend_on_the_layout(spark):
     rows = spark.range(2000)
     one, eight = (hash_split(rows.repartition(n), ["id"]) for n in (1, 8))
