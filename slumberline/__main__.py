@@ -93,7 +93,15 @@ def score(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         records = topics.stream_topic(spark, _topic(args), args.starting_offsets, args.max_per_trigger)
     query = jobs.start_scoring(
-        spark, records, _rule(args), args.model, args.sink, args.checkpoint, args.available_now, args.interval
+        spark,
+        records,
+        _rule(args),
+        args.model,
+        sink=args.sink,
+        checkpoint=args.checkpoint,
+        available_now=args.available_now,
+        interval=args.interval,
+        audit=args.audit,
     )
     query.awaitTermination()
 
@@ -140,6 +148,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--starting-offsets", default="latest")
     sub.add_argument("--max-per-trigger", type=int, help="files or offsets per micro-batch")
     sub.add_argument("--available-now", action="store_true", help="end when the input is used up")
+    sub.add_argument("--audit", action="store_true", help="count malformed messages, which takes parsing all of them")
     sub.add_argument("--interval", help='time between micro-batches, e.g. "10 seconds"')
 
     sub = command(peek, _add_topic)

@@ -64,9 +64,10 @@ def start_scoring(
     checkpoint: str | None = None,
     available_now: bool = False,
     interval: str | None = None,
+    audit: bool = False,
 ) -> StreamingQuery:
     """Score a stream of records with a saved model, into a parquet table or, without one, onto the console."""
-    rows = score_messages(records, load_model(model_path), rule)
+    rows = score_messages(records, load_model(model_path), rule, audit)
     if sink is None:
         return start_console(rows, available_now, interval)
     if checkpoint is None:

@@ -3,36 +3,44 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from slumberline.functions.messages import decode_messages
+from slumberline.functions.messages import decode_messages, may_concern
 from slumberline.operators.features import inference_table
 from slumberline.operators.learning import margin, predict
 from slumberline.rules import SleepRule
 from slumberline.sources.schema import CORRUPT_COLUMN
 
 
-def scorable_rows(records: DataFrame, rule: SleepRule) -> DataFrame:
+def _counted(df: DataFrame, name: str, *counts: Column) -> DataFrame:
+    """Count on the way, in a stream: the names would clash when a batch query uses two such tables."""
+    return df.observe(name, *counts) if df.isStreaming else df
+
+
+def scorable_rows(records: DataFrame, rule: SleepRule, audit: bool = False) -> DataFrame:
     """Decode records and keep the rows of the rule's sensor that have all features.
 
-    What is left out is counted: ``observedMetrics`` of the query's progress holds, under ``decoded``,
-    all messages, those that were not fully readable and those of the sensor, and under ``scorable``
-    the rows that remain.
+    Text that cannot be of the sensor is not parsed, unless ``audit`` asks to count what is malformed.
+    What is left out is counted in ``observedMetrics`` of the stream's progress: all ``messages`` under
+    ``received``, those ``of_sensor`` and, with ``audit``, the ``malformed`` ones under ``decoded``,
+    and the remaining ``rows`` under ``scorable``.
     """
-    decoded = decode_messages(records, keep_corrupt=True).observe(
-        "decoded",
-        F.count(F.lit(1)).alias("messages"),
-        F.count(CORRUPT_COLUMN).alias("malformed"),
-        F.count_if(F.col("sensor_id") == rule.sensor_id).alias("of_sensor"),
-    )
-    return inference_table(decoded, rule).observe("scorable", F.count(F.lit(1)).alias("rows"))
+    received = _counted(records, "received", F.count(F.lit(1)).alias("messages"))
+    counts = [F.count_if(F.col("sensor_id") == rule.sensor_id).alias("of_sensor")]
+    if audit:
+        decoded = decode_messages(received, keep_corrupt=True)
+        counts.append(F.count(CORRUPT_COLUMN).alias("malformed"))
+    else:
+        decoded = decode_messages(received.filter(may_concern(rule.sensor_id)))
+    rows = inference_table(_counted(decoded, "decoded", *counts), rule)
+    return _counted(rows, "scorable", F.count(F.lit(1)).alias("rows"))
 
 
-def score_messages(records: DataFrame, model: PipelineModel, rule: SleepRule) -> DataFrame:
+def score_messages(records: DataFrame, model: PipelineModel, rule: SleepRule, audit: bool = False) -> DataFrame:
     """One row per scorable message: when it was processed, when it happened, what was measured, the prediction."""
-    return scorable_rows(records, rule).select(
+    return scorable_rows(records, rule, audit).select(
         F.current_timestamp().alias("Processing_Time"),
         F.col("timestamp").alias("Event_Time_ms"),
         "pressure_value",

@@ -1,8 +1,12 @@
+import json
+import random
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from slumberline.functions.messages import decode_messages, encode_messages
+from slumberline.functions.messages import decode_messages, encode_messages, may_concern
+from slumberline.rules import SleepRule
 from slumberline.sources.topic import (
     Topic,
     peek,
@@ -13,6 +17,7 @@ from slumberline.sources.topic import (
     stream_topic,
     write_options,
 )
+from slumberline.streaming.scoring import scorable_rows
 
 CASES = {
     '{"timestamp": 1700000000123, "sensor_id": "P02", "value": 612.5}': (1700000000123, "P02", 612.5),
@@ -39,6 +44,44 @@ def test_text_of_bad_messages_is_kept_on_request(spark):
     assert '{"sensor_id":"P02","extra":1}' not in bad
 
 
+TOKENS = ["P02", "P0", "p02", "5892", "5", "-5", "5.0", "true", "NaN", "1e2", "100.0", "A B", 'q"', "back\\slash", "é"]
+
+
+def spelled(rng, text):
+    """One of the ways to write an id in a message."""
+    return rng.choice(
+        [
+            lambda: json.dumps(text),
+            lambda: json.dumps(text, ensure_ascii=False),
+            lambda: '"' + "".join(f"\\u{ord(c):04x}" if rng.random() < 0.5 else json.dumps(c)[1:-1] for c in text) + '"',
+            lambda: "'" + text + "'",
+            lambda: text,
+            lambda: "[" + json.dumps(text) + "]",
+            lambda: '{"sensor_id":' + json.dumps(text) + "}",
+        ]
+    )()
+
+
+@pytest.mark.parametrize("sensor_id", TOKENS)
+def test_no_message_of_the_sensor_is_passed_over_unparsed(spark, sensor_id):
+    rng = random.Random(23)
+    texts = []
+    for token in TOKENS:
+        for _ in range(60):
+            field = rng.choice(["sensor_id", "sensor_id", "other", "Sensor_ID"])
+            space = rng.choice(["", " ", "\t"])
+            texts.append(f'{{"timestamp":{rng.randrange(9)},{space}"{field}"{space}:{spelled(rng, token)},"value":1}}')
+    texts += [text[: rng.randrange(len(text))] for text in texts[::5]]
+    records = spark.createDataFrame([(text,) for text in texts], "value string")
+    records = records.select(F.col("value").cast("binary"))
+    rule = SleepRule(sensor_id=sensor_id)
+    kept, every = scorable_rows(records, rule), scorable_rows(records, rule, audit=True)
+    assert kept.exceptAll(every).isEmpty() and every.exceptAll(kept).isEmpty()
+    if sensor_id == "P02":
+        assert every.count() > 10
+        assert 0 < records.filter(may_concern(sensor_id)).count() < records.count() / 2
+
+
 def test_roundtrip_through_files(spark, tmp_path):
     events = spark.createDataFrame(
         [(1, "P02", 6.55), (2, 'q"uo\\te é', None), (None, "M04", float("inf"))],
