@@ -70,12 +70,16 @@ def read_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events_table(spark: SparkSession, sf_dir: str, max_bytes_per_trigger: int | None = None) -> DataFrame:
-    """The ``events`` table as an unbounded source.
+    """The ``events`` table, one file or a folder of files, as an unbounded source.
 
-    The braces make the path a pattern: a stream takes a bare path for a folder, a pattern also for one file.
+    A stream takes a bare path for a folder, which may be partitioned, but only a pattern for one file.
     """
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    reader = spark.readStream.schema(schema)
+    path = f"{sf_dir}/events.parquet"
+    table = spark.read.parquet(path)
+    some_file = table.select("_metadata.file_path").first()
+    if some_file and some_file[0].endswith("/events.parquet"):
+        path = f"{sf_dir}/{{events.parquet}}"
+    reader = spark.readStream.schema(table.schema)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return canonical_events(reader.parquet(f"{sf_dir}/{{events.parquet}}"), EVENTS_TABLE_COLUMNS)
+    return canonical_events(reader.parquet(path), EVENTS_TABLE_COLUMNS)

@@ -7,7 +7,7 @@ from slumberline.operators.sampling import side
 from slumberline.plans.jobs import start_scoring
 from slumberline.plans.training import split_features
 from slumberline.rules import ModelParams, SleepRule
-from slumberline.sources.events import read_events_table
+from slumberline.sources.events import read_events_table, stream_events_table
 from slumberline.sources.schema import EVENT_ID
 from slumberline.sources.topic import publish_files, read_message_files, stream_message_files
 from slumberline.streaming.scoring import scorable_rows, score_messages, start_console, start_parquet_sink
@@ -125,3 +125,15 @@ def test_console(spark, topic):
     assert query.awaitTermination(120)
     assert "ConsoleTable" in query.lastProgress["sink"]["description"]
     assert query.lastProgress["numInputRows"] > 0
+
+
+@pytest.mark.parametrize("partitioned_by", [[], ["event_type"]])
+def test_the_events_table_may_be_a_folder(spark, events, tmp_path, partitioned_by):
+    table = spark.read.parquet(f"{SF_DIR}/events.parquet").repartition(3)
+    table.write.partitionBy(*partitioned_by).parquet(str(tmp_path / "events.parquet"))
+    query = start_parquet_sink(
+        stream_events_table(spark, str(tmp_path)), str(tmp_path / "o"), str(tmp_path / "c"), available_now=True
+    )
+    assert query.awaitTermination(120)
+    result = spark.read.parquet(str(tmp_path / "o")).select(events.columns)
+    assert result.count() == 1000 and result.exceptAll(events).isEmpty()
