@@ -1,0 +1,75 @@
+import pytest
+from pyspark.sql import functions as F
+
+from slumberline.operators.learning import coefficients, score
+from slumberline.operators.metrics import area_under_roc, classification_report, confusion_matrix
+from slumberline.operators.reports import label_distribution, split_counts
+from slumberline.operators.sampling import side
+from slumberline.plans.catalog import RULE
+from slumberline.plans.training import split_features, train
+from slumberline.rules import ModelParams
+from slumberline.sources.events import read_events_table
+from slumberline.sources.schema import EVENT_ID, MESSAGE_FIELDS
+
+SF_DIR = "/root/testdata/sf0.01"
+PARAMS = [ModelParams(reg_param=0.3), ModelParams(reg_param=0.0)]
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return split_features(read_events_table(spark, SF_DIR), RULE, [EVENT_ID], carry=[EVENT_ID])
+
+
+@pytest.fixture(scope="module")
+def training(rows):
+    return train(rows, PARAMS)
+
+
+def test_reports_over_cells_equal_those_over_rows(rows, training):
+    test_rows = side(rows, "test")
+    assert training.split_counts().exceptAll(split_counts(rows)).isEmpty()
+    assert training.label_distribution().exceptAll(label_distribution(test_rows)).isEmpty()
+    metrics = {row["reg"]: row for row in training.metrics().collect()}
+    for reg, model in training.models.items():
+        staged = score(model, test_rows)
+        confusion = confusion_matrix(staged)
+        own = training.confusion_matrix().filter(F.col("reg") == reg).drop("reg")
+        assert own.exceptAll(confusion).isEmpty() and own.count() == confusion.count()
+        report = classification_report(confusion).first()
+        assert [metrics[reg][name] for name in report.asDict()] == pytest.approx(list(report), abs=1e-12)
+        scored = training.scored.filter(F.col("reg") == reg)
+        assert metrics[reg]["auc"] == pytest.approx(area_under_roc(scored, "weight"), abs=1e-12)
+
+
+def test_known_fit(training):
+    """Values found independently for this table, sensor, threshold and split."""
+    assert {row["split"]: row["count"] for row in training.split_counts().collect()} == {"train": 1396, "test": 610}
+    assert coefficients(training.models[0.3]) == pytest.approx((-1.03175, 0.22564, -0.32407), abs=1e-5)
+    assert coefficients(training.models[0.0]) == pytest.approx((-0.48332, 0.68683, -1.14227), abs=1e-5)
+    confusion = {tuple(row)[:3]: row["count"] for row in training.confusion_matrix().collect()}
+    assert confusion == {
+        (0.3, 0.0, 0.0): 455,
+        (0.3, 0.0, 1.0): 1,
+        (0.3, 1.0, 0.0): 154,
+        (0.0, 0.0, 0.0): 439,
+        (0.0, 0.0, 1.0): 17,
+        (0.0, 1.0, 0.0): 99,
+        (0.0, 1.0, 1.0): 55,
+    }
+    areas = {row["reg"]: row["auc"] for row in training.area_under_roc().collect()}
+    assert areas == pytest.approx({0.3: 0.812486, 0.0: 0.812984}, abs=1e-6)
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_the_layout_does_not_matter(spark, training, partitions):
+    events = read_events_table(spark, SF_DIR).repartition(partitions)
+    other = train(split_features(events, RULE, [EVENT_ID]), PARAMS)
+    assert other.confusion_matrix().exceptAll(training.confusion_matrix()).isEmpty()
+    for reg, model in training.models.items():
+        assert coefficients(other.models[reg]) == pytest.approx(coefficients(model), abs=1e-9)
+
+
+def test_copies_fall_on_the_same_side(spark):
+    events = read_events_table(spark, SF_DIR)
+    doubled = split_features(events.unionAll(events), RULE, MESSAGE_FIELDS, carry=[EVENT_ID])
+    assert doubled.groupBy(EVENT_ID).agg(F.count_distinct("split").alias("n")).filter("n > 1").isEmpty()
