@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slumberline.llm import chat, mixing, pii, sharding, substring_dedup, suffix_dedup
+from slumberline.llm import chat, html_text, mixing, pii, quality, sharding, substring_dedup, suffix_dedup
 from slumberline.llm.arithmetic import mixed32_sql
 
 # The conversation that op6 adds: control strings inside texts.
@@ -85,6 +85,16 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.assess(docs, model, ["doc_id"])
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_substring_dedup": op3_substring_dedup,
@@ -92,6 +102,8 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_chat": op6_chat,
     "op7_sharding": op7_sharding,
+    "op9_html": op9_html,
+    "op10_quality": op10_quality,
 }
 
 _PLACE = (
