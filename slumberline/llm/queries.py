@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slumberline.llm import chat, html_text, mixing, pii, quality, sharding, substring_dedup, suffix_dedup
+from slumberline.llm import chat, html_text, mixing, near_dups, pii, quality, sharding, substring_dedup, suffix_dedup
 from slumberline.llm.arithmetic import mixed32_sql
 
 # The conversation that op6 adds: control strings inside texts.
@@ -27,6 +27,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeated_windows(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -97,6 +102,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_mixing": op5_mixing,
