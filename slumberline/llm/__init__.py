@@ -5,7 +5,7 @@ Functions that run inside tasks are shipped with the job, so that executors need
 
 from pyspark import cloudpickle
 
-from slumberline.llm import html_text, near_dups, quality, recurring, substring_dedup, suffix_dedup, tokens
+from slumberline.llm import decontaminate, html_text, near_dups, quality, recurring, substring_dedup, suffix_dedup, tokens
 
-for _module in (tokens, html_text, near_dups, quality, recurring, substring_dedup, suffix_dedup):
+for _module in (tokens, decontaminate, html_text, near_dups, quality, recurring, substring_dedup, suffix_dedup):
     cloudpickle.register_pickle_by_value(_module)

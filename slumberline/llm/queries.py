@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slumberline.llm import chat, html_text, mixing, near_dups, pii, quality, sharding, substring_dedup, suffix_dedup
+from slumberline.llm import chat, decontaminate, html_text, mixing, near_dups, pii, quality, sharding, substring_dedup, suffix_dedup
 from slumberline.llm.arithmetic import mixed32_sql
 
 # The conversation that op6 adds: control strings inside texts.
@@ -90,6 +90,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    longest = F.array_max(F.col("tiles")["words"]).alias("longest_tile")
+    return found.select("doc_id", "item_id", "coverage", F.size("tiles").cast("bigint").alias("n_tiles"), longest)
+
+
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
@@ -108,6 +114,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_chat": op6_chat,
     "op7_sharding": op7_sharding,
+    "op8_decontamination": op8_decontamination,
     "op9_html": op9_html,
     "op10_quality": op10_quality,
 }

@@ -108,9 +108,12 @@ def slices(places: np.ndarray, limit: int = 1 << 20) -> list[tuple[int, int]]:
     return found
 
 
-def word_spans(buffer: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and the first word of each text (one more at the end)."""
-    inside = ~space_flags()[buffer]
+def word_spans(
+    buffer: np.ndarray, places: np.ndarray, inside: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word, and the first word of each text (one more at the end). ``inside``
+    tells the bytes of words if they aren't all but white space."""
+    inside = ~space_flags()[buffer] if inside is None else inside
     before = np.zeros(len(buffer) + 1, dtype=bool)
     before[1:] = inside
     before[places] = False
