@@ -51,9 +51,11 @@ def token_names(buffer: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.
     return tk.word_names(buffer, starts, ends), bounds
 
 
-def needed_seeds(n_tokens: int, coverage: float) -> int:
-    """The fewest seeds of an item that tiles of the least length must hold to cover it."""
-    return max(int(np.ceil(coverage * n_tokens / MIN_MATCH - 1e-9)), 1)
+def needed_seeds(times: np.ndarray, n_tokens: int, coverage: float) -> int:
+    """The fewest different seeds that tiles covering an item can hold: a seed that the item has ``times`` times
+    stands for as many tiles of the least length."""
+    most = np.cumsum(np.sort(times)[::-1]) * MIN_MATCH
+    return min(int(np.searchsorted(most, coverage * n_tokens - 1e-9)) + 1, max(len(times), 1))
 
 
 def item_task(coverage: float):
@@ -64,10 +66,8 @@ def item_task(coverage: float):
             rows = []
             for n in range(batch.num_rows):
                 own = names[bounds[n] : bounds[n + 1]]
-                seeds = np.unique(tk.rolling_hashes(own, MIN_MATCH))
-                need = needed_seeds(len(own), coverage)
-                # Fewer different seeds than tiles can do if the item repeats itself.
-                rows.append((own.tobytes(), seeds.view(np.int64), min(need, max(len(seeds), 1))))
+                seeds, times = np.unique(tk.rolling_hashes(own, MIN_MATCH), return_counts=True)
+                rows.append((own.tobytes(), seeds.view(np.int64), needed_seeds(times, len(own), coverage)))
             columns = [batch.column("item_id"), pa.array([r[0] for r in rows], pa.binary())]
             columns += [pa.array([r[1] for r in rows], pa.list_(pa.int64())), pa.array([r[2] for r in rows], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["item_id", "names", "seeds", "need"])
