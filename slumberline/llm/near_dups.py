@@ -12,11 +12,15 @@ of their features, sum of minima over sum of maxima, is 0.8 or more; classes are
    feature and t with the probability of their similarity. The random r, c, b of a feature are looked up
    by a hash of the feature in a table of 65,536 draws. At similarity 0.8 a pair shares a band with
    probability 0.9998.
-3. Texts that share a band are candidates. In buckets of up to ``SMALL`` texts all pairs are; in larger ones
-   every text is paired with ``CENTRES`` texts of its bucket, which is linear in the bucket's size.
-   After the links that gives, texts outside the bucket's largest class are compared with all that are
-   in other classes: then every pair of the bucket has been compared or is in one class already.
-4. Candidates are verified on the whole texts.
+3. Texts that share a band are candidates. What a text shares with any other candidate bounds its similarity
+   from above: a weight k of w in all gives min(k, k') / (w + w' - min(k, k')) at most. The edits of a near
+   copy are its own for the most part, so this bound is close, and copies that differ too much drop out
+   before any pair of them is made. It needs one exchange of packed 32-bit names (``recurring``).
+4. In buckets of up to ``SMALL`` texts all pairs that the bound allows are compared. In larger ones every text is
+   paired with the ``CENTRES`` texts that have the least of their own, which is linear in the bucket's
+   size; after the links that gives, texts outside the bucket's largest class are compared with all in
+   other classes that the bound allows. Then every pair of the bucket is settled or in one class already.
+5. Candidates are verified on the whole texts.
 
 Components: each text takes the least label among its neighbours', then the label of its label, until
 nothing changes; tables are written between the steps, and nothing but counts reaches the driver.
@@ -34,9 +38,10 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slumberline.llm import recurring
 from slumberline.llm import tokens as tk
 from slumberline.session import materialize
 
@@ -44,7 +49,7 @@ U64 = np.uint64
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
-SMALL, CENTRES = 16, 4
+SMALL, CENTRES = 16, 2
 SLOT_BITS, CHUNK_BITS = 18, 12
 IDF_LIMIT = 3.0
 DRAW_BITS = 16
@@ -213,20 +218,63 @@ def verify_task(idf: np.ndarray, least: float):
     return verify
 
 
-def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Texts of ``left`` with those of ``right`` in the same bucket, each pair once."""
-    joined = left.select("bucket", F.col("cid").alias("x")).join(right.select("bucket", F.col("cid").alias("y")), "bucket")
-    ordered = joined.filter(F.col("x") != F.col("y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return ordered.distinct()
+def features_of(group: pa.Table, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of a bin's texts: name, text, weight."""
+    raw = recurring.unpack_texts(group)
+    places = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
+    name, doc, count = shingles(np.frombuffer(b"".join(raw), dtype=np.uint8), places)
+    return name, doc, weights_of(name, count, idf)
+
+
+def shared_weights(texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """``cid``, ``w`` (weight of all features) and ``k`` (of those that another of the texts has, too). A false
+    match of the 32-bit names could only make k larger, which costs time and no result."""
+    bins = int((texts.agg(F.sum(F.octet_length("z"))).first()[0] or 0) // (1 << 19)) + 1
+    buckets = max(64, bins // 64)
+    binned = texts.select(F.pmod(F.xxhash64("cid"), F.lit(bins)).cast("int").alias("bin"), "cid", "z").groupBy("bin")
+
+    def named(name: np.ndarray, doc: np.ndarray) -> recurring.Named:
+        bucket = ((name >> U64(32)) % U64(buckets)).astype(np.int32)
+        low = (name & U64(0xFFFFFFFF)).astype(np.uint32)
+        return recurring.name_items(bucket, low, np.zeros(len(low), dtype=np.uint8), doc)
+
+    def send(key: tuple, group: pa.Table) -> pa.Table:
+        name, doc, _ = features_of(group, idf)
+        rows = recurring.sent(recurring.REPEATED, key[0].as_py(), named(name, doc), False, False)
+        return recurring.table(rows, recurring.ENTRY_ARROW)
+
+    def weigh(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
+        name, doc, weight = features_of(group, idf)
+        entries = named(name, doc)
+        found = recurring.answers(entries, recurring.REPEATED, recurring.replies_of(back)) | entries.several
+        n = group.num_rows
+        every = np.bincount(doc, weights=weight, minlength=n)
+        shared = np.bincount(doc, weights=weight * found[entries.entry], minlength=n)
+        return pa.table({"cid": group.column("cid"), "w": pa.array(every), "k": pa.array(shared)})
+
+    entries = binned.applyInArrow(send, recurring.ENTRY)
+    replies = entries.groupBy("kind", "bucket").applyInArrow(recurring.settle, recurring.REPLY)
+    return binned.cogroup(replies.groupBy("bin")).applyInArrow(weigh, "cid binary, w double, k double")
+
+
+def may_be_similar(least: float) -> Column:
+    shared = F.least("x.k", "y.k")
+    return shared >= F.lit(least - 1e-6) * (F.col("x.w") + F.col("y.w") - shared)
+
+
+def pairs(left: DataFrame, right: DataFrame, least: float, apart: bool = False) -> DataFrame:
+    """Texts of ``left`` with those of ``right`` in the same bucket that the bound allows, each pair once.
+    With ``apart`` only texts of different labels."""
+    differ = F.col("x.label") != F.col("y.label") if apart else F.col("x.cid") != F.col("y.cid")
+    same = (F.col("x.bucket") == F.col("y.bucket")) & differ & may_be_similar(least)
+    joined = left.alias("x").join(right.alias("y"), same)
+    return joined.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
 
 
 def verified(candidates: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
     """The candidate pairs (a, b) that are similar enough, stored."""
-    candidates = materialize(candidates, "candidates")
-    wanted = candidates.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    here = materialize(texts.select("cid", "z").join(wanted, "cid", "left_semi"), "candidate-texts")
-    both = candidates.join(here.select(F.col("cid").alias("b"), F.col("z").alias("zb")), "b")
-    both = both.join(here.select(F.col("cid").alias("a"), F.col("z").alias("za")), "a")
+    both = candidates.join(texts.select(F.col("cid").alias("b"), F.col("z").alias("zb")), "b")
+    both = both.join(texts.select(F.col("cid").alias("a"), F.col("z").alias("za")), "a")
     both = both.select("a", "b", "za", "zb")
     return materialize(both.mapInArrow(verify_task(idf, least), "a binary, b binary"), "links")
 
@@ -250,6 +298,26 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def first_of(members: DataFrame, n: int) -> DataFrame:
+    """Of every bucket the ``n`` texts with the least share of their own. Each round is one minimum, which adds
+    up before the shuffle, so no bucket is gathered."""
+    own = F.struct((1 - F.col("k") / F.col("w")).alias("own"), "cid", "w", "k")
+    found, left = None, members
+    for _ in range(n):
+        least = left.groupBy("bucket").agg(F.min(own).alias("first")).select("bucket", "first.*")
+        found = least if found is None else found.unionByName(least)
+        after = least.select("bucket", F.struct("own", "cid").alias("last"))
+        left = left.join(after, "bucket").filter(F.struct((1 - F.col("k") / F.col("w")).alias("own"), "cid") > F.col("last"))
+        left = left.drop("last")
+    return found.drop("own")
+
+
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold several texts, with their number ``n``."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return members.join(sizes, "bucket")
+
+
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): ``doc_id``, ``cid`` (MD5 of the text), ``class_id``."""
     text = F.coalesce("text", F.lit(""))
@@ -258,29 +326,28 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     signed = named.select("cid", "text").mapInArrow(sign_task(idf, draws()), "cid binary, bands array<long>, z binary")
     texts = materialize(signed.groupBy("cid").agg(F.first("bands").alias("bands"), F.first("z").alias("z")), "texts")
 
-    members = texts.select("cid", F.explode("bands").alias("bucket"))
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    members = materialize(members.join(sizes, "bucket"), "buckets")
+    members = shared_buckets(texts.select("cid", F.explode("bands").alias("bucket"))).drop("n")
+    members = materialize(members, "buckets")
+    here = materialize(texts.select("cid", "z").join(members.select("cid").distinct(), "cid", "left_semi"), "candidate-texts")
+    shares = shared_weights(here, idf).filter(F.col("k") >= F.lit(least - 1e-6) * F.col("w"))
+    members = materialize(shared_buckets(members.join(shares, "cid")), "buckets")
+
     small, large = members.filter(F.col("n") <= SMALL), members.filter(F.col("n") > SMALL)
-    # The centres of a large bucket: its least text, and the least by other orders.
-    orders = [F.struct(F.xxhash64(F.lit(i), "cid").alias("at"), "cid") if i else F.struct(F.lit(0).cast("bigint").alias("at"), "cid") for i in range(CENTRES)]
-    centres = large.groupBy("bucket").agg(*[F.min(order)["cid"].alias(f"c{i}") for i, order in enumerate(orders)])
-    centres = centres.select("bucket", F.explode(F.array_distinct(F.array(*[f"c{i}" for i in range(CENTRES)]))).alias("cid"))
-    candidates = pairs(small, small.select("bucket", "cid")).unionByName(pairs(large, centres)).distinct()
-    links = verified(candidates, texts, idf, least)
+    # The texts with the least of their own come first: the likeliest partners of all others.
+    centres = first_of(large, CENTRES)
+    candidates = pairs(small, small, least).unionByName(pairs(large, centres, least)).distinct()
+    candidates = materialize(candidates, "candidates")
+    links = verified(candidates, here, idf, least)
     labels = components(links)
 
     # Large buckets in which texts are still apart: whoever isn't of the largest class meets all others.
     labelled = large.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    shares = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("share"))
-    main = shares.groupBy("bucket").agg(F.max(F.struct("share", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("parts"))
-    apart = materialize(labelled.join(main.filter(F.col("parts") > 1), "bucket"), "apart")
-    strays = apart.filter(F.col("label") != F.col("main")).select("bucket", F.col("cid").alias("x"), F.col("label").alias("of_x"))
-    others = apart.select("bucket", F.col("cid").alias("y"), F.col("label").alias("of_y"))
-    rest = strays.join(others, "bucket").filter(F.col("of_x") != F.col("of_y"))
-    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    rest = rest.join(candidates.select("a", "b"), ["a", "b"], "left_anti")
-    more = verified(rest, texts, idf, least)
+    parts = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("part"))
+    main = parts.groupBy("bucket").agg(F.max(F.struct("part", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("parts"))
+    labelled = materialize(labelled.join(main.filter(F.col("parts") > 1), "bucket"), "apart")
+    rest = pairs(labelled.filter(F.col("label") != F.col("main")), labelled, least, apart=True)
+    rest = materialize(rest.join(candidates, ["a", "b"], "left_anti"), "candidates")
+    more = verified(rest, here, idf, least)
     if more.limit(1).count():
         labels = components(links.unionByName(more))
 
