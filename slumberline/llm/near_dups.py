@@ -12,14 +12,14 @@ of their features, sum of minima over sum of maxima, is 0.8 or more; classes are
    feature and t with the probability of their similarity. The random r, c, b of a feature are looked up
    by a hash of the feature in a table of 65,536 draws. At similarity 0.8 a pair shares a band with
    probability 0.9998.
-3. Texts that share a band are candidates. What a text shares with any other candidate bounds its similarity
-   from above: a weight k of w in all gives min(k, k') / (w + w' - min(k, k')) at most. The edits of a near
-   copy are its own for the most part, so this bound is close, and copies that differ too much drop out
-   before any pair of them is made. It needs one exchange of packed 32-bit names (``recurring``).
+3. Texts that share a band are candidates. What a text shares with any other candidate bounds what it shares
+   with one of them: all of its weight that others have, less the least weight for each feature whose
+   bit, in a set of 1,024, the other text lacks. The bound is close, so copies that differ too much drop
+   out before a pair of them is made. It needs one exchange of packed 32-bit names (``recurring``).
 4. In buckets of up to ``SMALL`` texts all pairs that the bound allows are compared. In larger ones every text is
-   paired with the ``CENTRES`` texts that have the least of their own, which is linear in the bucket's
-   size; after the links that gives, texts outside the bucket's largest class are compared with all in
-   other classes that the bound allows. Then every pair of the bucket is settled or in one class already.
+   paired with the ``CENTRES`` most central ones, which is linear in the bucket's size. Texts outside the
+   bucket's largest class then meet ``MORE_CENTRES`` of its texts, and at last all texts of other classes
+   that the bound allows: every pair of the bucket is settled, or in one class already.
 5. Candidates are verified on the whole texts.
 
 Components: each text takes the least label among its neighbours', then the label of its label, until
@@ -49,7 +49,8 @@ U64 = np.uint64
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
-SMALL, CENTRES = 16, 2
+SMALL, CENTRES, MORE_CENTRES = 16, 4, 16
+SET_WORDS = 16
 SLOT_BITS, CHUNK_BITS = 18, 12
 IDF_LIMIT = 3.0
 DRAW_BITS = 16
@@ -226,9 +227,17 @@ def features_of(group: pa.Table, idf: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return name, doc, weights_of(name, count, idf)
 
 
+def bit_sets(name: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` texts a set of bits, one for each feature, as 64-bit words."""
+    bit = (tk.mix(name) >> U64(54)).astype(np.int64)
+    marks = np.zeros((n, 64 * SET_WORDS), dtype=bool)
+    marks[doc, bit] = True
+    return np.packbits(marks, axis=1).view(np.int64)
+
+
 def shared_weights(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """``cid``, ``w`` (weight of all features) and ``k`` (of those that another of the texts has, too). A false
-    match of the 32-bit names could only make k larger, which costs time and no result."""
+    """Per text ``w`` (weight of all features), ``k`` (of those that another of the texts has, too), the ``least``
+    weight of one of these, and their ``bits``. A false match of the 32-bit names could only loosen the bound."""
     bins = int((texts.agg(F.sum(F.octet_length("z"))).first()[0] or 0) // (1 << 19)) + 1
     buckets = max(64, bins // 64)
     binned = texts.select(F.pmod(F.xxhash64("cid"), F.lit(bins)).cast("int").alias("bin"), "cid", "z").groupBy("bin")
@@ -247,19 +256,37 @@ def shared_weights(texts: DataFrame, idf: np.ndarray) -> DataFrame:
         name, doc, weight = features_of(group, idf)
         entries = named(name, doc)
         found = recurring.answers(entries, recurring.REPEATED, recurring.replies_of(back)) | entries.several
+        found = found[entries.entry]
         n = group.num_rows
         every = np.bincount(doc, weights=weight, minlength=n)
-        shared = np.bincount(doc, weights=weight * found[entries.entry], minlength=n)
-        return pa.table({"cid": group.column("cid"), "w": pa.array(every), "k": pa.array(shared)})
+        shared = np.bincount(doc, weights=weight * found, minlength=n)
+        least = np.full(n, np.inf)
+        np.minimum.at(least, doc[found], weight[found].astype(np.float64))
+        bits = bit_sets(name[found], doc[found], n).ravel()
+        sets = pa.FixedSizeListArray.from_arrays(pa.array(bits), SET_WORDS).cast(pa.list_(pa.int64()))
+        columns = [group.column("cid"), pa.array(every), pa.array(shared), pa.array(least), sets]
+        return pa.table(columns, names=["cid", "w", "k", "least", "bits"])
 
     entries = binned.applyInArrow(send, recurring.ENTRY)
     replies = entries.groupBy("kind", "bucket").applyInArrow(recurring.settle, recurring.REPLY)
-    return binned.cogroup(replies.groupBy("bin")).applyInArrow(weigh, "cid binary, w double, k double")
+    schema = "cid binary, w double, k double, least double, bits array<long>"
+    return binned.cogroup(replies.groupBy("bin")).applyInArrow(weigh, schema)
+
+
+def shared_at_most(one: str, other: str) -> Column:
+    """Weight of ``one`` that ``other`` can have."""
+    bits = lambda side, i: F.col(f"{side}.bits")[i]
+    lacking = [F.bit_count(bits(one, i).bitwiseAND(F.bitwise_not(bits(other, i)))) for i in range(SET_WORDS)]
+    return F.col(f"{one}.k") - F.col(f"{one}.least") * sum(lacking[1:], lacking[0])
 
 
 def may_be_similar(least: float) -> Column:
-    shared = F.least("x.k", "y.k")
-    return shared >= F.lit(least - 1e-6) * (F.col("x.w") + F.col("y.w") - shared)
+    """The bound; the weights of both texts alone are looked at first."""
+    total = F.col("x.w") + F.col("y.w")
+    rough = F.least("x.k", "y.k")
+    close = F.least(shared_at_most("x", "y"), shared_at_most("y", "x"))
+    enough = F.lit(least - 1e-6)
+    return (rough >= enough * (total - rough)) & (close >= enough * (total - close))
 
 
 def pairs(left: DataFrame, right: DataFrame, least: float, apart: bool = False) -> DataFrame:
@@ -298,18 +325,24 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def first_of(members: DataFrame, n: int) -> DataFrame:
-    """Of every bucket the ``n`` texts with the least share of their own. Each round is one minimum, which adds
-    up before the shuffle, so no bucket is gathered."""
-    own = F.struct((1 - F.col("k") / F.col("w")).alias("own"), "cid", "w", "k")
-    found, left = None, members
-    for _ in range(n):
-        least = left.groupBy("bucket").agg(F.min(own).alias("first")).select("bucket", "first.*")
-        found = least if found is None else found.unionByName(least)
-        after = least.select("bucket", F.struct("own", "cid").alias("last"))
-        left = left.join(after, "bucket").filter(F.struct((1 - F.col("k") / F.col("w")).alias("own"), "cid") > F.col("last"))
-        left = left.drop("last")
-    return found.drop("own")
+def central(members: DataFrame, n: int) -> DataFrame:
+    """Of every bucket the ``n`` texts that have the least of their own and are nearest to the mean weight: the
+    likeliest partners of all others. Spark keeps the first ``n`` of each task before the shuffle, so no bucket
+    is gathered."""
+    means = members.groupBy("bucket").agg(F.avg(F.log("w")).alias("mean"))
+    off = (1 - F.col("k") / F.col("w")) + F.abs(F.log("w") - F.col("mean"))
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("off", "cid"))
+    ranked = members.join(means, "bucket").withColumn("off", off).withColumn("rank", rank)
+    return ranked.filter(F.col("rank") <= n).select(*members.columns)
+
+
+def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets with texts of several classes, with their ``label`` and the largest, ``main``."""
+    labelled = members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    parts = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("part"))
+    largest = F.max(F.struct("part", "label"))["label"].alias("main")
+    main = parts.groupBy("bucket").agg(largest, F.count(F.lit(1)).alias("parts")).filter(F.col("parts") > 1)
+    return materialize(labelled.join(main.drop("parts"), "bucket"), "apart")
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
@@ -333,23 +366,24 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     members = materialize(shared_buckets(members.join(shares, "cid")), "buckets")
 
     small, large = members.filter(F.col("n") <= SMALL), members.filter(F.col("n") > SMALL)
-    # The texts with the least of their own come first: the likeliest partners of all others.
-    centres = first_of(large, CENTRES)
-    candidates = pairs(small, small, least).unionByName(pairs(large, centres, least)).distinct()
+    candidates = pairs(small, small, least).unionByName(pairs(large, central(large, CENTRES), least)).distinct()
     candidates = materialize(candidates, "candidates")
     links = verified(candidates, here, idf, least)
     labels = components(links)
 
-    # Large buckets in which texts are still apart: whoever isn't of the largest class meets all others.
-    labelled = large.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    parts = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("part"))
-    main = parts.groupBy("bucket").agg(F.max(F.struct("part", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("parts"))
-    labelled = materialize(labelled.join(main.filter(F.col("parts") > 1), "bucket"), "apart")
-    rest = pairs(labelled.filter(F.col("label") != F.col("main")), labelled, least, apart=True)
-    rest = materialize(rest.join(candidates, ["a", "b"], "left_anti"), "candidates")
-    more = verified(rest, here, idf, least)
-    if more.limit(1).count():
-        labels = components(links.unionByName(more))
+    # Large buckets in which texts are still apart: whoever isn't of the largest class meets more of its
+    # central texts, and at last all texts of other classes.
+    for some in (True, False):
+        labelled = apart(large, labels)
+        strays, main = F.col("label") != F.col("main"), F.col("label") == F.col("main")
+        others = central(labelled.filter(main), MORE_CENTRES) if some else labelled
+        rest = pairs(labelled.filter(strays), others, least, apart=True).join(candidates, ["a", "b"], "left_anti")
+        rest = materialize(rest, "candidates")
+        more = verified(rest, here, idf, least)
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            labels = components(links)
+        candidates = candidates.unionByName(rest)
 
     ids = materialize(named.select("doc_id", "cid"), "ids")
     lowest = ids.groupBy("cid").agg(F.min("doc_id").alias("lowest"))
