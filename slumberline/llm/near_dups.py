@@ -22,8 +22,8 @@ of their features, sum of minima over sum of maxima, is 0.8 or more; classes are
    that the bound allows: every pair of the bucket is settled, or in one class already.
 5. Candidates are verified on the whole texts.
 
-Components: each text takes the least label among its neighbours', then the label of its label, until
-nothing changes; tables are written between the steps, and nothing but counts reaches the driver.
+Components: nodes take the name of their least neighbour and links are renamed until none is left; tables are
+written between the rounds, and nothing but counts reaches the driver.
 
 Defined results: texts of fewer than five words have one shingle of all their words; null counts as empty,
 and texts without words are no duplicates of anything, each a class of its own; ``class_id`` is the least
@@ -307,22 +307,37 @@ def verified(candidates: DataFrame, texts: DataFrame, idf: np.ndarray, least: fl
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``cid`` and ``label``, the least cid of its component, for all texts with links; stored."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = materialize(both, "edges")
-    labels = both.groupBy(F.col("a").alias("cid")).agg(F.least(F.min("a"), F.min("b")).alias("label"))
-    labels = materialize(labels, "labels")
-    while True:
-        near = both.join(labels.select(F.col("cid").alias("b"), F.col("label").alias("near")), "b")
-        near = near.groupBy(F.col("a").alias("cid")).agg(F.min("near").alias("near"))
-        hooked = labels.join(near, "cid").select("cid", "label", F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("cid").alias("next"), F.col("label").alias("root"))
-        moved = hooked.join(jump, "next", "left")
-        moved = materialize(moved.select("cid", "label", F.least("next", F.coalesce("root", "next")).alias("next")), "labels")
-        changed = moved.filter(F.col("next") != F.col("label")).limit(1).count()
-        labels = moved.select("cid", F.col("next").alias("label"))
-        if not changed:
-            return labels
+    """``cid`` and ``label`` for all texts with links (a, b); equal labels within a component; stored.
+
+    Each round every node takes the name of the least node next to it, and the links are renamed. A node and
+    the node it is named after stay linked by the link between them, so nothing comes apart, and links
+    within a name vanish; few rounds are left with any.
+    """
+    swapped = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    edges = materialize(links.select("a", "b").unionByName(swapped).filter("a != b").distinct(), "edges")
+    labels = edges.select(F.col("a").alias("cid"), F.col("a").alias("label")).distinct()
+    while edges.limit(1).count():
+        least = edges.groupBy(F.col("a").alias("old")).agg(F.least(F.min("a"), F.min("b")).alias("new"))
+        least = materialize(least, "least")
+        labels = labels.join(least, labels["label"] == least["old"], "left")
+        labels = materialize(labels.select("cid", F.coalesce("new", "label").alias("label")), "labels")
+        renamed = edges.join(least, edges["a"] == least["old"]).select(F.col("new").alias("a"), "b")
+        renamed = renamed.join(least, renamed["b"] == least["old"]).select("a", F.col("new").alias("b"))
+        edges = materialize(renamed.filter("a != b").distinct(), "edges")
+    return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels with more links: only classes are linked anew."""
+    of_a = labels.select(F.col("cid").alias("a"), F.col("label").alias("of_a"))
+    of_b = labels.select(F.col("cid").alias("b"), F.col("label").alias("of_b"))
+    between = links.join(of_a, "a", "left").join(of_b, "b", "left")
+    between = between.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    found = components(between)
+    renamed = found.select(F.col("cid").alias("old"), F.col("label").alias("new"))
+    known = labels.join(renamed, labels["label"] == renamed["old"], "left")
+    known = known.select("cid", F.coalesce("new", "label").alias("label"))
+    return materialize(known.unionByName(found.join(labels, "cid", "left_anti")), "labels")
 
 
 def central(members: DataFrame, n: int) -> DataFrame:
@@ -381,8 +396,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         rest = materialize(rest, "candidates")
         more = verified(rest, here, idf, least)
         if more.limit(1).count():
-            links = links.unionByName(more)
-            labels = components(links)
+            labels = merged(labels, more)
         candidates = candidates.unionByName(rest)
 
     ids = materialize(named.select("doc_id", "cid"), "ids")

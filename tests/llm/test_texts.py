@@ -133,8 +133,21 @@ def test_components(spark):
     chain = [(100 + i, 101 + i) for i in range(40)]
     key = lambda i: i.to_bytes(4, "big")
     links = spark.createDataFrame([(key(a), key(b)) for a, b in edges + chain], "a binary, b binary")
-    got = {int.from_bytes(r.cid, "big"): int.from_bytes(r.label, "big") for r in near_dups.components(links).collect()}
-    assert {i: got[i] for i in (5, 12, 21, 59, 140)} == {5: 1, 12: 10, 21: 20, 59: 30, 140: 100}
+    number = lambda raw: int.from_bytes(raw, "big")
+    classes = [set(range(1, 6)), {10, 11, 12}, {20, 21}, set(range(30, 60)), set(range(100, 141))]
+
+    def check(labels, classes):
+        members = defaultdict(set)
+        for row in labels.collect():
+            members[row.label].add(number(row.cid))
+        assert sorted(map(sorted, members.values())) == sorted(map(sorted, classes))
+
+    labels = near_dups.components(links)
+    check(labels, classes)
+    more = spark.createDataFrame([(key(12), key(200)), (key(4), key(31)), (key(300), key(301))], "a binary, b binary")
+    joined = [classes[0] | classes[3], {10, 11, 12, 200}, {20, 21}, classes[4], {300, 301}]
+    check(near_dups.merged(labels, more), joined)
+    check(near_dups.components(links.filter("false")), [])
 
 
 # --- decontamination -----------------------------------------------------------------------------------
