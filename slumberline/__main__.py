@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from slumberline.functions.clock import UNITS
 from slumberline.plans import jobs
 from slumberline.rules import PEEK_SIZE, REPLAYED_SENSORS, SPLIT_WEIGHTS, ModelParams, SleepRule
-from slumberline.session import build_session
+from slumberline.session import build_session, cleared_scratch
 from slumberline.sources import topic as topics
 from slumberline.sources.events import EventColumns, canonical_events, read_csv_events
 from slumberline.sources.schema import EVENT_ID, MESSAGE_FIELDS
@@ -61,8 +61,7 @@ def _topic(args: argparse.Namespace) -> topics.Topic:
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     stats, hours = jobs.describe(_events(spark, args), _rule(args))
-    if args.stats and args.hours:
-        jobs.write_tables({args.stats: stats, args.hours: hours})
+    jobs.write_tables({path: table for path, table in ((args.stats, stats), (args.hours, hours)) if path})
     stats.show()
     hours.show(24)
 
@@ -158,7 +157,9 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    args.run(build_session("slumberline"), args)
+    spark = build_session("slumberline")
+    with cleared_scratch(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from math import inf
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slumberline.functions.clock import hour_of_day
@@ -32,15 +33,20 @@ def with_label(featured: DataFrame, rule: SleepRule) -> DataFrame:
     return featured.withColumns({LABEL: sleep_label(F.col("pressure_value"), F.col("hour_of_day"), rule)})
 
 
+def usable() -> Column:
+    """A finite reading and an hour. NaN counts as larger than infinity."""
+    return (F.abs("pressure_value") < F.lit(inf)) & F.col("hour_of_day").isNotNull()
+
+
 def inference_table(events: DataFrame, rule: SleepRule, carry: Sequence[str] = ()) -> DataFrame:
-    """Rows of the rule's sensor that can be scored. A row without a reading or an hour is left out,
+    """Rows of the rule's sensor that can be scored. A row without a finite reading or an hour is left out,
     as it is in training, so that one bad message cannot end a stream."""
     featured = with_hour(of_sensor(events, rule.sensor_id), rule)
-    return featured.select(*carry, "timestamp", "sensor_id", *FEATURES).na.drop("any", subset=list(FEATURES))
+    return featured.select(*carry, "timestamp", "sensor_id", *FEATURES).filter(usable())
 
 
 def feature_table(events: DataFrame, rule: SleepRule, carry: Sequence[str] = ()) -> DataFrame:
-    """Labelled feature rows of the rule's sensor, after the ``carry`` columns. Rows with a null or NaN
-    feature go; the label, which is never null, is left out of that check to keep the filter short."""
+    """Labelled feature rows of the rule's sensor, after the ``carry`` columns. Rows with a null
+    or non-finite feature go; the label, which is never null, is left out of that check."""
     featured = with_label(with_hour(of_sensor(events, rule.sensor_id), rule), rule)
-    return featured.select(*carry, *FEATURES, LABEL).na.drop("any", subset=list(FEATURES))
+    return featured.select(*carry, *FEATURES, LABEL).filter(usable())

@@ -161,12 +161,21 @@ def predict(model: PipelineModel, margin_of_row: Column) -> Column:
     return F.when(margin_of_row > F.lit(log(odds) if odds else -inf), 1.0).otherwise(0.0)
 
 
-def score_each(models: Mapping[float, PipelineModel], rows: DataFrame) -> DataFrame:
-    """Score every row with every model in one pass over ``rows``. Each row comes out once per model,
-    with ``reg`` (the model's key), ``margin`` and ``prediction``."""
+def penalty(key: ModelParams | float) -> float:
+    return key.reg_param if isinstance(key, ModelParams) else key
+
+
+def score_each(models: Mapping[ModelParams | float, PipelineModel], rows: DataFrame) -> DataFrame:
+    """Score every row with every model in one pass over ``rows``. Each row comes out once per model, with
+    ``model`` (its place in the mapping), ``reg`` (its penalty), ``margin`` and ``prediction``."""
     margins = {f"_margin_{i}": margin(model) for i, model in enumerate(models.values())}
     outcomes = [
-        F.struct(F.lit(reg).alias("reg"), F.col(name).alias("margin"), predict(model, F.col(name)).alias("prediction"))
-        for name, (reg, model) in zip(margins, models.items())
+        F.struct(
+            F.lit(i).alias("model"),
+            F.lit(penalty(key)).alias("reg"),
+            F.col(name).alias("margin"),
+            predict(model, F.col(name)).alias("prediction"),
+        )
+        for i, (name, (key, model)) in enumerate(zip(margins, models.items()))
     ]
     return rows.withColumns(margins).select(*rows.columns, F.inline(F.array(*outcomes)))

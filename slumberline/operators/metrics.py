@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slumberline.session import materialize
 from slumberline.sources.schema import LABEL
 
+MARGINS_PER_RANGE = 1 << 20
+
 
 def confusion_matrix(scored: DataFrame, weight: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Count per observed (label, prediction)."""
@@ -56,17 +58,37 @@ def _ratio(part: str, whole: str):
     return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(0.0)
 
 
-def area_under_roc(scored: DataFrame, weight: str | None = None) -> float | None:
-    """Area under the ROC curve over every distinct margin, without binning; null for a single class.
+def areas_under_roc(scored: DataFrame, weight: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Area under the ROC curve per ``by``, over every distinct margin, without binning; null for one class.
 
-    Equal margins are added up first, so a margin that very many rows share is one row per class.
+    All models share one pass: equal margins are added up first, so a margin that very many rows share is
+    one row, and that table is stored. The rows below a margin are those of lower ranges of margins,
+    which are few, and those below it in its own range; no task sees all margins.
     """
-    count = F.sum(weight) if weight else F.count(F.lit(1))
-    margins = scored.groupBy("margin", LABEL).agg(count.cast("double").alias("n"))
-    classes = margins.agg(F.min(LABEL), F.max(LABEL)).first()
-    if classes[0] == classes[1]:
-        return None
-    evaluator = BinaryClassificationEvaluator(
-        rawPredictionCol="margin", labelCol=LABEL, weightCol="n", metricName="areaUnderROC", numBins=0
+    count = F.sum(F.when(F.col(LABEL) > 0, _weight(weight))), F.sum(F.when(F.col(LABEL) <= 0, _weight(weight)))
+    none = F.lit(0.0)
+    margins = scored.groupBy(*by, "margin").agg(
+        F.coalesce(count[0].cast("double"), none).alias("p"), F.coalesce(count[1].cast("double"), none).alias("n")
     )
-    return evaluator.evaluate(margins)
+    margins = materialize(margins, "margins")
+    ranges = margins.count() // MARGINS_PER_RANGE + 1
+    cuts = margins.approxQuantile("margin", [i / ranges for i in range(1, ranges)], 0.1 / ranges) if ranges > 1 else []
+    place = F.size(F.filter(F.array(*[F.lit(cut) for cut in cuts]), lambda cut: cut < F.col("margin"))) if cuts else F.lit(0)
+    margins = margins.withColumn("_range", place)
+    lower = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = margins.groupBy(*by, "_range").agg(F.sum("n").alias("_n"))
+    starts = starts.select(*by, "_range", F.coalesce(F.sum("_n").over(lower), none).alias("_start"))
+    within = Window.partitionBy(*by, "_range").orderBy("margin").rowsBetween(Window.unboundedPreceding, -1)
+    placed = margins.withColumn("_before", F.coalesce(F.sum("n").over(within), none)).join(starts, [*by, "_range"])
+    below = F.col("_start") + F.col("_before") + F.col("n") / 2
+    total = F.sum("p") * F.sum("n")
+    return placed.groupBy(*by).agg(F.when(total > 0, F.sum(F.col("p") * below) / total).alias("auc"))
+
+
+def _weight(weight: str | None) -> Column:
+    return F.col(weight) if weight else F.lit(1)
+
+
+def area_under_roc(scored: DataFrame, weight: str | None = None) -> float | None:
+    """The area of rows of one model."""
+    return areas_under_roc(scored, weight).first()["auc"]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from slumberline.functions.hashing import RANGE, key_hash
 from slumberline.rules import EVERY_NTH, SPLIT_SEED, SPLIT_WEIGHTS
 from slumberline.session import materialize
 
@@ -26,10 +27,11 @@ def with_dense_index(rows: DataFrame, *key: str) -> DataFrame:
     order = [*key, "_source"]
     in_source = rows.withColumn("_source", F.monotonically_increasing_id())
     in_order = in_source.repartitionByRange(*order).sortWithinPartitions(*order).drop("_source")
-    placed = materialize(in_order.withColumn("_place", F.monotonically_increasing_id()), "placed")
-    # Fixed values of the generated id: the partition above bit 33, the position below it.
-    placed = placed.withColumn("_partition", F.shiftright("_place", 33))
-    position = F.col("_place").bitwiseAND((1 << 33) - 1)
+    generated = {"_partition": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}
+    placed = materialize(in_order.withColumns(generated), "placed")
+    # Fixed value of the generated id: the partition is added above bit 33. As it is known, the position comes
+    # out right even beyond that bit.
+    position = F.col("_place") - F.shiftleft(F.col("_partition").cast("bigint"), 33)
 
     sizes = placed.groupBy("_partition").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
@@ -43,16 +45,14 @@ def every_nth(rows: DataFrame, key: Sequence[str], n: int = EVERY_NTH) -> DataFr
     return with_dense_index(rows, *key).filter(F.col("idx") % n == 0)
 
 
-def hash_split(
-    rows: DataFrame, key: Sequence[str], weights: Sequence[float] = SPLIT_WEIGHTS, buckets: int = 100
-) -> DataFrame:
+def hash_split(rows: DataFrame, key: Sequence[str], weights: Sequence[float] = SPLIT_WEIGHTS) -> DataFrame:
     """Add ``split`` (train or test) from a hash of ``key``: the same row falls on the same side whatever
-    the layout of the data, and no shuffle is needed. Weights take effect in steps of 1/``buckets``."""
-    text = [F.col(name).cast("string") for name in key]
-    digest = F.md5(text[0] if len(text) == 1 else F.concat_ws("|", *text))
-    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets
-    train_share = round(weights[0] / sum(weights) * buckets)
-    return rows.withColumn("split", F.when(bucket < train_share, SPLIT_NAMES[0]).otherwise(SPLIT_NAMES[1]))
+    the layout of the data, and no shuffle is needed. Shares are exact to 2**-32."""
+    bound = round(weights[0] / sum(weights) * RANGE)
+    if (weights[0] > 0 and bound == 0) or (sum(weights[1:]) > 0 and bound == RANGE):
+        raise ValueError(f"weights {tuple(weights)} leave one side without rows")
+    in_train = key_hash(rows, key) < F.lit(bound)
+    return rows.withColumn("split", F.when(in_train, SPLIT_NAMES[0]).otherwise(SPLIT_NAMES[1]))
 
 
 def random_split(

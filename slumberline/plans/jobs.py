@@ -45,7 +45,7 @@ def train_and_save(
     """Fit, evaluate on the held-out side, save. ``key`` tells events apart for the split; without an
     event id it is the whole event, so copies of an event fall on the same side."""
     training = train(split_features(events, rule, key, weights), [params])
-    save_model(training.models[params.reg_param], model_path)
+    save_model(training.models[params], model_path)
     return training
 
 

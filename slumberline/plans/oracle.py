@@ -21,7 +21,7 @@ ft AS (
          CASE WHEN value > 25.0 AND (hour_of_day >= 22 OR hour_of_day < 7) THEN CAST(1 AS DOUBLE)
               ELSE CAST(0 AS DOUBLE) END AS label
   FROM ev
-  WHERE sensor_id = 'click' AND value IS NOT NULL AND NOT isnan(value) AND hour_of_day IS NOT NULL
+  WHERE sensor_id = 'click' AND isfinite(value) AND hour_of_day IS NOT NULL
 )"""
 )
 
@@ -29,9 +29,10 @@ _SPLIT = (
     _FEATURES
     + """,
 sp AS (
-  SELECT *, CASE WHEN CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 70
-                 THEN 'train' ELSE 'test' END AS split
-  FROM ft
+  SELECT ft.*, CASE WHEN xor(b, b >> 15) < round(0.7 * 4294967296) THEN 'train' ELSE 'test' END AS split
+  FROM (SELECT *, (xor(a, a >> 15) * 1566083941) & 4294967295 AS b
+        FROM (SELECT event_id AS id, ((xor(event_id, event_id >> 32) & 4294967295) * 1103515245) & 4294967295 AS a FROM ft)
+       ) JOIN ft ON id = event_id
 ),
 dev AS MATERIALIZED (
   SELECT stddev_samp(pressure_value) AS std_pressure, stddev_samp(hour_of_day) AS std_hour
@@ -125,7 +126,8 @@ ORACLE_SQL: dict[str, str] = {
     + _EVENTS
     + """
 SELECT "timestamp", sensor_id, value FROM ev
-WHERE "timestamp" IS NOT NULL AND sensor_id IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)""",
+WHERE "timestamp" IS NOT NULL AND sensor_id IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)
+  AND event_id % 7 NOT IN (0, 1)""",
     "sensor_filter_eq": "WITH"
     + _EVENTS
     + "\nSELECT event_id, \"timestamp\", sensor_id, value FROM ev WHERE sensor_id = 'click'",
@@ -136,6 +138,7 @@ WHERE "timestamp" IS NOT NULL AND sensor_id IS NOT NULL AND value IS NOT NULL AN
     + _EVENTS
     + """
 SELECT event_id, "timestamp", value AS pressure_value, hour_of_day FROM ev WHERE sensor_id = 'click'""",
+    "event_clock": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS event_time FROM events",
     "night_pressure_label": "WITH"
     + _EVENTS
     + """

@@ -7,17 +7,16 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from slumberline.operators.features import feature_table, of_sensor
-from slumberline.operators.learning import WEIGHT, feature_cells, fit_each, score_each
-from slumberline.operators.metrics import area_under_roc, classification_report, confusion_matrix
+from slumberline.operators.learning import WEIGHT, feature_cells, fit_each, penalty, score_each
+from slumberline.operators.metrics import areas_under_roc, classification_report, confusion_matrix
 from slumberline.operators.reports import label_distribution, split_counts
 from slumberline.operators.sampling import hash_split, side
 from slumberline.rules import SPLIT_WEIGHTS, ModelParams, SleepRule
-from slumberline.session import at_once, materialize
+from slumberline.session import materialize
 
-BY_MODEL = ("reg",)
+BY_MODEL = ("model", "reg")
 
 
 def split_features(
@@ -34,9 +33,10 @@ def split_features(
 
 @dataclass(frozen=True)
 class Training:
-    """Fitted models by regularization, with reports over the stored cells; no report reads the events again."""
+    """Fitted models by setting, with reports over the stored cells; no report reads the events again. Reports
+    tell models by ``model``, the place of the setting, beside their penalty ``reg``."""
 
-    models: Mapping[float, PipelineModel]
+    models: Mapping[ModelParams, PipelineModel]
     cells: DataFrame
     scored: DataFrame
 
@@ -53,19 +53,21 @@ class Training:
         return classification_report(self.confusion_matrix(), BY_MODEL)
 
     def metrics(self) -> DataFrame:
-        """All quality figures of a model in one row."""
-        return self.report().join(F.broadcast(self.area_under_roc()), list(BY_MODEL))
+        """All quality figures of a model in one row; null where there are no test rows."""
+        keys = [(i, float(penalty(key))) for i, key in enumerate(self.models)]
+        models = self.cells.sparkSession.createDataFrame(keys, "model int, reg double")
+        by = list(BY_MODEL)
+        return models.join(self.report(), by, "left").join(self.area_under_roc(), by, "left")
 
     def area_under_roc(self) -> DataFrame:
-        regs = list(self.models)
-        spark = self.cells.sparkSession
-        areas = at_once(spark, lambda reg: area_under_roc(self.scored.filter(F.col("reg") == reg), WEIGHT), regs)
-        return spark.createDataFrame(list(zip(regs, areas)), "reg double, auc double")
+        return areas_under_roc(self.scored, WEIGHT, BY_MODEL)
 
 
 def train(split_rows: DataFrame, params: Sequence[ModelParams]) -> Training:
     """Fit one model per setting on the train side and score the test side."""
+    if len(set(params)) < len(params):
+        raise ValueError("the same setting is given twice")
     cells = materialize(feature_cells(split_rows, by=["split"]), "cells")
     fitted = fit_each(side(cells, "train"), params)
-    models = {setting.reg_param: model for setting, model in zip(params, fitted)}
+    models = dict(zip(params, fitted))
     return Training(models, cells, score_each(models, side(cells, "test")))

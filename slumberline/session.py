@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -14,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 T = TypeVar("T")
 R = TypeVar("R")
 
+# The paths made inside each open ``cleared_scratch``; helper threads of a job append to them, too.
+_open_scratch: list[list[str]] = []
+
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -33,8 +37,8 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder that ``spark.checkpoint.dir`` names.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
     Only a local session may fall back to a temporary folder: on a cluster the executors could not
     see each other's files there, so a missing setting is an error.
@@ -44,7 +48,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="slumberline-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return root
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path under the shared folder; ``cleared_scratch`` deletes those made inside it."""
+    path = f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for made in _open_scratch:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def cleared_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables of a job when the block ends, also on an error. What reads them must have
+    been shown, written or collected by then."""
+    made: list[str] = []
+    _open_scratch.append(made)
+    try:
+        yield
+    finally:
+        _open_scratch.remove(made)
+        for name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -39,6 +39,12 @@ def canonical_events(raw: DataFrame, columns: EventColumns = EventColumns()) ->
     sensor = F.col(columns.sensor_id)
     if not isinstance(raw.select(sensor).schema[0].dataType, T.StringType):
         sensor = sensor.cast("string")
+    kind = raw.select(columns.timestamp).schema[0].dataType
+    if columns.unit in ("ms", "s") and isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        raise ValueError(
+            f"column {columns.timestamp!r} is a {kind.simpleString()}, not a number in {columns.unit!r}: "
+            "set the unit to timestamp or timestamp_ntz"
+        )
     in_utc = raw.sparkSession.conf.get("spark.sql.session.timeZone") in UTC_NAMES
     selected = [
         epoch_millis(F.col(columns.timestamp), columns.unit, in_utc).alias("timestamp"),
@@ -57,7 +63,9 @@ def read_csv_events(spark: SparkSession, path: str, columns: EventColumns = Even
     ``canonical_events``, so no pass over the data is spent on guessing types and the result does
     not hinge on what the data happens to hold.
     """
-    return canonical_events(spark.read.option("header", True).csv(path), columns)
+    # Without a schema to enforce, a file whose header differs from the first one's is an error, not misread.
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    return canonical_events(raw, columns)
 
 
 def read_parquet_events(spark: SparkSession, path: str, columns: EventColumns = EventColumns()) -> DataFrame:

@@ -35,6 +35,24 @@ def test_report(spark, csv, tmp_path, capsys):
     ]
 
 
+@pytest.mark.parametrize("given, columns", [("--stats", 5), ("--hours", 2)])
+def test_one_report_alone_is_written(spark, csv, tmp_path, given, columns):
+    main(["report", "--input", csv, *COLUMNS, given, str(tmp_path / "only")])
+    assert len(spark.read.option("header", True).csv(str(tmp_path / "only")).columns) == columns
+
+
+def test_a_job_leaves_no_scratch_table(spark, csv, tmp_path, monkeypatch):
+    root = tmp_path / "scratch"
+    root.mkdir()
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    monkeypatch.setattr("slumberline.session.scratch_root", lambda _: str(root))
+    main(["train", "--input", csv, *COLUMNS, "--model", str(tmp_path / "m"), "--reg-param", "0"])
+    assert list(root.iterdir()) == [] and (tmp_path / "m").exists()
+    with pytest.raises(ValueError, match="no training rows"):
+        main(["train", "--input", csv, *COLUMNS, "--sensor", "none", "--model", str(tmp_path / "n")])
+    assert list(root.iterdir()) == [] and spark.conf.get("spark.checkpoint.dir", None) == before
+
+
 def test_train_publish_score_peek(spark, csv, tmp_path, capsys):
     model, topic = str(tmp_path / "model"), str(tmp_path / "topic")
     main(["train", "--input", csv, *COLUMNS, "--model", model, "--reg-param", "0"])

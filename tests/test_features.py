@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from slumberline.functions.clock import epoch_millis, event_time, hour_of_day
+from slumberline.functions.messages import decode_messages
 from slumberline.operators.features import feature_table, inference_table, of_sensors, with_hour, with_label
+from slumberline.operators.learning import coefficients, fit_model
 from slumberline.rules import SleepRule
 from slumberline.sources.events import EXPORT_COLUMNS, EventColumns, canonical_events, read_csv_events
 
@@ -47,6 +49,34 @@ def test_null_and_nan_are_labelled_then_dropped(spark):
     assert [row["event_id"] for row in inference_table(df, RULE, ["event_id"]).collect()] == [3]
 
 
+def test_infinite_readings_are_no_readings(spark):
+    """JSON ``1e39`` and ``"Infinity"`` decode to an infinite 32-bit float."""
+    records = [f'{{"timestamp":{23 * HOUR},"sensor_id":"P02","value":{v}}}' for v in ("1e39", '"Infinity"', "-1e39", "600.0")]
+    decoded = decode_messages(spark.createDataFrame([(r,) for r in records], "value string"))
+    assert [row["pressure_value"] for row in inference_table(decoded, RULE).collect()] == [600.0]
+    rows = [(23 * HOUR, 600.0 + i) for i in range(9)] + [(1, 3.0), (23 * HOUR, math.inf), (23 * HOUR, -math.inf)]
+    table = feature_table(events(spark, *rows), RULE)
+    assert table.count() == 10
+    assert all(math.isfinite(c) for c in coefficients(fit_model(table)))
+
+
+def test_files_with_other_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("timestamp,sensor_id,value\n1700000000000,P02,600\n")
+    (tmp_path / "b.csv").write_text("value,sensor_id,timestamp\n600,P02,1700000000000\n")
+    rows = read_csv_events(spark, str(tmp_path))
+    for frame in (rows, rows.select("value"), rows.select("timestamp", "sensor_id")):
+        with pytest.raises(Exception, match="(?i)header"):
+            frame.collect()
+
+
+@pytest.mark.parametrize("unit", ["ms", "s"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_a_number_unit_on_a_time_column_is_refused(spark, unit, kind):
+    raw = spark.sql(f"SELECT CAST('2024-03-01' AS {kind}) AS timestamp, 'P02' AS sensor_id, 1.0 AS value")
+    with pytest.raises(ValueError, match="set the unit"):
+        canonical_events(raw, EventColumns(unit=unit))
+
+
 def test_hour_of_a_known_instant(spark):
     millis = F.lit(1700000000123)
     row = spark.range(1).select(
@@ -119,7 +149,7 @@ def test_csv_is_read_by_name_without_guessing_types(spark, tmp_path):
 
 def test_a_missing_column_is_an_error(spark, tmp_path):
     (tmp_path / "events.csv").write_text("Time,Sensor_ID,Value\n1,P02,2\n")
-    with pytest.raises(Exception, match="sensor_id"):
+    with pytest.raises(Exception, match="`timestamp`"):
         read_csv_events(spark, str(tmp_path))
 
 

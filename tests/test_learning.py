@@ -103,9 +103,9 @@ def test_loading_nothing_fails(spark, tmp_path):
 
 def test_each_model_scores_each_row_as_its_stages_do(train_rows, models):
     scored = score_each(models, train_rows)
-    assert scored.columns == [*train_rows.columns, "reg", "margin", "prediction"]
+    assert scored.columns == [*train_rows.columns, "model", "reg", "margin", "prediction"]
     for reg, model in models.items():
-        own = scored.filter(F.col("reg") == reg).drop("reg")
+        own = scored.filter(F.col("reg") == reg).drop("model", "reg")
         staged = score(model, train_rows).withColumn("margin", vector_to_array("rawPrediction")[1]).select(own.columns)
         assert own.exceptAll(staged).isEmpty() and staged.exceptAll(own).isEmpty()
 

@@ -76,3 +76,16 @@ def test_hash_split_over_several_columns_and_weights(spark):
 def test_random_split_keeps_every_row(spark):
     train, test = random_split(spark.range(1000))
     assert train.union(test).distinct().count() == 1000
+
+
+def test_small_shares_are_kept_and_lost_ones_refused(spark):
+    rows = spark.range(20000)
+    assert 40 < side(hash_split(rows, ["id"], (0.996, 0.004)), "test").count() < 130
+    assert side(hash_split(rows, ["id"], (0, 1)), "train").isEmpty()
+    with pytest.raises(ValueError, match="without rows"):
+        hash_split(rows, ["id"], (1, 1e-12))
+
+
+def test_hash_of_negative_and_null_keys(spark):
+    rows = spark.createDataFrame([(None,), (-1,), (-(1 << 63),), ((1 << 63) - 1,)], "id long")
+    assert hash_split(rows, ["id"]).count() == 4
