@@ -80,7 +80,7 @@ def permuted(rows: DataFrame, number: str, n: int, seed: int = SEED) -> DataFram
     a, b = grid(n)
     for step in range(a * b - n + 1):
         done = F.col(number) < F.lit(n) if step else F.lit(False)
-        rows = rows.withColumn("_left", F.floor(F.col(number) / F.lit(b)) if b >= 1 << 31 else _quotient(number, b))
+        rows = rows.withColumn("_left", _quotient(number, b))
         rows = rows.withColumn("_right", F.col(number) - F.col("_left") * F.lit(b))
         for i, key in enumerate(keys(seed, ROUNDS)):
             if i % 2 == 0:
