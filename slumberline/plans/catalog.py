@@ -30,7 +30,7 @@ from slumberline.sources.events import (
     read_events_table,
     stream_events_table,
 )
-from slumberline.sources.schema import EVENT_ID, FEATURES, LABEL, MESSAGE_FIELDS
+from slumberline.sources.schema import EVENT_ID, FEATURES, LABEL
 from slumberline.sources.topic import peek, publish_files, read_message_files
 from slumberline.streaming.scoring import scorable_rows, score_messages, start_parquet_sink
 
