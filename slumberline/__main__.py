@@ -109,7 +109,7 @@ def peek(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.files:
         first = topics.peek(topics.read_message_files(spark, args.files), args.n, position=())
     else:
-        first = topics.peek(topics.read_topic(spark, _topic(args)), args.n, position=("partition", "offset"))
+        first = topics.peek_topic(spark, _topic(args), args.n, args.partitions)
     first.show(args.n, truncate=False)
 
 
@@ -152,6 +152,7 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = command(peek, _add_topic)
     sub.add_argument("-n", type=int, default=PEEK_SIZE)
+    sub.add_argument("--partitions", type=int, nargs="+", default=[0], help="partitions of the topic to look into")
     return parser
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slumberline.functions.hashing import RANGE, key_hash
@@ -12,6 +12,9 @@ from slumberline.rules import EVERY_NTH, SPLIT_SEED, SPLIT_WEIGHTS
 from slumberline.session import materialize
 
 SPLIT_NAMES = ("train", "test")
+# How finely a table is cut into ranges, and how many sampled keys find each cut.
+RANGES_PER_PARTITION, SAMPLE_PER_RANGE = 4, 20
+SAMPLE_SEED = 11
 
 
 def with_dense_index(rows: DataFrame, *key: str) -> DataFrame:
@@ -40,9 +43,58 @@ def with_dense_index(rows: DataFrame, *key: str) -> DataFrame:
     return indexed.drop("_partition", "_place", "_start")
 
 
-def every_nth(rows: DataFrame, key: Sequence[str], n: int = EVERY_NTH) -> DataFrame:
-    """Every ``n``-th row by ``key``, starting with the first; ``idx`` is its position among all rows."""
-    return with_dense_index(rows, *key).filter(F.col("idx") % n == 0)
+def cut_points(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row with the array ``cuts``: keys in order that part the rows into about equal ranges; stored, so that
+    every plan that uses them sees the same ones. The sample they come from has a size that follows from the
+    number of shuffle partitions, not from that of rows."""
+    spark = rows.sparkSession
+    ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = min(ranges * SAMPLE_PER_RANGE / max(rows.count(), 1), 1.0)
+    sample = rows.select(*key).sample(share, SAMPLE_SEED)
+    tile = F.ntile(ranges).over(Window.orderBy(*key))
+    first = sample.withColumn("_tile", tile).groupBy("_tile").agg(F.min(F.struct(*key)).alias("_cut"))
+    return materialize(first.agg(F.array_sort(F.array_distinct(F.collect_list("_cut"))).alias("cuts")), "cuts")
+
+
+def range_of(cuts: Column, key: Column) -> Column:
+    """How many of the ordered ``cuts`` are at most ``key``, by halving."""
+    halvings = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + 1)).cast("int"))
+
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.shiftright(low + high, 1)
+        after = F.get(cuts, middle) <= key
+        narrowed = F.struct(
+            F.when(after, middle + 1).otherwise(low).alias("low"), F.when(after, high).otherwise(middle).alias("high")
+        )
+        return F.when(low < high, narrowed).otherwise(state)
+
+    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+    return F.aggregate(halvings, start, halve, lambda state: state["low"])
+
+
+def with_index_of_key(rows: DataFrame, *key: str) -> DataFrame:
+    """Add ``idx`` as ``with_dense_index`` does, for a key that tells the rows apart.
+
+    A row's range then follows from its key and fixed cut points, so counting the ranges, which moves no
+    rows, and numbering within them agree without a stored copy of the table. Should keys repeat, the index
+    is dense still, the order of rows with equal keys is open, and they stay in one range.
+    """
+    cuts = cut_points(rows, key).scalar()
+    ranged = rows.withColumn("_cuts", cuts).withColumn("_range", range_of(F.col("_cuts"), F.struct(*key))).drop("_cuts")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*key)) - 1
+    indexed = ranged.withColumn("_place", place).join(F.broadcast(starts), "_range")
+    return indexed.withColumn("idx", F.col("_start") + F.col("_place")).drop("_range", "_place", "_start")
+
+
+def every_nth(rows: DataFrame, key: Sequence[str], n: int = EVERY_NTH, unique: bool = False) -> DataFrame:
+    """Every ``n``-th row by ``key``, starting with the first; ``idx`` is its position among all rows. With
+    ``unique`` the key tells the rows apart, and no copy of the table is stored."""
+    index = with_index_of_key if unique else with_dense_index
+    return index(rows, *key).filter(F.col("idx") % n == 0)
 
 
 def hash_split(rows: DataFrame, key: Sequence[str], weights: Sequence[float] = SPLIT_WEIGHTS) -> DataFrame:

@@ -131,7 +131,7 @@ def topic_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def every_nth_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     replayed = of_sensors(read_events_table(spark, sf_dir), REPLAYED)
-    sampled = sampling.every_nth(replayed.select(EVENT_ID, "sensor_id", "value"), [EVENT_ID])
+    sampled = sampling.every_nth(replayed.select(EVENT_ID, "sensor_id", "value"), [EVENT_ID], unique=True)
     return _plain(sampled.select("idx", EVENT_ID, "sensor_id", "value"))
 
 

@@ -6,6 +6,7 @@ The connector is not part of PySpark: submit with its package to use the broker
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -55,6 +56,14 @@ def read_topic(spark: SparkSession, topic: Topic) -> DataFrame:
     return spark.read.format(CONNECTOR).options(**read_options(topic, "earliest")).load()
 
 
+def read_partition(spark: SparkSession, topic: Topic, partition: int) -> DataFrame:
+    """Bounded read of one partition of a topic from its earliest offset, in the order of its offsets."""
+    options = read_options(topic, "earliest")
+    del options["subscribe"]
+    options["assign"] = json.dumps({topic.name: [partition]})
+    return spark.read.format(CONNECTOR).options(**options).load()
+
+
 def publish(records: DataFrame, topic: Topic) -> None:
     """Write records to a topic from the executors."""
     records.write.format(CONNECTOR).options(**write_options(topic)).save()
@@ -101,6 +110,24 @@ def peek(
     return decode_messages(records.orderBy(*position).limit(n), carry)
 
 
+def peek_topic(spark: SparkSession, topic: Topic, n: int = PEEK_SIZE, partitions: Sequence[int] = (0,)) -> DataFrame:
+    """The first ``n`` records of a broker's topic by partition and offset, decoded.
+
+    The partitions are read one by one until ``n`` records are found. Their records come in order, so a limit
+    right above the scan needs no sort and stops it early, however long the topic is. The driver gets ``n`` records.
+    """
+    columns = ["partition", "offset", "key", "value"]
+    schema = T.StructType([])
+    found: list = []
+    for partition in sorted(partitions):
+        first = read_partition(spark, topic, partition).select(*columns).limit(n - len(found))
+        schema = first.schema
+        found += first.collect()
+        if len(found) >= n:
+            break
+    return decode_messages(spark.createDataFrame(found, schema), columns[:-1])
+
+
 def _up_to(last: dict[str, int]) -> Column:
     """Positions up to ``last``, in lexicographic order, as comparisons that a scan can use."""
     (name, bound), *rest = last.items()

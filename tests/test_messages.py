@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slumberline.functions.messages import decode_messages, encode_messages, may_concern
 from slumberline.rules import SleepRule
+from slumberline.sources import topic as topics
 from slumberline.sources.topic import (
     Topic,
     peek,
@@ -117,6 +118,43 @@ def test_peek_over_partitions(spark, columnar):
     assert [(row["partition"], row["offset"]) for row in found] == [(0, 0), (0, 3), (0, 6), (0, 9), (1, 1), (1, 4)]
 
 
+@pytest.mark.parametrize("n, expected", [(0, []), (2, [(0, 0), (0, 3)]), (6, [(0, 0), (0, 3), (0, 6), (0, 9), (1, 1), (1, 4)])])
+def test_peek_at_a_broker_reads_partition_by_partition(spark, monkeypatch, n, expected):
+    read = []
+
+    def partition_of(spark, topic, partition):
+        read.append(topic_records(spark, 12).filter(F.col("partition") == partition).coalesce(1).sortWithinPartitions("offset"))
+        return read[-1]
+
+    monkeypatch.setattr(topics, "read_partition", partition_of)
+    found = topics.peek_topic(spark, Topic("events", "host:9092"), n, partitions=(1, 0, 2))
+    assert [(row["partition"], row["offset"]) for row in found.collect()] == expected
+    assert all(row["timestamp"] == row["offset"] and row["key"] == "k" for row in found.collect())
+    assert len(read) == (2 if n == 6 else 1)
+
+
+def test_peek_finds_fewer_records_than_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(topics, "read_partition", lambda spark, topic, p: topic_records(spark, 12).filter(F.col("partition") == p))
+    assert topics.peek_topic(spark, Topic("events", "host:9092"), 50, partitions=(0, 1)).count() == 8
+
+
+def test_a_partition_is_assigned_not_subscribed():
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            self.given = options
+            return self
+
+        def load(self):
+            return self.given
+
+    session = type("Session", (), {"read": Reader()})
+    given = topics.read_partition(session, Topic("events", "host:9092"), 3)
+    assert given["assign"] == '{"events": [3]}' and given["startingOffsets"] == "earliest" and "subscribe" not in given
+
+
 def test_peek_in_source_order(spark):
     assert peek(topic_records(spark, 12), 4, position=()).count() == 4
 

@@ -4,7 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from slumberline.operators import sampling
-from slumberline.operators.sampling import every_nth, hash_split, random_split, side, with_dense_index
+from slumberline.operators.sampling import (
+    every_nth,
+    hash_split,
+    random_split,
+    side,
+    with_dense_index,
+    with_index_of_key,
+)
 from slumberline.session import materialize
 
 
@@ -14,21 +21,45 @@ def keyed(spark, ids, partitions):
     return spark.createDataFrame([(i, f"row {i}") for i in shuffled], "k long, text string").repartition(partitions)
 
 
+@pytest.mark.parametrize("index", [with_dense_index, with_index_of_key])
 @pytest.mark.parametrize("partitions", [1, 8])
-def test_dense_index_is_the_rank(spark, partitions):
+def test_dense_index_is_the_rank(spark, partitions, index):
     # Most keys lie close together, a few far away, some below zero.
     ids = [*range(700), *range(10**15, 10**15 + 20), *range(-40, 0)]
-    rows = with_dense_index(keyed(spark, ids, partitions), "k").select("k", "idx").collect()
+    rows = index(keyed(spark, ids, partitions), "k").select("k", "idx").collect()
     assert {row["k"]: row["idx"] for row in rows} == {k: i for i, k in enumerate(sorted(ids))}
 
 
+@pytest.mark.parametrize("unique", [False, True])
 @pytest.mark.parametrize("n, expected", [(0, []), (1, [0]), (3, [0]), (250, [0, 100, 200])])
-def test_every_hundredth(spark, n, expected):
-    rows = every_nth(keyed(spark, range(10, 10 + n), 3), ["k"])
+def test_every_hundredth(spark, n, expected, unique):
+    rows = every_nth(keyed(spark, range(10, 10 + n), 3), ["k"], unique=unique)
     assert sorted(row["idx"] for row in rows.collect()) == expected
     assert rows.columns == ["k", "text", "idx"]
 
 
+def test_index_of_a_unique_key_stores_cut_points_only(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(sampling, "materialize", lambda *args: stored.append(materialize(*args)) or stored[-1])
+    ranges = sampling.RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = keyed(spark, [*range(20000), *range(10**12, 10**12 + 500)], 8)
+    assert every_nth(rows, ["k"], unique=True).count() == 205
+    cuts = stored[0].first()["cuts"]
+    assert len(stored) == 1 and stored[0].count() == 1 and len(cuts) == ranges and cuts == sorted(cuts)
+    ranged = rows.withColumn("cuts", stored[0].scalar())
+    sizes = ranged.groupBy(sampling.range_of(F.col("cuts"), F.struct("k")).alias("r")).count()
+    assert sizes.agg(F.max("count")).first()[0] < 4 * 20500 / ranges
+
+
+def test_index_of_keys_with_nulls_copies_and_several_columns(spark):
+    ids = [None, None, 3, 3, 3, -1, 10**15, *range(500)]
+    rows = spark.createDataFrame([(i, f"{j % 7}") for j, i in enumerate(ids)], "k long, text string").repartition(4)
+    indexed = with_index_of_key(rows, "k", "text").orderBy("idx").collect()
+    assert [row["idx"] for row in indexed] == list(range(len(ids)))
+    keys = [(row["k"] is not None, row["k"] or 0, row["text"]) for row in indexed]
+    assert keys == sorted(keys)
+
+
 def test_a_hot_value_is_told_apart_by_the_rest_of_the_key(spark):
     rows = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(3000)], "hot long, k long")
     indexed = with_dense_index(rows.repartition(8), "hot", "k").orderBy("idx").collect()
