@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from slumberline.functions.hashing import RANGE, key_hash
@@ -43,34 +43,38 @@ def with_dense_index(rows: DataFrame, *key: str) -> DataFrame:
     return indexed.drop("_partition", "_place", "_start")
 
 
-def cut_points(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row with the array ``cuts``: keys in order that part the rows into about equal ranges; stored, so that
-    every plan that uses them sees the same ones. The sample they come from has a size that follows from the
-    number of shuffle partitions, not from that of rows."""
-    spark = rows.sparkSession
-    ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def cut_points(rows: DataFrame, key: Sequence[str]) -> list[Row]:
+    """Keys in order that part the rows into about equal ranges. The sample they come from and their own number
+    follow from the number of shuffle partitions, not from that of rows."""
+    ranges = RANGES_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = min(ranges * SAMPLE_PER_RANGE / max(rows.count(), 1), 1.0)
     sample = rows.select(*key).sample(share, SAMPLE_SEED)
     tile = F.ntile(ranges).over(Window.orderBy(*key))
     first = sample.withColumn("_tile", tile).groupBy("_tile").agg(F.min(F.struct(*key)).alias("_cut"))
-    return materialize(first.agg(F.array_sort(F.array_distinct(F.collect_list("_cut"))).alias("cuts")), "cuts")
+    return first.select("_cut.*").distinct().orderBy(*key).collect()
 
 
-def range_of(cuts: Column, key: Column) -> Column:
-    """How many of the ordered ``cuts`` are at most ``key``, by halving."""
-    halvings = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + 1)).cast("int"))
+def at_least(columns: Sequence[Column], values: Sequence[Column | None]) -> Column:
+    """Whether the columns, read as one key with nulls first, are ``values`` or come after them; null for no."""
+    column, value = columns[0], values[0]
+    above, same = (column.isNotNull(), column.isNull()) if value is None else (column > value, column == value)
+    return above | (same & at_least(columns[1:], values[1:]) if len(columns) > 1 else same)
 
-    def halve(state: Column, _: Column) -> Column:
-        low, high = state["low"], state["high"]
-        middle = F.shiftright(low + high, 1)
-        after = F.get(cuts, middle) <= key
-        narrowed = F.struct(
-            F.when(after, middle + 1).otherwise(low).alias("low"), F.when(after, high).otherwise(middle).alias("high")
-        )
-        return F.when(low < high, narrowed).otherwise(state)
 
-    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
-    return F.aggregate(halvings, start, halve, lambda state: state["low"])
+def range_of(cuts: Sequence[Row], rows: DataFrame, key: Sequence[str]) -> Column:
+    """How many of the ordered ``cuts`` a row's key is not below, by halving. The halvings are written out as
+    one expression, which stays in the generated code of its stage."""
+    types = [rows.schema[name].dataType for name in key]
+    columns = [F.col(name) for name in key]
+
+    def halve(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        values = [None if v is None else F.lit(v).cast(kind) for v, kind in zip(cuts[middle], types)]
+        return F.when(at_least(columns, values), halve(middle + 1, high)).otherwise(halve(low, middle))
+
+    return halve(0, len(cuts))
 
 
 def with_index_of_key(rows: DataFrame, *key: str) -> DataFrame:
@@ -80,8 +84,7 @@ def with_index_of_key(rows: DataFrame, *key: str) -> DataFrame:
     rows, and numbering within them agree without a stored copy of the table. Should keys repeat, the index
     is dense still, the order of rows with equal keys is open, and they stay in one range.
     """
-    cuts = cut_points(rows, key).scalar()
-    ranged = rows.withColumn("_cuts", cuts).withColumn("_range", range_of(F.col("_cuts"), F.struct(*key))).drop("_cuts")
+    ranged = rows.withColumn("_range", range_of(cut_points(rows, key), rows, key))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
