@@ -10,12 +10,13 @@ place of the usual exclusive or. A place beyond N is sent through again (cycle w
 a walk visits another of the a * b - N places beyond N, so that many steps always suffice; the sides are
 chosen such that there are hardly any.
 
-Numbering takes no global sort: a row's bucket is a hash of its key, buckets are counted, and rows are
-numbered within their bucket. The number of buckets follows that of the rows, and one row per bucket
-is broadcast while there are at most 2**20.
+Numbering takes no global sort: a row's bucket is a hash of its key and ``ties``, buckets are counted, and rows
+are numbered within their bucket. So a key that very many rows share, as null may be, is spread over buckets
+where the ties tell its rows apart. The number of buckets follows that of the rows, and one row per bucket is
+broadcast while there are at most 2**20.
 
-Defined results: a null key is a key like others (they share a bucket); rows with equal keys are put in the
-order of ``ties``, and rows equal in these too are interchangeable; input columns named ``shard`` or
+Defined results: a null key is a key like others; rows with equal keys are told apart by ``ties``, and
+rows equal in these too are interchangeable; input columns named ``shard`` or
 ``slot`` are replaced; an empty table gives an empty table.
 """
 
@@ -97,10 +98,10 @@ def _quotient(name: str, by: int) -> Column:
 
 
 def numbered(rows: DataFrame, key: str, ties: Sequence[str], name: str) -> tuple[DataFrame, int]:
-    """Number the rows 0, 1, 2, … by hash bucket, key and ``ties``; gives their count, too."""
+    """Number the rows 0, 1, 2, … by hash bucket (of key and ties), key and ``ties``; gives their count, too."""
     n = rows.count()
     buckets = n // ROWS_PER_BUCKET + 1
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64(key, *ties), F.lit(buckets))
     sizes = rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))

@@ -289,3 +289,16 @@ def test_buckets_are_put_one_after_another(documents, monkeypatch):
     monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", 16)
     numbered, n = sharding.numbered(documents(*[(i, "x") for i in range(300)]), "doc_id", (), "number")
     assert n == 300 and sorted(r.number for r in numbered.collect()) == list(range(300))
+
+
+def test_rows_of_a_hot_key_are_spread_over_buckets(documents, monkeypatch):
+    """A third of all rows have no id. No bucket, and so no task that numbers one, may hold them all."""
+    monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", 16)
+    rows = documents(*[(None if i % 3 == 0 else i, f"text {i}") for i in range(600)])
+    numbered, n = sharding.numbered(rows, "doc_id", ("text",), "number")
+    got = numbered.filter("doc_id is null").select("number").collect()
+    everything = numbered.agg(F.count_distinct("number"), F.min("number"), F.max("number")).first()
+    assert everything == (600, 0, 599) and n == 600
+    # Numbers of a bucket lie together; those of the hot key must not be one run.
+    places = sorted(r.number for r in got)
+    assert max(b - a for a, b in zip(places, places[1:])) > 1 and places[-1] - places[0] > 2 * len(places)
