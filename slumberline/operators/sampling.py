@@ -12,8 +12,9 @@ from slumberline.rules import EVERY_NTH, SPLIT_SEED, SPLIT_WEIGHTS
 from slumberline.session import materialize
 
 SPLIT_NAMES = ("train", "test")
-# How finely a table is cut into ranges, and how many sampled keys find each cut.
-RANGES_PER_PARTITION, SAMPLE_PER_RANGE = 4, 20
+# How finely a table is cut into ranges, and how many sampled keys find each cut. Every cut is a comparison in the
+# plan, so a small table gets few.
+RANGES_PER_PARTITION, ROWS_PER_RANGE, SAMPLE_PER_RANGE = 4, 1 << 16, 20
 SAMPLE_SEED = 11
 
 
@@ -44,10 +45,12 @@ def with_dense_index(rows: DataFrame, *key: str) -> DataFrame:
 
 
 def cut_points(rows: DataFrame, key: Sequence[str]) -> list[Row]:
-    """Keys in order that part the rows into about equal ranges. The sample they come from and their own number
-    follow from the number of shuffle partitions, not from that of rows."""
-    ranges = RANGES_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = min(ranges * SAMPLE_PER_RANGE / max(rows.count(), 1), 1.0)
+    """Keys in order that part the rows into about equal ranges. The number of shuffle partitions bounds theirs
+    and that of the sample they come from."""
+    n = rows.count()
+    most = RANGES_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(n // ROWS_PER_RANGE + 1, most)
+    share = min(ranges * SAMPLE_PER_RANGE / max(n, 1), 1.0)
     sample = rows.select(*key).sample(share, SAMPLE_SEED)
     tile = F.ntile(ranges).over(Window.orderBy(*key))
     first = sample.withColumn("_tile", tile).groupBy("_tile").agg(F.min(F.struct(*key)).alias("_cut"))

@@ -23,7 +23,8 @@ def keyed(spark, ids, partitions):
 
 @pytest.mark.parametrize("index", [with_dense_index, with_index_of_key])
 @pytest.mark.parametrize("partitions", [1, 8])
-def test_dense_index_is_the_rank(spark, partitions, index):
+def test_dense_index_is_the_rank(spark, monkeypatch, partitions, index):
+    monkeypatch.setattr(sampling, "ROWS_PER_RANGE", 32)
     # Most keys lie close together, a few far away, some below zero.
     ids = [*range(700), *range(10**15, 10**15 + 20), *range(-40, 0)]
     rows = index(keyed(spark, ids, partitions), "k").select("k", "idx").collect()
@@ -40,6 +41,7 @@ def test_every_hundredth(spark, n, expected, unique):
 
 def test_index_of_a_unique_key_stores_nothing(spark, monkeypatch):
     monkeypatch.setattr(sampling, "materialize", lambda *args: pytest.fail("a table is stored"))
+    monkeypatch.setattr(sampling, "ROWS_PER_RANGE", 64)
     ranges = sampling.RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = keyed(spark, [*range(20000), *range(10**12, 10**12 + 500)], 8)
     assert every_nth(rows, ["k"], unique=True).count() == 205
@@ -49,7 +51,8 @@ def test_index_of_a_unique_key_stores_nothing(spark, monkeypatch):
     assert sizes.agg(F.max("count")).first()[0] < 4 * 20500 / ranges
 
 
-def test_index_of_keys_with_nulls_copies_and_several_columns(spark):
+def test_index_of_keys_with_nulls_copies_and_several_columns(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "ROWS_PER_RANGE", 16)
     ids = [None, None, 3, 3, 3, -1, 10**15, *range(500)]
     rows = spark.createDataFrame([(i, f"{j % 7}") for j, i in enumerate(ids)], "k long, text string").repartition(4)
     indexed = with_index_of_key(rows, "k", "text").orderBy("idx").collect()
