@@ -1,9 +1,9 @@
 """Near-duplicates: improved consistent weighted sampling over TF-IDF shingles, banded and verified.
 
-A text's features are its shingles of five words, weighed by count times ``1 + min(log(N / df), 3)``. The
-document frequency is counted over all documents in 2**18 hashed slots; the bound on the logarithm lets
-only what more than a twentieth of the documents share weigh less, so that members of a large
-group of copies don't lose what they have in common. Two texts are linked if the weighted Jaccard similarity
+A text's features are its shingles of five words, weighed by count times ``1 + min(log(N / df), log 2)``. The
+document frequency is counted over all documents in 2**18 hashed slots, copies included; the bound on the
+logarithm lets only what more than half of the documents share weigh less, so that members of a group of
+copies with up to half of the rows are as similar as they would be in a mixed corpus. Two texts are linked if the weighted Jaccard similarity
 of their features, sum of minima over sum of maxima, is 0.8 or more; classes are the connected components.
 
 1. Exact copies are one text (128 bits of MD5), which is sampled and stored compressed once.
@@ -52,7 +52,7 @@ BANDS, ROWS = 16, 4
 SMALL, CENTRES, MORE_CENTRES = 16, 4, 16
 SET_WORDS = 16
 SLOT_BITS, CHUNK_BITS = 18, 12
-IDF_LIMIT = 3.0
+IDF_LIMIT = float(np.log(2))
 DRAW_BITS = 16
 SEED = 31
 

@@ -108,6 +108,17 @@ def test_large_buckets_are_exact(documents, monkeypatch):
     assert all(r.class_id == expected[(r.doc_id, texts[r.doc_id])] for r in near_dups.classes(frame).collect())
 
 
+@pytest.mark.parametrize("others", [8, 16, 80])
+def test_a_hot_group_is_as_similar_as_in_a_mixed_corpus(documents, others):
+    """Half, a third and a tenth of the rows: each member has an own edit, and plain Jaccard 0.841 with the others."""
+    base = [f"w{i}" for i in range(120)]
+    members = [" ".join(base[: 10 + 12 * k] + [f"edit{k}"] + base[11 + 12 * k :]) for k in range(8)]
+    rest = [" ".join(f"r{n}x{i}" for i in range(120)) for n in range(others)]
+    frame = documents(*enumerate(members + rest))
+    got = {r.doc_id: r.class_id for r in near_dups.classes(frame).collect()}
+    assert got == {i: 0 if i < 8 else i for i in range(8 + others)}
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(5)
     names = rng.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2)
