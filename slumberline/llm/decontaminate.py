@@ -26,7 +26,7 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slumberline.llm import tokens as tk
@@ -37,6 +37,7 @@ MIN_MATCH = 5
 COVERAGE = 0.8
 SEARCH_FROM = 40
 BITMAP_BITS, PIECE_BITS = 26, 20
+CARRIED = ("row", "doc_id", "digest")
 TILES = "array<struct<doc_word:long,item_word:long,words:long>>"
 
 
@@ -127,10 +128,10 @@ def suspect_task(marks: np.ndarray, need: int):
                 if len(some) == 0:
                     continue
                 cut = np.searchsorted(doc, np.arange(hi - lo + 1))
-                columns = [batch.column(name).slice(lo, hi - lo).take(pa.array(some)) for name in ("row", "doc_id")]
+                columns = [batch.column(name).slice(lo, hi - lo).take(pa.array(some)) for name in CARRIED]
                 columns.append(pa.array([press.compress(part[at[i] : at[i + 1]].tobytes()) for i in some], pa.binary()))
                 columns.append(pa.array([seeds[cut[i] : cut[i + 1]].view(np.int64) for i in some], pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "z", "seeds"])
+                yield pa.RecordBatch.from_arrays(columns, [*CARRIED, "z", "seeds"])
 
     return suspects
 
@@ -210,25 +211,41 @@ def tile_task(coverage: float):
                     kept.append(n)
                     shares.append(share)
                     found.append([{"doc_word": a, "item_word": b, "words": c} for a, b, c in sorted(made)])
-            here = batch.select(["row", "doc_id", "item_id"]).take(pa.array(kept, pa.int64()))
+            here = batch.select([*CARRIED, "item_id"]).take(pa.array(kept, pa.int64()))
             kind = pa.list_(pa.struct([("doc_word", pa.int64()), ("item_word", pa.int64()), ("words", pa.int64())]))
             columns = [*here.columns, pa.array(shares, pa.float64()), pa.array(found, kind)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "item_id", "coverage", "tiles"])
+            yield pa.RecordBatch.from_arrays(columns, [*CARRIED, "item_id", "coverage", "tiles"])
 
     return tiles
 
 
+def text_digest(text: Column) -> Column:
+    """128 bits of MD5; the same at every read, unlike a row's number."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """One row per document and item it holds: row, doc_id, item_id, coverage, tiles. ``row`` is the
     ``row`` column of ``docs``, if there is one, and tells documents with equal ids apart."""
+    found = holdings(docs, benchmark, coverage).drop("digest")
+    return found if "row" in docs.columns else found.drop("row")
+
+
+def holdings(docs: DataFrame, benchmark: DataFrame, coverage: float) -> DataFrame:
+    """The rows of ``contaminated`` with ``row`` and the ``digest`` of the document's text."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.lower("text").alias("text")).distinct()
     made = items.mapInArrow(item_task(coverage), "item_id long, names binary, seeds array<long>, need int")
     made = made.filter(F.size("seeds") > 0).withColumn("item", F.xxhash64("names"))
     made = materialize(made, "items")
     need = made.agg(F.min("need")).first()[0]
     row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id()
-    rows = docs.select(row.cast("bigint").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.lower("text").alias("text"))
-    schema = "row long, doc_id long, z binary, seeds array<long>"
+    rows = docs.select(
+        row.cast("bigint").alias("row"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        text_digest(F.col("text")).alias("digest"),
+        F.lower("text").alias("text"),
+    )
+    schema = "row long, doc_id long, digest binary, z binary, seeds array<long>"
     if need is None:
         suspects = rows.limit(0).mapInArrow(suspect_task(np.zeros(1 << BITMAP_BITS - 3, np.uint8), 1), schema)
     else:
@@ -238,14 +255,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     shared = doc_seeds.join(item_seeds, "seed").groupBy("row", "item", "need").agg(F.count(F.lit(1)).alias("n"))
     pairs = shared.filter(F.col("n") >= F.col("need")).select("row", "item")
     found = pairs.join(suspects.drop("seeds"), "row").join(made.select("item", "item_id", "names"), "item")
-    tiled = found.select("row", "doc_id", "z", "item_id", "names").mapInArrow(
-        tile_task(coverage), f"row long, doc_id long, item_id long, coverage double, tiles {TILES}"
+    return found.select(*CARRIED, "z", "item_id", "names").mapInArrow(
+        tile_task(coverage), f"row long, doc_id long, digest binary, item_id long, coverage double, tiles {TILES}"
     )
-    return tiled if "row" in docs.columns else tiled.drop("row")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The documents that hold no benchmark item. Rows with equal ids go or stay together."""
-    held = contaminated(docs.select("doc_id", "text"), benchmark, coverage)
-    held = held.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("_held")).distinct()
-    return docs.join(held, docs["doc_id"].eqNullSafe(F.col("_held")), "left_anti")
+    """The documents that hold no benchmark item. Rows that agree in id and text go or stay together; of other rows
+    with the same id, null for one, only those that hold an item go."""
+    held = holdings(docs.select("doc_id", "text"), benchmark, coverage)
+    held = held.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("_held"), F.col("digest").alias("_digest"))
+    same = docs["doc_id"].eqNullSafe(F.col("_held")) & (text_digest(docs["text"]) == F.col("_digest"))
+    return docs.join(held.distinct(), same, "left_anti")

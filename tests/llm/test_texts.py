@@ -219,6 +219,15 @@ def test_decontamination_edges(spark, documents):
     assert decontaminate.clean(docs, bench.filter("false")).count() == 3
 
 
+def test_clean_documents_stay_whatever_id_they_share(spark, documents):
+    bench = spark.createDataFrame([(1, "a b c d e f")], BENCHMARK)
+    held, fine = "x A b c d e f y", [f"clean text number {i}" for i in range(6)]
+    docs = documents((None, held), (None, held), (5, held), *[(None, t) for t in fine], (5, fine[0]), (5, None), (None, None))
+    kept = decontaminate.clean(docs, bench)
+    expected = [(None, t) for t in fine] + [(5, fine[0]), (5, None), (None, None)]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(expected) and kept.columns == docs.columns
+
+
 def greedy(item, doc, least):
     """String tiling by the definition: the longest free common run first."""
     free_i, free_d, tiles = [True] * len(item), [True] * len(doc), []
