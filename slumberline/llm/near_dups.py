@@ -27,7 +27,7 @@ written between the rounds, and nothing but counts reaches the driver.
 
 Defined results: texts of fewer than five words have one shingle of all their words; null counts as empty,
 and texts without words are no duplicates of anything, each a class of its own; ``class_id`` is the least
-id of a class (null if it has none); rows that agree in id and text are copies; other columns are ignored,
+id of a class (null if it has none), and one row of a class is kept, also among rows with one id or none; rows that agree in id and text are copies; other columns are ignored,
 whatever their names; an empty table gives an empty table.
 """
 
@@ -367,7 +367,7 @@ def shared_buckets(members: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): ``doc_id``, ``cid`` (MD5 of the text), ``class_id``."""
+    """Per row of ``docs`` (doc_id, text): ``doc_id``, ``cid`` (MD5 of the text), ``class_id``, and whether it is ``kept``."""
     text = F.coalesce("text", F.lit(""))
     named = docs.select("doc_id", F.unhex(F.md5(text.cast("binary"))).alias("cid"), text.alias("text"))
     idf = inverse_frequencies(named)
@@ -399,21 +399,29 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
             labels = merged(labels, more)
         candidates = candidates.unionByName(rest)
 
+    # Of a class that row stays whose id is least; among rows with the same id, or none, the least cid decides.
     ids = materialize(named.select("doc_id", "cid"), "ids")
     lowest = ids.groupBy("cid").agg(F.min("doc_id").alias("lowest"))
-    of_label = labels.join(lowest, "cid").groupBy("label").agg(F.min("lowest").alias("class_id"))
-    linked = labels.join(of_label, "label").select("cid", "class_id")
-    of_cid = lowest.join(linked, "cid", "left").select("cid", F.coalesce("class_id", "lowest").alias("class_id"))
+    first = F.min(F.struct(F.col("lowest").isNull().alias("none"), "lowest", "cid"))
+    of_label = labels.join(lowest, "cid").groupBy("label").agg(first.alias("first"))
+    linked = labels.join(of_label, "label").select("cid", "first")
+    own = F.struct(F.col("lowest").isNull().alias("none"), "lowest", "cid")
+    of_cid = lowest.join(linked, "cid", "left").select("cid", F.coalesce("first", own).alias("first"))
     # Texts without words were not signed.
     of_cid = of_cid.join(texts.select("cid", F.lit(True).alias("signed")), "cid", "left")
     joined = ids.join(of_cid, "cid")
-    own = F.when(F.col("signed"), F.col("class_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "cid", own.alias("class_id"))
+    stays = F.col("doc_id").eqNullSafe(F.col("first.lowest")) & (F.col("cid") == F.col("first.cid"))
+    return joined.select(
+        "doc_id",
+        "cid",
+        F.when(F.col("signed"), F.col("first.lowest")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(F.col("signed"), stays).otherwise(F.lit(True)).alias("kept"),
+    )
 
 
 def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay: of every class the document with the least id, once."""
-    found = classes(docs, least).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    found = classes(docs, least).filter("kept")
     found = found.select(F.col("doc_id").alias("_id"), F.col("cid").alias("_cid")).distinct()
     cid = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     keyed = docs.withColumn("_c", cid)

@@ -29,7 +29,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.classes(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return found.select("doc_id", "class_id", "kept")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,6 +108,19 @@ def test_large_buckets_are_exact(documents, monkeypatch):
     assert all(r.class_id == expected[(r.doc_id, texts[r.doc_id])] for r in near_dups.classes(frame).collect())
 
 
+def test_one_row_stays_of_a_class_without_ids_or_with_one(documents):
+    base = [f"w{i}" for i in range(120)]
+    copies = [" ".join(base[: 10 + 12 * k] + [f"edit{k}"] + base[11 + 12 * k :]) for k in range(4)]
+    other = [" ".join(f"x{i}" for i in range(120)), " ".join(f"y{i}" for i in range(120))]
+    frame = documents(*[(None, t) for t in [*copies, copies[0], *other]])
+    kept = [r.text for r in near_dups.keep_one(frame).collect()]
+    assert sorted(t in copies for t in kept) == [False, False, True] and set(other) < set(kept)
+    again = documents(*[(7, t) for t in [*copies, *other]])
+    assert Counter(r.text in copies for r in near_dups.keep_one(again).collect()) == {True: 1, False: 2}
+    mixed = documents((None, copies[0]), (9, copies[1]), (9, copies[2]), (12, copies[3]), *[(20 + i, f"{i} {other[0][40 * i :]}") for i in range(5)])
+    assert [r.doc_id for r in near_dups.keep_one(mixed).collect() if r.text in copies] == [9]
+
+
 @pytest.mark.parametrize("others", [8, 16, 80])
 def test_a_hot_group_is_as_similar_as_in_a_mixed_corpus(documents, others):
     """Half, a third and a tenth of the rows: each member has an own edit, and plain Jaccard 0.841 with the others."""
