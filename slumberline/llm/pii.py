@@ -8,6 +8,12 @@ information that e itself carries, IC(e) = log(N / n(e)). A term whose PMI reach
 documents of the whole corpus. An entity and a pair must be found in ``support`` different texts, or
 every rare word next to an address would count as evidence.
 
+Most entities are in one text only, so terms are counted against classes of entities as well: the kind, the domain
+of an e-mail address, the first two and three parts of an IP address, the issuer's digits of a card, a phone
+number without its last four and seven digits. For a class it must also be unlikely, by ``CHANCE``, that so many
+different texts hold both by accident: the Chernoff bound of a Poisson tail, k log(k / m) - (k - m) for k
+texts where m = n(e) n(t) / N are expected.
+
 Positions come without Python: a text split at a pattern gives what stands between the matches, so
 running sums of both lengths are the offsets in code points. Where a pattern repeats a group, the
 separators inside a number or address are first replaced by a mark (one code point for one), so that it
@@ -21,6 +27,8 @@ an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +37,7 @@ from slumberline.session import materialize
 GENERALISE = 0.8
 REMOVE = 0.95
 SUPPORT = 3
+CHANCE = 1e-6
 KINDS = ("email", "ip", "card", "phone")
 TERM = r"\p{L}{3,}"
 MARK, OTHER = "\u0001", "\u0002"
@@ -139,11 +148,28 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
+def names_of(span: Column) -> Column:
+    """The entity of a span, ``kind:value``, and the classes it belongs to, ``kind/level:value``."""
+    kind, value = span["kind"], span["value"]
+    number = digits(value)
+    parts = {
+        "email": [("domain", F.lower(F.substring_index(value, "@", -1)))],
+        "ip": [("24", F.substring_index(value, ".", 3)), ("16", F.substring_index(value, ".", 2))],
+        "card": [("issuer", F.substring(number, 1, 6))],
+        "phone": [("line", number.substr(F.lit(1), F.length(number) - 4)), ("area", number.substr(F.lit(1), F.length(number) - 7))],
+    }
+    levels = F.array().cast("array<string>")
+    for name in KINDS:
+        own = F.array(*[F.concat(F.lit(f"{name}/{level}:"), part) for level, part in parts[name]])
+        levels = F.when(kind == name, own).otherwise(levels)
+    return F.concat(F.array(F.concat(kind, F.lit(":"), value), F.concat(kind, F.lit("/kind:"))), levels)
+
+
 def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float, support: int) -> DataFrame:
-    """``row``, ``term`` and ``share``: the terms of a row that disclose one of its entities."""
+    """``row``, ``term`` and ``share``: the terms of a row that disclose one of its entities or of their classes."""
     n = F.lit(float(docs.count()))
     holders = found.filter(F.size("spans") > 0)
-    entity = F.explode(F.array_distinct(F.transform("spans", lambda s: F.concat(s["kind"], F.lit(":"), s["value"]))))
+    entity = F.explode(F.array_distinct(F.flatten(F.transform("spans", names_of))))
     named = holders.select("row", "unit", entity.alias("entity"))
     often = (
         named.groupBy("entity", "unit").agg(F.count(F.lit(1)).alias("docs"))
@@ -153,8 +179,10 @@ def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float, suppor
     protected = materialize(named.join(often, "entity"), "pii")
     words = holders.select("row", F.explode(terms(blanked(F.col("text"), F.col("spans")))).alias("term"))
     together = protected.join(words, "row")
+    # Rows with equal texts hold the same pairs, so these are counted once for each text, with its number of rows.
+    of_text = holders.groupBy("unit").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("docs"))
     pairs = (
-        together.groupBy("entity", "term", "unit", "n_entity").agg(F.count(F.lit(1)).alias("docs"))
+        together.join(of_text.select("row", "docs"), "row")
         .groupBy("entity", "term", "n_entity").agg(F.sum("docs").alias("n_both"), F.count(F.lit(1)).alias("units"))
         .filter(F.col("units") >= support)
     )
@@ -165,7 +193,12 @@ def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float, suppor
     pmi = F.log(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
     known = F.log(n / F.col("n_entity"))
     told = pairs.join(counts, "term").withColumn("share", F.when(known > 0, pmi / known).otherwise(F.lit(0.0)))
-    told = told.filter(F.col("share") >= generalise).select("entity", "term", "share")
+    chance = F.col("n_entity") * F.col("n_term") / n
+    surprise = F.col("units") * F.log(F.col("units") / chance) - (F.col("units") - chance)
+    exact = ~F.col("entity").rlike("^[a-z]+/")
+    shown = exact | ((F.col("units") > chance) & (surprise >= -math.log(CHANCE)))
+    told = told.filter((F.col("share") >= generalise) & shown).select("entity", "term", "share")
+    told = materialize(told, "pii")
     return together.join(told, ["entity", "term"]).groupBy("row", "term").agg(F.max("share").alias("share"))
 
 

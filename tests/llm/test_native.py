@@ -98,6 +98,33 @@ def test_terms_that_go_with_an_entity(documents):
     assert all(r.added == [] for r in pii.find(documents(*copies, *rows[:40])).collect())
 
 
+def test_terms_that_go_with_a_class_of_entities(documents):
+    """No address, number or card is in two texts, but their domain, network, area and issuer are."""
+    rows = [(i, f"common words and number {i}") for i in range(400)]
+    values = {
+        "Zorblatt": lambda i: f"user{i}@zorb.org",
+        "Quuxnet": lambda i: f"10.20.{i}.7",
+        "Xyzzytown": lambda i: f"+49 893 555-{1000 + i}",
+    }
+    for k, (term, value) in enumerate(values.items()):
+        rows += [(1000 * k + 1000 + i, f"common {term} words {value(i)} {'abcdefgh'[i] * 3}{k}") for i in range(8)]
+    rows += [(5000 + i, f"common words other{i}@place{i}.net and 30.{i}.1.1 and +33 1{i}2 345 6789") for i in range(20)]
+    # Two texts with a term are too few, whatever the share.
+    rows += [(6000 + i, f"common Rarity words last{i}@few.org {'ab'[i] * 3}") for i in range(2)]
+    found = {r.doc_id: r for r in pii.find(documents(*rows)).collect()}
+    for k, term in enumerate(values):
+        for i in range(8):
+            assert [(s["kind"], s["value"]) for s in found[1000 * k + 1000 + i].added] == [("removed", term)]
+    assert all(r.added == [] for i, r in found.items() if i < 1000 or i >= 5000)
+
+
+def test_terms_of_a_given_table(spark):
+    """On this table a word goes with a kind of entity in different texts; no entity is in three of them."""
+    found = pii.find(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    added = [(r.doc_id, s["value"].lower()) for r in found.filter(F.size("added") > 0).collect() for s in r.added]
+    assert len(added) == 8 and {value for _, value in added} == {"token"} and len(dict(added)) == 7
+
+
 def test_generalised_terms(documents):
     rows = [(i, f"common words number {i}") for i in range(200)]
     rows += [(300 + i, f"Zorblatt a@x.org {'abcdefgh'[i] * 3}") for i in range(4)]
