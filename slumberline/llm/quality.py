@@ -217,7 +217,9 @@ def train_task(good_share: float):
             taken.append([(slot, first[keep], last[keep]) for slot, first, last in kinds])
         weights = fit(taken, labels[~held])
         margin = np.concatenate([scores(kinds, weights) for kinds in features])
-        slope, offset = calibrate(margin[held], labels[held], good_share)
+        # Few labels leave no class, or one, in the held-out part: then the training rows set the scale.
+        scale = held if len(np.unique(labels[held])) == 2 else ~held
+        slope, offset = calibrate(margin[scale], labels[scale], good_share)
         right = ((slope * margin[held] + offset >= 0) == (labels[held] == 1)).mean() if held.any() else 0.0
         yield pa.RecordBatch.from_pydict(
             {
@@ -237,6 +239,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     """The model as a stored table of one row, or none if a class is missing."""
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     counts = known.agg(F.count(F.lit(1)), F.sum((F.col("quality") != 0).cast("long"))).first()
     good_share = (counts[1] or 0) / max(counts[0], 1)
     order = mixed32(F.col("doc_id").cast("bigint"), SAMPLE_KEY)

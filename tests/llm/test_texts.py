@@ -397,6 +397,19 @@ def test_quality_edges(spark, documents):
     assert quality.train(docs.filter("false"), labels.filter("false")).collect() == []
 
 
+def test_few_labels_and_labels_of_absent_documents(spark, documents):
+    good = [" ".join(f"fine{i % 7} prose{n}x{i}" for i in range(30)) for n in range(2)]
+    bad = [" ".join(f"junk{i % 5} spam{n}x{i}" for i in range(30)) for n in range(2)]
+    docs = documents(*enumerate(good + bad))
+    rows = [(i, int(i < 2)) for i in range(4)]
+    model = quality.train(docs, spark.createDataFrame(rows, "doc_id long, quality int"))
+    assert model.first().n_held_out == 0
+    assert {r.doc_id: r.kept for r in quality.assess(docs, model).collect()} == {0: True, 1: True, 2: False, 3: False}
+    absent = [(100 + i, i % 2) for i in range(200)]
+    model = quality.train(docs, spark.createDataFrame(rows + absent, "doc_id long, quality int"), per_class=2)
+    assert model.first().n_train == 4
+
+
 # --- pipeline ------------------------------------------------------------------------------------------
 
 
