@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slumberline.llm import chat, decontaminate, html_text, mixing, near_dups, pii, quality, sharding, substring_dedup, suffix_dedup
+from slumberline.llm import chat, decontaminate, html_text, mixing, near_dups, pii, quality, sharding, simhash, spelling
+from slumberline.llm import substring_dedup, suffix_dedup, whitening
 from slumberline.llm.arithmetic import mixed32_sql
 
 # The conversation that op6 adds: control strings inside texts.
@@ -106,6 +107,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, model, ["doc_id"])
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -117,6 +132,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_html": op9_html,
     "op10_quality": op10_quality,
+    "op11_simhash": op11_simhash,
+    "op12_whitening": op12_whitening,
+    "op13_spelling": op13_spelling,
 }
 
 _PLACE = (

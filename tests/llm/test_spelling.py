@@ -1,0 +1,137 @@
+"""Spelling variants against plain Python over all pairs."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from slumberline.llm import queries, spelling
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def is_near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain(rows, least_length=5, least_count=3):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= least_length and n >= least_count}
+    by_length = {}
+    for w in counts:
+        by_length.setdefault(len(w), []).append(w)
+    near = {w: [] for w in counts}
+    for length, words in by_length.items():
+        for other in (length, length + 1):
+            for a in words:
+                for b in by_length.get(other, ()):
+                    if (other > length or a < b) and is_near(a, b):
+                        near[a].append(b)
+                        near[b].append(a)
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        if best is not None and counts[best] >= 2 * counts[w]:
+            form[w] = best
+    result = []
+    for w, n in counts.items():
+        root = w
+        while root in form:
+            root = form[root]
+        result.append((w, form.get(w), root, n, len(near[w]), counts[form[w]] if w in form else None))
+    return sorted(result)
+
+
+def found(result):
+    assert result.columns == COLUMNS
+    return sorted(tuple(r) for r in result.collect())
+
+
+def test_whole_table_against_all_pairs(spark):
+    docs = queries.table(spark, SF_DIR, "documents").select("doc_id", "text").collect()
+    expected = plain([tuple(r) for r in docs])
+    assert found(queries.op13_spelling(spark, SF_DIR)) == expected
+    assert any(row[1] for row in expected) and any(row[2] not in (row[0], row[1]) for row in expected)
+
+
+def made_words(rng, n):
+    words = ["".join(rng.choice("abcdeéñöz") for _ in range(rng.randrange(4, 9))) for _ in range(n)]
+    for w in list(words):
+        at = rng.randrange(len(w))
+        words += [w[:at] + w[at + 1 :], w[:at] + rng.choice("abxyß") + w[at + 1 :], w[:at] + rng.choice("abø") + w[at:]]
+    return words
+
+
+@pytest.mark.parametrize("tile", [3, 64, 2048])
+def test_blocks_and_tiles_lose_no_pair(spark, documents, tile):
+    rng = random.Random(tile)
+    words = made_words(rng, 150)
+    rows = [(i, " ".join(rng.choices(words, k=300))) for i in range(12)]
+    got = found(spelling.variants(documents(*rows), tile=tile))
+    assert got == plain(rows)
+
+
+def test_words_of_few_letters(documents):
+    """Nearly all words share their counts in most parts: the blocks are as large as they get."""
+    rng = random.Random(9)
+    rows = [(i, " ".join("".join(rng.choice("ab") for _ in range(rng.randrange(4, 9))) for _ in range(500))) for i in range(6)]
+    assert found(spelling.variants(documents(*rows), tile=16)) == plain(rows)
+
+
+def test_edge_rows(documents):
+    word = "Straße ÉCOLE school scho×ol"
+    rows = [(1, None), (2, ""), (None, word), (None, word), (3, word), (3, word), (4, word + " !?" * 5), (5, "x" * 5000)]
+    rows += [(6, "schools schools schools SCHOOL3school_school")]
+    assert found(spelling.variants(documents(*rows))) == plain(rows)
+
+
+def test_long_words_and_ties(documents):
+    long = "ab" * 3000
+    rows = [(1, f"{long} {long} {long} {long}c {long}c {long}c " + "word1 " * 3)]
+    rows += [(2, "horse " * 2 + "morse " * 6 + "norse " * 6 + "horsey " * 3)] * 2
+    got = found(spelling.variants(documents(*rows)))
+    assert got == plain(rows)
+    assert dict((r[0], r[1]) for r in got).get("horse") == "morse"
+
+
+def test_chain_of_forms(documents):
+    """Each word counts twice as much as the one before, so the root is several steps away."""
+    chain = ["aaaaab", "aaaabb", "aaabbb", "aabbbb", "abbbbb", "bbbbbb", "bbbbbbb"]
+    text = " ".join(f"{w} " * (3 * 2**k) for k, w in enumerate(chain))
+    ids = [i for i in range(1, 60) if all(zlib.crc32(f"{i}:{w}".encode()) % 97 for w in chain)][:1]
+    rows = [(ids[0], text)]
+    got = {r[0]: r for r in found(spelling.variants(documents(*rows)))}
+    assert got["aaaaab"][1] == "aaaabb" and got["aaaaab"][2] == "bbbbbbb" and got["bbbbbbb"][2] == "bbbbbbb"
+
+
+def test_empty_tables_and_other_columns(documents):
+    assert spelling.variants(documents()).count() == 0
+    assert spelling.variants(documents((1, "a b c"), (2, None))).count() == 0
+    docs = documents((1, "house house house mouse mouse mouse mouse mouse mouse"))
+    for name in ("word", "n", "block", "length", "form", "root", "best"):
+        docs = docs.selectExpr("*", f"'other' AS {name}")
+    assert found(spelling.variants(docs)) == plain([(1, "house house house mouse mouse mouse mouse mouse mouse")])
+
+
+@pytest.mark.parametrize("size", [1, 5, 40])
+def test_pieces_of_a_text_count_the_same(size):
+    rng = random.Random(1)
+    text = "".join(rng.choice(["ab", "C", " ", "É", "-", "ß", "Ā"]) for _ in range(500))
+    total = Counter()
+    for some in spelling.runs(text, size):
+        total.update(some)
+    assert total == Counter(re.findall("[a-zÀ-ÿ]+", "".join(c.lower() if c < "\x80" else c for c in text)))
