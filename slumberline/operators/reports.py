@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slumberline.sources.schema import LABEL
@@ -10,16 +10,21 @@ from slumberline.sources.schema import LABEL
 HOURS_PER_DAY = 24
 
 
-def pressure_stats(featured: DataFrame) -> DataFrame:
-    """One row: count of readings, minimum, mean, sample standard deviation and maximum."""
+def reading_stats() -> list[Column]:
+    """Count of readings, minimum, mean, sample standard deviation and maximum, as aggregates."""
     value = F.col("pressure_value")
-    return featured.agg(
+    return [
         F.count(value).alias("Count"),
         F.min(value).alias("Min_Pressure"),
         F.mean(value).alias("Mean_Pressure"),
         F.stddev_samp(value).alias("StdDev_Pressure"),
         F.max(value).alias("Max_Pressure"),
-    )
+    ]
+
+
+def pressure_stats(featured: DataFrame) -> DataFrame:
+    """The statistics of all readings in one row."""
+    return featured.agg(*reading_stats())
 
 
 def hour_distribution(featured: DataFrame) -> DataFrame:

@@ -1,26 +1,25 @@
 """The registered queries: each operator over the whole ``events`` table of a data folder.
 
-``click`` takes the place of the bed sensor, ``view`` of the second replayed one. 32-bit readings
-leave as doubles and counts as 64-bit integers, so that any SQL engine can be compared.
+32-bit readings leave as doubles and counts as 64-bit integers, so that any SQL engine can be compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from slumberline.functions.clock import event_time
 from slumberline.functions.messages import decode_messages, encode_messages
 from slumberline.operators import learning, reports, sampling
 from slumberline.operators.features import feature_table, of_sensor, of_sensors, with_hour, with_label
+from slumberline.plans import stream_catalog
 from slumberline.plans.jobs import describe, replay_records
-from slumberline.plans.training import Training, split_features, train
-from slumberline.rules import PEEK_SIZE, ModelParams, SleepRule
+from slumberline.plans.settings import REGS, REPLAYED, RULE, STREAM_BATCH, Query, params_of, plain, serving_model, split_rows
+from slumberline.plans.stream_catalog import drained
+from slumberline.plans.training import Training, train
+from slumberline.rules import PEEK_SIZE
 from slumberline.session import at_once, scratch_path
 from slumberline.sources.csv_reports import read_csv, write_csv
 from slumberline.sources.events import (
@@ -32,31 +31,7 @@ from slumberline.sources.events import (
 )
 from slumberline.sources.schema import EVENT_ID, FEATURES, LABEL
 from slumberline.sources.topic import peek, publish_files, read_message_files
-from slumberline.streaming.scoring import scorable_rows, score_messages, start_parquet_sink
-
-RULE = SleepRule(sensor_id="click", threshold=25.0)
-REPLAYED = ("click", "view")
-REGS = (0.3, 0.0)
-# One micro-batch reads at most this many bytes, which bounds what a lost driver has to repeat.
-STREAM_BATCH = 1 << 40
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-def _plain(df: DataFrame, digits: int | None = None, **more_digits: int) -> DataFrame:
-    """Floats as doubles, integers as bigints; doubles rounded where ``digits`` says so."""
-    columns = []
-    for field in df.schema.fields:
-        column = F.col(field.name)
-        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-            places = more_digits.get(field.name, digits)
-            column = column.cast("double")
-            column = column if places is None else F.round(column, places)
-        elif isinstance(field.dataType, T.IntegerType):
-            column = column.cast("bigint")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
-
+from slumberline.streaming.scoring import scorable_rows, score_messages
 
 # --- scans, filters, features -------------------------------------------------------------------
 
@@ -64,7 +39,7 @@ def _plain(df: DataFrame, digits: int | None = None, **more_digits: int) -> Data
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "events-csv")
     write_csv(read_events_table(spark, sf_dir), path)
-    return _plain(read_csv_events(spark, path, EventColumns(event_id=EVENT_ID)))
+    return plain(read_csv_events(spark, path, EventColumns(event_id=EVENT_ID)))
 
 
 def projected_scan_dropna(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,15 +53,15 @@ def projected_scan_dropna(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch_path(spark, "export-csv")
     write_csv(export, path)
-    return _plain(read_csv_events(spark, path, EXPORT_COLUMNS).na.drop("any"))
+    return plain(read_csv_events(spark, path, EXPORT_COLUMNS).na.drop("any"))
 
 
 def sensor_filter_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(of_sensor(read_events_table(spark, sf_dir), RULE.sensor_id))
+    return plain(of_sensor(read_events_table(spark, sf_dir), RULE.sensor_id))
 
 
 def sensor_filter_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(of_sensors(read_events_table(spark, sf_dir), REPLAYED))
+    return plain(of_sensors(read_events_table(spark, sf_dir), REPLAYED))
 
 
 def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +69,7 @@ def _featured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hour_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_featured(spark, sf_dir).select(EVENT_ID, "timestamp", *FEATURES))
+    return plain(_featured(spark, sf_dir).select(EVENT_ID, "timestamp", *FEATURES))
 
 
 def event_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,46 +79,46 @@ def event_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def night_pressure_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(with_label(_featured(spark, sf_dir), RULE).select(EVENT_ID, "hour_of_day", LABEL))
+    return plain(with_label(_featured(spark, sf_dir), RULE).select(EVENT_ID, "hour_of_day", LABEL))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(feature_table(read_events_table(spark, sf_dir), RULE, carry=[EVENT_ID]))
+    return plain(feature_table(read_events_table(spark, sf_dir), RULE, carry=[EVENT_ID]))
 
 
 # --- messages -----------------------------------------------------------------------------------
 
 
 def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(decode_messages(encode_messages(read_events_table(spark, sf_dir))))
+    return plain(decode_messages(encode_messages(read_events_table(spark, sf_dir))))
 
 
 def replay_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "messages")
     publish_files(replay_records(read_events_table(spark, sf_dir), REPLAYED), path)
-    return _plain(decode_messages(read_message_files(spark, path)))
+    return plain(decode_messages(read_message_files(spark, path)))
 
 
 def topic_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = encode_messages(read_events_table(spark, sf_dir), EVENT_ID).withColumnRenamed(EVENT_ID, "offset")
-    return _plain(peek(topic, PEEK_SIZE, columnar=True))
+    return plain(peek(topic, PEEK_SIZE, columnar=True))
 
 
 def every_nth_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     replayed = of_sensors(read_events_table(spark, sf_dir), REPLAYED)
     sampled = sampling.every_nth(replayed.select(EVENT_ID, "sensor_id", "value"), [EVENT_ID], unique=True)
-    return _plain(sampled.select("idx", EVENT_ID, "sensor_id", "value"))
+    return plain(sampled.select("idx", EVENT_ID, "sensor_id", "value"))
 
 
 # --- reports ------------------------------------------------------------------------------------
 
 
 def pressure_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(reports.pressure_stats(_featured(spark, sf_dir)), 6)
+    return plain(reports.pressure_stats(_featured(spark, sf_dir)), 6)
 
 
 def hour_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(reports.hour_distribution(_featured(spark, sf_dir)))
+    return plain(reports.hour_distribution(_featured(spark, sf_dir)))
 
 
 def _through_csv(table: DataFrame, label: str) -> DataFrame:
@@ -154,35 +129,27 @@ def _through_csv(table: DataFrame, label: str) -> DataFrame:
 
 def stats_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats, _ = describe(read_events_table(spark, sf_dir), RULE)
-    return _plain(_through_csv(stats, "stats"), 6)
+    return plain(_through_csv(stats, "stats"), 6)
 
 
 def hours_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, hours = describe(read_events_table(spark, sf_dir), RULE)
-    return _plain(_through_csv(hours, "hours"))
+    return plain(_through_csv(hours, "hours"))
 
 
 # --- split, training, evaluation ----------------------------------------------------------------
 
 
-def _split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_features(read_events_table(spark, sf_dir), RULE, key=[EVENT_ID], carry=[EVENT_ID])
-
-
-def _params(tol: float = ModelParams.tol) -> list[ModelParams]:
-    return [ModelParams(reg_param=reg, tol=tol) for reg in REGS]
-
-
 def _train(spark: SparkSession, sf_dir: str) -> Training:
-    return train(_split_rows(spark, sf_dir), _params())
+    return train(split_rows(spark, sf_dir), params_of())
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split_rows(spark, sf_dir).select(EVENT_ID, "split")
+    return split_rows(spark, sf_dir).select(EVENT_ID, "split")
 
 
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.split_counts(_split_rows(spark, sf_dir))
+    return reports.split_counts(split_rows(spark, sf_dir))
 
 
 def _scaler(split_rows: DataFrame):
@@ -190,27 +157,27 @@ def _scaler(split_rows: DataFrame):
 
 
 def scaler_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    std_pressure, std_hour = _scaler(_split_rows(spark, sf_dir)).std
+    std_pressure, std_hour = _scaler(split_rows(spark, sf_dir)).std
     stats = spark.createDataFrame([(float(std_pressure), float(std_hour))], "std_pressure double, std_hour double")
-    return _plain(stats, 6)
+    return plain(stats, 6)
 
 
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _split_rows(spark, sf_dir)
+    rows = split_rows(spark, sf_dir)
     scaled = _scaler(rows).transform(learning.assembler().transform(rows))
     vector = vector_to_array("features")
-    return _plain(scaled.select(EVENT_ID, vector[0].alias("pressure_scaled"), vector[1].alias("hour_scaled")), 6)
+    return plain(scaled.select(EVENT_ID, vector[0].alias("pressure_scaled"), vector[1].alias("hour_scaled")), 6)
 
 
 def logreg_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = learning.fit_models(sampling.side(_split_rows(spark, sf_dir), "train"), _params(tol=1e-7))
+    models = learning.fit_models(sampling.side(split_rows(spark, sf_dir), "train"), params_of(tol=1e-7))
     fitted = [(reg, *learning.coefficients(model)) for reg, model in zip(REGS, models)]
     table = spark.createDataFrame(fitted, "reg double, intercept double, w_pressure double, w_hour double")
-    return _plain(table, 4, reg=1)
+    return plain(table, 4, reg=1)
 
 
 def _fit(split_rows: DataFrame) -> dict[float, PipelineModel]:
-    models = learning.fit_models(sampling.side(split_rows, "train"), _params())
+    models = learning.fit_models(sampling.side(split_rows, "train"), params_of())
     return dict(zip(REGS, models))
 
 
@@ -221,13 +188,13 @@ def _reloaded(spark: SparkSession, model: PipelineModel) -> PipelineModel:
 
 
 def logreg_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _split_rows(spark, sf_dir)
+    rows = split_rows(spark, sf_dir)
     scored = learning.score_each(_fit(rows), sampling.side(rows, "test"))
     return scored.select("reg", EVENT_ID, LABEL, "prediction")
 
 
 def model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _split_rows(spark, sf_dir)
+    rows = split_rows(spark, sf_dir)
     fitted = _fit(rows)
     models = at_once(spark, lambda model: _reloaded(spark, model), list(fitted.values()))
     scored = learning.score_each(dict(zip(fitted, models)), sampling.side(rows, "test"))
@@ -235,7 +202,7 @@ def model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.label_distribution(sampling.side(_split_rows(spark, sf_dir), "test"))
+    return reports.label_distribution(sampling.side(split_rows(spark, sf_dir), "test"))
 
 
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,11 +210,11 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_train(spark, sf_dir).metrics().drop("model", "auc"), 6)
+    return plain(_train(spark, sf_dir).metrics().drop("model", "auc"), 6)
 
 
 def auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_train(spark, sf_dir).area_under_roc().drop("model"), 4)
+    return plain(_train(spark, sf_dir).area_under_roc().drop("model"), 4)
 
 
 # --- scoring of messages, as a stream and as a batch ----------------------------------------------
@@ -257,30 +224,18 @@ def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_messages(stream_events_table(spark, sf_dir, STREAM_BATCH))
 
 
-def _drained(rows: DataFrame, label: str) -> DataFrame:
-    """Run a stream over all there is and return the stored result."""
-    spark = rows.sparkSession
-    sink, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
-    start_parquet_sink(rows, sink, checkpoint, available_now=True).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(sink)
-
-
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_drained(scorable_rows(_stream_records(spark, sf_dir), RULE), "decoded"))
-
-
-def _serving_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    return learning.fit_model(sampling.side(_split_rows(spark, sf_dir), "train"), ModelParams(reg_param=0.0))
+    return plain(drained(scorable_rows(_stream_records(spark, sf_dir), RULE), "decoded"))
 
 
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = score_messages(_stream_records(spark, sf_dir), _serving_model(spark, sf_dir), RULE)
-    return _plain(_drained(rows, "scored").drop("Processing_Time"))
+    rows = score_messages(_stream_records(spark, sf_dir), serving_model(spark, sf_dir), RULE)
+    return plain(drained(rows, "scored").drop("Processing_Time"))
 
 
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = encode_messages(read_events_table(spark, sf_dir))
-    return _plain(score_messages(records, _serving_model(spark, sf_dir), RULE).drop("Processing_Time"))
+    return plain(score_messages(records, serving_model(spark, sf_dir), RULE).drop("Processing_Time"))
 
 
 QUERIES: dict[str, Query] = {
@@ -314,4 +269,5 @@ QUERIES: dict[str, Query] = {
     "stream_decode": stream_decode,
     "stream_score": stream_score,
     "batch_score": batch_score,
+    **stream_catalog.QUERIES,
 }

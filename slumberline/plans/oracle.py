@@ -6,94 +6,12 @@ rank formula, the dense index a global ranking.
 
 from __future__ import annotations
 
-_EVENTS = """
-ev AS (
-  SELECT event_id, epoch_us(ts) // 1000 AS "timestamp", event_type AS sensor_id,
-         CAST(CAST(value AS FLOAT) AS DOUBLE) AS value, CAST(hour(ts) AS BIGINT) AS hour_of_day
-  FROM events
-)"""
-
-_FEATURES = (
-    _EVENTS
-    + """,
-ft AS (
-  SELECT event_id, "timestamp", value AS pressure_value, hour_of_day,
-         CASE WHEN value > 25.0 AND (hour_of_day >= 22 OR hour_of_day < 7) THEN CAST(1 AS DOUBLE)
-              ELSE CAST(0 AS DOUBLE) END AS label
-  FROM ev
-  WHERE sensor_id = 'click' AND isfinite(value) AND hour_of_day IS NOT NULL
-)"""
-)
-
-_SPLIT = (
-    _FEATURES
-    + """,
-sp AS (
-  SELECT ft.*, CASE WHEN xor(b, b >> 15) < round(0.7 * 4294967296) THEN 'train' ELSE 'test' END AS split
-  FROM (SELECT *, (xor(a, a >> 15) * 1566083941) & 4294967295 AS b
-        FROM (SELECT event_id AS id, ((xor(event_id, event_id >> 32) & 4294967295) * 1103515245) & 4294967295 AS a FROM ft)
-       ) JOIN ft ON id = event_id
-),
-dev AS MATERIALIZED (
-  SELECT stddev_samp(pressure_value) AS std_pressure, stddev_samp(hour_of_day) AS std_hour
-  FROM sp WHERE split = 'train'
-)"""
-)
-
-# Newton steps for the penalized mean log loss, from zero, solving each 3x3 system by Cramer's rule.
-_FIT = (
-    _SPLIT
-    + """,
-tr AS MATERIALIZED (
-  SELECT pressure_value / std_pressure AS a, hour_of_day / std_hour AS b, label AS y
-  FROM sp, dev WHERE split = 'train'
-),
-newton(reg, step, w0, w1, w2) AS (
-  SELECT reg, 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
-  FROM (VALUES (CAST(0.3 AS DOUBLE)), (CAST(0.0 AS DOUBLE))) AS r(reg)
-  UNION ALL
-  SELECT reg, step + 1,
-    w0 - (g0*(h11*h22-h12*h12) - h01*(g1*h22-h12*g2) + h02*(g1*h12-h11*g2)) / det,
-    w1 - (h00*(g1*h22-h12*g2) - g0*(h01*h22-h12*h02) + h02*(h01*g2-g1*h02)) / det,
-    w2 - (h00*(h11*g2-g1*h12) - h01*(h01*g2-g1*h02) + g0*(h01*h12-h11*h02)) / det
-  FROM (
-    SELECT *, h00*(h11*h22-h12*h12) - h01*(h01*h22-h12*h02) + h02*(h01*h12-h11*h02) AS det
-    FROM (
-      SELECT reg, step, w0, w1, w2,
-        avg(p - y) AS g0, avg((p - y) * a) + reg * w1 AS g1, avg((p - y) * b) + reg * w2 AS g2,
-        avg(p * (1 - p)) AS h00, avg(p * (1 - p) * a) AS h01, avg(p * (1 - p) * b) AS h02,
-        avg(p * (1 - p) * a * a) + reg AS h11, avg(p * (1 - p) * a * b) AS h12,
-        avg(p * (1 - p) * b * b) + reg AS h22
-      FROM (
-        SELECT n.*, tr.*, 1 / (1 + exp(-(w0 + w1 * a + w2 * b))) AS p
-        FROM newton n, tr WHERE n.step < 12
-      )
-      GROUP BY reg, step, w0, w1, w2
-    )
-  )
-),
-fit AS MATERIALIZED (SELECT reg, w0, w1, w2 FROM newton WHERE step = 12)"""
-)
-
-_SCORED = (
-    _FIT
-    + """,
-margins AS (
-  SELECT reg, split, event_id, "timestamp", pressure_value, hour_of_day, label,
-         w0 + w1 * (pressure_value / std_pressure) + w2 * (hour_of_day / std_hour) AS margin
-  FROM sp, dev, fit
-),
-scored AS (
-  SELECT *, CASE WHEN margin > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction FROM margins
-),
-confusion AS (
-  SELECT reg, label, prediction, count(*) AS n FROM scored WHERE split = 'test' GROUP BY reg, label, prediction
-)"""
-)
+from slumberline.plans import stream_oracle
+from slumberline.plans.shared_sql import EVENTS, FEATURES, FIT, SCORED, SPLIT
 
 _STATS = (
     "WITH"
-    + _EVENTS
+    + EVENTS
     + """
 SELECT count(value) AS "Count", round(min(value), 6) AS "Min_Pressure", round(avg(value), 6) AS "Mean_Pressure",
        round(stddev_samp(value), 6) AS "StdDev_Pressure", round(max(value), 6) AS "Max_Pressure"
@@ -102,63 +20,63 @@ FROM ev WHERE sensor_id = 'click'"""
 
 _HOURS = (
     "WITH"
-    + _EVENTS
+    + EVENTS
     + """
 SELECT hour_of_day, count(*) AS "count" FROM ev
 WHERE sensor_id = 'click' AND hour_of_day IS NOT NULL GROUP BY hour_of_day ORDER BY hour_of_day"""
 )
 
 _TEST_SCORES = (
-    "WITH RECURSIVE" + _SCORED + "\nSELECT reg, event_id, label, prediction FROM scored WHERE split = 'test'"
+    "WITH RECURSIVE" + SCORED + "\nSELECT reg, event_id, label, prediction FROM scored WHERE split = 'test'"
 )
 
 _SENSOR_SCORES = (
     "WITH RECURSIVE"
-    + _SCORED
+    + SCORED
     + """
 SELECT "timestamp" AS "Event_Time_ms", pressure_value, hour_of_day, prediction AS "Is_Sleeping_Prediction"
 FROM scored WHERE reg = 0"""
 )
 
 ORACLE_SQL: dict[str, str] = {
-    "csv_scan": "WITH" + _EVENTS + '\nSELECT event_id, "timestamp", sensor_id, value FROM ev',
+    "csv_scan": "WITH" + EVENTS + '\nSELECT event_id, "timestamp", sensor_id, value FROM ev',
     "projected_scan_dropna": "WITH"
-    + _EVENTS
+    + EVENTS
     + """
 SELECT "timestamp", sensor_id, value FROM ev
 WHERE "timestamp" IS NOT NULL AND sensor_id IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)
   AND event_id % 7 NOT IN (0, 1)""",
     "sensor_filter_eq": "WITH"
-    + _EVENTS
+    + EVENTS
     + "\nSELECT event_id, \"timestamp\", sensor_id, value FROM ev WHERE sensor_id = 'click'",
     "sensor_filter_in": "WITH"
-    + _EVENTS
+    + EVENTS
     + "\nSELECT event_id, \"timestamp\", sensor_id, value FROM ev WHERE sensor_id IN ('click', 'view')",
     "hour_features": "WITH"
-    + _EVENTS
+    + EVENTS
     + """
 SELECT event_id, "timestamp", value AS pressure_value, hour_of_day FROM ev WHERE sensor_id = 'click'""",
     "event_clock": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS event_time FROM events",
     "night_pressure_label": "WITH"
-    + _EVENTS
+    + EVENTS
     + """
 SELECT event_id, hour_of_day,
        CASE WHEN value > 25.0 AND (hour_of_day >= 22 OR hour_of_day < 7) THEN CAST(1 AS DOUBLE)
             ELSE CAST(0 AS DOUBLE) END AS label
 FROM ev WHERE sensor_id = 'click'""",
-    "feature_table": "WITH" + _FEATURES + "\nSELECT event_id, pressure_value, hour_of_day, label FROM ft",
-    "message_roundtrip": "WITH" + _EVENTS + '\nSELECT "timestamp", sensor_id, value FROM ev',
+    "feature_table": "WITH" + FEATURES + "\nSELECT event_id, pressure_value, hour_of_day, label FROM ft",
+    "message_roundtrip": "WITH" + EVENTS + '\nSELECT "timestamp", sensor_id, value FROM ev',
     "replay_messages": "WITH"
-    + _EVENTS
+    + EVENTS
     + """
 SELECT "timestamp", sensor_id, value FROM ev
 WHERE sensor_id IN ('click', 'view') AND "timestamp" IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)""",
     "topic_peek": "WITH"
-    + _EVENTS
+    + EVENTS
     + """
 SELECT event_id AS "offset", "timestamp", sensor_id, value FROM ev ORDER BY event_id LIMIT 10""",
     "every_nth_event": "WITH"
-    + _EVENTS
+    + EVENTS
     + """
 SELECT idx, event_id, sensor_id, value
 FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS idx FROM ev WHERE sensor_id IN ('click', 'view'))
@@ -167,29 +85,29 @@ WHERE idx % 100 = 0""",
     "stats_csv_sink": _STATS,
     "hour_distribution": _HOURS,
     "hours_csv_sink": _HOURS,
-    "train_test_split": "WITH" + _SPLIT + "\nSELECT event_id, split FROM sp",
-    "split_counts": "WITH" + _SPLIT + '\nSELECT split, count(*) AS "count" FROM sp GROUP BY split',
+    "train_test_split": "WITH" + SPLIT + "\nSELECT event_id, split FROM sp",
+    "split_counts": "WITH" + SPLIT + '\nSELECT split, count(*) AS "count" FROM sp GROUP BY split',
     "scaler_stats": "WITH"
-    + _SPLIT
+    + SPLIT
     + "\nSELECT round(std_pressure, 6) AS std_pressure, round(std_hour, 6) AS std_hour FROM dev",
     "scaled_features": "WITH"
-    + _SPLIT
+    + SPLIT
     + """
 SELECT event_id, round(pressure_value / std_pressure, 6) AS pressure_scaled,
        round(hour_of_day / std_hour, 6) AS hour_scaled
 FROM sp, dev""",
     "logreg_coefficients": "WITH RECURSIVE"
-    + _FIT
+    + FIT
     + """
 SELECT reg, round(w0, 4) AS intercept, round(w1, 4) AS w_pressure, round(w2, 4) AS w_hour FROM fit""",
     "logreg_score": _TEST_SCORES,
     "model_reload_score": _TEST_SCORES,
     "label_distribution": "WITH"
-    + _SPLIT
+    + SPLIT
     + "\nSELECT label, count(*) AS \"count\" FROM sp WHERE split = 'test' GROUP BY label",
-    "confusion_matrix": "WITH RECURSIVE" + _SCORED + '\nSELECT reg, label, prediction, n AS "count" FROM confusion',
+    "confusion_matrix": "WITH RECURSIVE" + SCORED + '\nSELECT reg, label, prediction, n AS "count" FROM confusion',
     "eval_metrics": "WITH RECURSIVE"
-    + _SCORED
+    + SCORED
     + """,
 cells AS (
   SELECT reg, label AS class, n AS actual, 0 AS predicted, CASE WHEN label = prediction THEN n ELSE 0 END AS hit
@@ -208,7 +126,7 @@ SELECT reg, round(sum(hit) / sum(actual), 6) AS accuracy,
        round(sum(actual * coalesce(2 * prec * rec / nullif(prec + rec, 0), 0)) / sum(actual), 6) AS f1
 FROM classes GROUP BY reg""",
     "auc_exact": "WITH RECURSIVE"
-    + _SCORED
+    + SCORED
     + """,
 steps AS (
   SELECT reg, margin, sum(label) AS p, sum(1 - label) AS n FROM scored WHERE split = 'test' GROUP BY reg, margin
@@ -218,9 +136,10 @@ ranked AS (
 )
 SELECT reg, round(sum(p * (below + n / 2)) / nullif(sum(p) * sum(n), 0), 4) AS auc FROM ranked GROUP BY reg""",
     "stream_decode": "WITH"
-    + _FEATURES
+    + FEATURES
     + """
 SELECT "timestamp", 'click' AS sensor_id, pressure_value, hour_of_day FROM ft""",
     "stream_score": _SENSOR_SCORES,
     "batch_score": _SENSOR_SCORES,
+    **stream_oracle.ORACLE_SQL,
 }

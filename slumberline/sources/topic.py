@@ -20,6 +20,8 @@ from slumberline.rules import PEEK_SIZE
 CONNECTOR = "kafka"
 FILE_RECORD_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])
 
+RECORD_SCHEMA = T.StructType([T.StructField("key", T.BinaryType(), True), T.StructField("value", T.BinaryType(), True)])
+
 
 @dataclass(frozen=True)
 class Topic:
@@ -90,6 +92,20 @@ def publish_files(records: DataFrame, path: str) -> None:
     records.select(records["value"].cast("string")).write.mode("append").text(path)
 
 
+def append_records(records: DataFrame, path: str) -> None:
+    """Append records (key, value) to a folder that keeps them as a topic does, in binary."""
+    columns = [F.col(field.name).cast(field.dataType).alias(field.name) for field in RECORD_SCHEMA]
+    records.select(*columns).write.mode("append").parquet(path)
+
+
+def stream_record_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Unbounded read of a folder of records with keys."""
+    reader = spark.readStream.schema(RECORD_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
+
+
 def peek(
     records: DataFrame, n: int = PEEK_SIZE, position: Sequence[str] = ("offset",), columnar: bool = False
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,28 +16,28 @@ from slumberline.rules import SleepRule
 from slumberline.sources.schema import CORRUPT_COLUMN
 
 
-def _counted(df: DataFrame, name: str, *counts: Column) -> DataFrame:
+def counted(df: DataFrame, name: str, *counts: Column) -> DataFrame:
     """Count on the way, in a stream: the names would clash when a batch query uses two such tables."""
     return df.observe(name, *counts) if df.isStreaming else df
 
 
-def scorable_rows(records: DataFrame, rule: SleepRule, audit: bool = False) -> DataFrame:
-    """Decode records and keep the rows of the rule's sensor that have all features.
+def scorable_rows(records: DataFrame, rule: SleepRule, audit: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """Decode records and keep the rows of the rule's sensor that have all features, after the ``carry`` columns.
 
     Text that cannot be of the sensor is not parsed, unless ``audit`` asks to count what is malformed.
     What is left out is counted in ``observedMetrics`` of the stream's progress: all ``messages`` under
     ``received``, those ``of_sensor`` and, with ``audit``, the ``malformed`` ones under ``decoded``,
     and the remaining ``rows`` under ``scorable``.
     """
-    received = _counted(records, "received", F.count(F.lit(1)).alias("messages"))
+    received = counted(records, "received", F.count(F.lit(1)).alias("messages"))
     counts = [F.count_if(F.col("sensor_id") == rule.sensor_id).alias("of_sensor")]
     if audit:
-        decoded = decode_messages(received, keep_corrupt=True)
+        decoded = decode_messages(received, carry, keep_corrupt=True)
         counts.append(F.count(CORRUPT_COLUMN).alias("malformed"))
     else:
-        decoded = decode_messages(received.filter(may_concern(rule.sensor_id)))
-    rows = inference_table(_counted(decoded, "decoded", *counts), rule)
-    return _counted(rows, "scorable", F.count(F.lit(1)).alias("rows"))
+        decoded = decode_messages(received.filter(may_concern(rule.sensor_id)), carry)
+    rows = inference_table(counted(decoded, "decoded", *counts), rule, carry)
+    return counted(rows, "scorable", F.count(F.lit(1)).alias("rows"))
 
 
 def score_messages(records: DataFrame, model: PipelineModel, rule: SleepRule, audit: bool = False) -> DataFrame:
@@ -49,7 +51,8 @@ def score_messages(records: DataFrame, model: PipelineModel, rule: SleepRule, au
     )
 
 
-def _triggered(rows: DataFrame, available_now: bool, interval: str | None) -> DataStreamWriter:
+def triggered(rows: DataFrame, available_now: bool, interval: str | None) -> DataStreamWriter:
+    """A writer in append mode that ends when the input is used up, or starts a batch every ``interval``."""
     writer = rows.writeStream.outputMode("append")
     if available_now:
         return writer.trigger(availableNow=True)
@@ -61,10 +64,10 @@ def start_parquet_sink(
 ) -> StreamingQuery:
     """Append a stream to a parquet table. With the same checkpoint a restarted query goes on where the
     last one stopped, without loss or repetition. ``available_now`` ends it when the input is used up."""
-    writer = _triggered(rows, available_now, interval)
+    writer = triggered(rows, available_now, interval)
     return writer.format("parquet").option("checkpointLocation", checkpoint).start(path)
 
 
 def start_console(rows: DataFrame, available_now: bool = False, interval: str | None = None) -> StreamingQuery:
     """Print a stream in full width, to look at it."""
-    return _triggered(rows, available_now, interval).format("console").option("truncate", False).start()
+    return triggered(rows, available_now, interval).format("console").option("truncate", False).start()

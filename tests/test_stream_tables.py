@@ -1,0 +1,127 @@
+"""Several tables from one stream, and the audit of its batches."""
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from slumberline.functions.messages import encode_messages
+from slumberline.rules import SleepRule
+from slumberline.sources.events import read_events_table
+from slumberline.sources.topic import publish_files, stream_message_files
+from slumberline.streaming import audit, tables
+from slumberline.streaming.scoring import scorable_rows
+
+SF_DIR = "/root/testdata/sf0.001"
+RULE = SleepRule("click", 25.0)
+FILES = 4
+
+
+def scored(records):
+    """Scored rows with a rule in place of a model."""
+    verdict = F.when(F.col("pressure_value") > 40, 1.0).otherwise(0.0)
+    return scorable_rows(records, RULE).withColumn("Is_Sleeping_Prediction", verdict)
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    for part in range(FILES):
+        events = read_events_table(spark, SF_DIR).filter(F.col("event_id") % FILES == part)
+        publish_files(encode_messages(events).coalesce(1), path)
+    return path
+
+
+class Failing:
+    """Derives hourly counts, but fails in some calls."""
+
+    def __init__(self, *fails):
+        self.fails, self.calls = set(fails), 0
+
+    def __call__(self, rows):
+        self.calls += 1
+        if self.calls in self.fails:
+            raise RuntimeError("the disk is full")
+        return tables.hourly_counts(rows)
+
+
+def totals(filled, schema):
+    rows = filled.read("scored", schema)
+    hours = filled.read("hours", tables.hourly_counts(rows).schema)
+    return rows.count(), hours.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0], hours
+
+
+@pytest.mark.parametrize("failing", [(1,), (3,), (2, 4)])
+def test_tables_agree_over_a_failure_between_the_two_writes(spark, topic, tmp_path, failing):
+    filled = tables.BatchTables(spark, str(tmp_path / "tables"))
+    rows = scored(stream_message_files(spark, topic, max_files_per_trigger=1))
+    assert totals(filled, rows.schema)[:2] == (0, 0)
+    derive = Failing(*failing)
+
+    def run():
+        return tables.start_tables_sink(
+            rows, filled, "scored", {"hours": derive}, str(tmp_path / "checkpoint"), available_now=True
+        ).awaitTermination(120)
+
+    for _ in failing:
+        with pytest.raises(StreamingQueryException, match="disk is full"):
+            run()
+        n_rows, n_hours, _ = totals(filled, rows.schema)
+        # The first table holds a batch that the second lacks: it doesn't show.
+        assert n_rows == n_hours < 210
+        stored = spark.read.schema(rows.schema).parquet(f"{filled.root}/scored")
+        assert stored.count() > n_rows
+    assert run()
+    n_rows, n_hours, hours = totals(filled, rows.schema)
+    assert n_rows == n_hours == 210 and filled.committed().count() == FILES
+    assert derive.calls == FILES + len(failing)
+    expected = tables.hourly_counts(scored(encode_messages(read_events_table(spark, SF_DIR))))
+    summed = hours.groupBy("hour_of_day", "Is_Sleeping_Prediction").agg(F.sum("rows").alias("rows"))
+    assert summed.exceptAll(expected).isEmpty() and expected.exceptAll(summed).isEmpty()
+
+
+def test_a_batch_that_runs_twice_replaces_its_part(spark, tmp_path):
+    filled = tables.BatchTables(spark, str(tmp_path / "tables"))
+    for n in (5, 3):
+        filled.write("scored", spark.range(n), 0)
+        filled.commit(0)
+    filled.write("scored", spark.range(7), 1)
+    assert filled.read("scored", spark.range(1).schema).count() == 3
+    filled.commit(1)
+    assert filled.read("scored", spark.range(1).schema).count() == 10
+
+
+def audited(spark, topic, tmp_path, run_name="first", max_files=1):
+    rows = scorable_rows(stream_message_files(spark, topic, max_files_per_trigger=max_files), RULE, audit=True)
+    table = audit.ProgressTable(spark, "audited", str(tmp_path / "audit"))
+
+    def start():
+        writer = rows.writeStream.queryName("audited").trigger(availableNow=True).format("parquet")
+        return writer.option("checkpointLocation", str(tmp_path / "checkpoint")).start(str(tmp_path / "out"))
+
+    audit.run_audited(start, table, 120)
+    return table
+
+
+def test_audit_has_a_row_for_every_batch_of_all_runs(spark, topic, tmp_path):
+    bad = ["not json", '{"timestamp":1,"sensor_id":"click","value":"ON"}', '{"sensor_id":"click","value":2}', "[]"]
+    table = audited(spark, topic, tmp_path)
+    assert sorted(r["received"] for r in table.read().collect()) == [250] * FILES
+    publish_files(spark.createDataFrame([(text,) for text in bad], "value string").coalesce(1), topic)
+    table = audited(spark, topic, tmp_path)
+    rows = sorted(tuple(r) for r in table.read().collect())
+    assert [r[0] for r in rows] == list(range(FILES + 1))
+    assert sum(r[5] for r in rows) == spark.read.parquet(str(tmp_path / "out")).count() == 210
+    # The list and the text are malformed, so is the mistyped reading; two rows of the sensor can't be used.
+    assert rows[-1][1:] == (4, 3, 2, 2, 0)
+    assert all(r[1] >= r[3] == r[4] + r[5] for r in rows)
+
+
+def test_audit_listens_to_its_own_query_only(spark, topic, tmp_path):
+    table = audit.ProgressTable(spark, "mine", str(tmp_path / "audit"))
+    rows = scorable_rows(stream_message_files(spark, topic), RULE)
+    with audit.attached(table):
+        for name in ("other", "mine"):
+            writer = rows.writeStream.queryName(name).trigger(availableNow=True).format("parquet")
+            writer.option("checkpointLocation", str(tmp_path / f"{name}-c")).start(str(tmp_path / name)).awaitTermination(120)
+        assert table.settled()
+    assert [tuple(r) for r in table.read().collect()] == [(0, 1000, None, 210, 0, 210)]
