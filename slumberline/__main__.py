@@ -107,9 +107,10 @@ def score(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def peek(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.files:
-        first = topics.peek(topics.read_message_files(spark, args.files), args.n, position=())
+        look = topics.peek_any if args.any_shape else topics.peek
+        first = look(topics.read_message_files(spark, args.files), args.n, position=())
     else:
-        first = topics.peek_topic(spark, _topic(args), args.n, args.partitions)
+        first = topics.peek_topic(spark, _topic(args), args.n, args.partitions, args.any_shape)
     first.show(args.n, truncate=False)
 
 
@@ -152,7 +153,8 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = command(peek, _add_topic)
     sub.add_argument("-n", type=int, default=PEEK_SIZE)
-    sub.add_argument("--partitions", type=int, nargs="+", default=[0], help="partitions of the topic to look into")
+    sub.add_argument("--partitions", type=int, nargs="+", help="partitions of the topic to look into; all unless named")
+    sub.add_argument("--any-shape", action="store_true", help="show JSON of any shape, not only the fields of events")
     return parser
 
 

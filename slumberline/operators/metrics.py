@@ -1,4 +1,4 @@
-"""Quality of scored rows or cells. All of it is exact.
+"""Quality of scored rows or cells. All of it is exact, but for the binned area, which states its error.
 
 Every function takes rows with ``label`` and ``prediction`` or ``margin``, a ``weight`` column where
 a row stands for several, and ``by`` columns that tell models apart.
@@ -8,13 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slumberline.operators.sampling import cut_points, range_of
 from slumberline.session import materialize
 from slumberline.sources.schema import LABEL
 
 MARGINS_PER_RANGE = 1 << 20
+BINS = 1000
+# How much finer than its bins the sketch of quantiles is.
+SKETCH = 20
 
 
 def confusion_matrix(scored: DataFrame, weight: str | None = None, by: Sequence[str] = ()) -> DataFrame:
@@ -71,10 +76,9 @@ def areas_under_roc(scored: DataFrame, weight: str | None = None, by: Sequence[s
         F.coalesce(count[0].cast("double"), none).alias("p"), F.coalesce(count[1].cast("double"), none).alias("n")
     )
     margins = materialize(margins, "margins")
-    ranges = margins.count() // MARGINS_PER_RANGE + 1
-    cuts = margins.approxQuantile("margin", [i / ranges for i in range(1, ranges)], 0.1 / ranges) if ranges > 1 else []
-    place = F.size(F.filter(F.array(*[F.lit(cut) for cut in cuts]), lambda cut: cut < F.col("margin"))) if cuts else F.lit(0)
-    margins = margins.withColumn("_range", place)
+    # The shuffle partitions bound the number of cut points, and a range is found among them by halving.
+    cuts = cut_points(margins, ["margin"]) if margins.count() > MARGINS_PER_RANGE else []
+    margins = margins.withColumn("_range", range_of(cuts, margins, ["margin"]))
     lower = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = margins.groupBy(*by, "_range").agg(F.sum("n").alias("_n"))
     starts = starts.select(*by, "_range", F.coalesce(F.sum("_n").over(lower), none).alias("_start"))
@@ -92,3 +96,31 @@ def _weight(weight: str | None) -> Column:
 def area_under_roc(scored: DataFrame, weight: str | None = None) -> float | None:
     """The area of rows of one model."""
     return areas_under_roc(scored, weight).first()["auc"]
+
+
+def binned_area_under_roc(scored: DataFrame, weight: str | None = None, bins: int = BINS) -> DataFrame:
+    """One row for one model: its area ``auc`` from at most ``bins`` + 1 bins of margins, and the ``bound`` of its error.
+
+    A mergeable sketch of quantiles, of fixed size, cuts the margins into bins of about equally many rows or cells. A bin adds
+    up its positive and negative rows; no margins are sorted or stored. Within a bin the order is unknown, which can move
+    the area by half of the pairs inside the bin at most: ``bound`` is that sum. A bin of one value adds nothing to it, since ties count half
+    in the exact area, too. Null for one class. The driver gets the cut points.
+    """
+    shares = [i / bins for i in range(bins + 1)]
+    cuts = scored.agg(F.percentile_approx("margin", shares, SKETCH * bins).alias("cuts")).first()["cuts"]
+    inner = sorted({cut for cut in cuts or [] if abs(cut) < float("inf")})
+    splits = [-float("inf"), *inner, float("inf")]
+    binned = Bucketizer(splits=splits, inputCol="margin", outputCol="_bin").transform(scored)
+    per_bin = binned.groupBy("_bin").agg(
+        F.coalesce(F.sum(F.when(F.col(LABEL) > 0, _weight(weight))).cast("double"), F.lit(0.0)).alias("p"),
+        F.coalesce(F.sum(F.when(F.col(LABEL) <= 0, _weight(weight))).cast("double"), F.lit(0.0)).alias("n"),
+        (F.min("margin") < F.max("margin")).alias("mixed"),
+    )
+    # At most a bin per cut point is left, so one task orders them.
+    before = Window.partitionBy(F.lit(0)).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    placed = per_bin.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0.0)) + F.col("n") / 2)
+    pairs, unsure = F.sum("p") * F.sum("n"), F.sum(F.when(F.col("mixed"), F.col("p") * F.col("n") / 2).otherwise(0.0))
+    return placed.agg(
+        F.when(pairs > 0, F.sum(F.col("p") * F.col("below")) / pairs).alias("auc"),
+        F.when(pairs > 0, unsure / pairs).alias("bound"),
+    )

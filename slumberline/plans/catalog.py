@@ -16,7 +16,18 @@ from slumberline.operators import learning, reports, sampling
 from slumberline.operators.features import feature_table, of_sensor, of_sensors, with_hour, with_label
 from slumberline.plans import stream_catalog
 from slumberline.plans.jobs import describe, replay_records
-from slumberline.plans.settings import REGS, REPLAYED, RULE, STREAM_BATCH, Query, params_of, plain, serving_model, split_rows
+from slumberline.plans.settings import (
+    COEFFICIENTS,
+    REGS,
+    REPLAYED,
+    RULE,
+    STREAM_BATCH,
+    Query,
+    params_of,
+    plain,
+    serving_model,
+    split_rows,
+)
 from slumberline.plans.stream_catalog import drained
 from slumberline.plans.training import Training, train
 from slumberline.rules import PEEK_SIZE
@@ -29,8 +40,9 @@ from slumberline.sources.events import (
     read_events_table,
     stream_events_table,
 )
+from slumberline.sources.inference import infer_types, read_csv_text
 from slumberline.sources.schema import EVENT_ID, FEATURES, LABEL
-from slumberline.sources.topic import peek, publish_files, read_message_files
+from slumberline.sources.topic import message_fields, peek, peek_any, publish_files, read_message_files
 from slumberline.streaming.scoring import scorable_rows, score_messages
 
 # --- scans, filters, features -------------------------------------------------------------------
@@ -104,6 +116,35 @@ def topic_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(peek(topic, PEEK_SIZE, columnar=True))
 
 
+def topic_peek_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of the first messages of a topic whose producer adds the events' properties and their user."""
+    fields = F.to_json(F.struct("event_id", "user_id", "value", F.parse_json("props").alias("props"), F.col("event_type").alias("kind")))
+    topic = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("offset"), fields.alias("value"))
+    found = message_fields(peek_any(topic, PEEK_SIZE, columnar=True))
+    kind = F.regexp_extract("type", "^[A-Z]+", 0)
+    number = F.when(kind.isin("BIGINT", "DECIMAL", "DOUBLE"), F.try_variant_get("data", "$", "double"))
+    text = F.when(kind.isin("STRING", "OBJECT"), F.col("data").cast("string"))
+    kind = F.when(kind == "DOUBLE", "DECIMAL").otherwise(kind)
+    return plain(found.select("offset", "field", kind.alias("type"), number.alias("number"), text.alias("text")), 6)
+
+
+def csv_inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types and missing values of an export whose columns are of several types, two of them with gaps."""
+    turn = F.col(EVENT_ID) % 7
+    export = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        EVENT_ID,
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("time"),
+        F.when(turn != 1, F.col("event_type")).alias("sensor"),
+        F.when(turn != 0, F.col("value")).alias("value"),
+        F.when(F.col(EVENT_ID) % 5 == 0, F.lit("n/a")).otherwise(F.col("user_id").cast("string")).alias("user"),
+        (F.col("value") > 25).alias("high"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+    path = scratch_path(spark, "typed-csv")
+    write_csv(export, path)
+    return infer_types(read_csv_text(spark, path))
+
+
 def every_nth_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     replayed = of_sensors(read_events_table(spark, sf_dir), REPLAYED)
     sampled = sampling.every_nth(replayed.select(EVENT_ID, "sensor_id", "value"), [EVENT_ID], unique=True)
@@ -172,7 +213,7 @@ def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logreg_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = learning.fit_models(sampling.side(split_rows(spark, sf_dir), "train"), params_of(tol=1e-7))
     fitted = [(reg, *learning.coefficients(model)) for reg, model in zip(REGS, models)]
-    table = spark.createDataFrame(fitted, "reg double, intercept double, w_pressure double, w_hour double")
+    table = spark.createDataFrame(fitted, COEFFICIENTS)
     return plain(table, 4, reg=1)
 
 
@@ -217,6 +258,11 @@ def auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(_train(spark, sf_dir).area_under_roc().drop("model"), 4)
 
 
+def auc_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The areas from a thousand bins; with fewer distinct margins than bins they are the exact ones."""
+    return plain(_train(spark, sf_dir).binned_area_under_roc().drop("model", "bound"), 4)
+
+
 # --- scoring of messages, as a stream and as a batch ----------------------------------------------
 
 
@@ -250,6 +296,8 @@ QUERIES: dict[str, Query] = {
     "message_roundtrip": message_roundtrip,
     "replay_messages": replay_messages,
     "topic_peek": topic_peek,
+    "topic_peek_any": topic_peek_any,
+    "csv_inferred_schema": csv_inferred_schema,
     "every_nth_event": every_nth_event,
     "pressure_stats": pressure_stats,
     "stats_csv_sink": stats_csv_sink,
@@ -266,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "confusion_matrix": confusion_matrix,
     "eval_metrics": eval_metrics,
     "auc_exact": auc_exact,
+    "auc_binned": auc_binned,
     "stream_decode": stream_decode,
     "stream_score": stream_score,
     "batch_score": batch_score,

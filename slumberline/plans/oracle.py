@@ -38,6 +38,19 @@ SELECT "timestamp" AS "Event_Time_ms", pressure_value, hour_of_day, prediction A
 FROM scored WHERE reg = 0"""
 )
 
+_AUC = (
+    "WITH RECURSIVE"
+    + SCORED
+    + """,
+steps AS (
+  SELECT reg, margin, sum(label) AS p, sum(1 - label) AS n FROM scored WHERE split = 'test' GROUP BY reg, margin
+),
+ranked AS (
+  SELECT reg, p, n, sum(n) OVER (PARTITION BY reg ORDER BY margin) - n AS below FROM steps
+)
+SELECT reg, round(sum(p * (below + n / 2)) / nullif(sum(p) * sum(n), 0), 4) AS auc FROM ranked GROUP BY reg"""
+)
+
 ORACLE_SQL: dict[str, str] = {
     "csv_scan": "WITH" + EVENTS + '\nSELECT event_id, "timestamp", sensor_id, value FROM ev',
     "projected_scan_dropna": "WITH"
@@ -75,6 +88,35 @@ WHERE sensor_id IN ('click', 'view') AND "timestamp" IS NOT NULL AND value IS NO
     + EVENTS
     + """
 SELECT event_id AS "offset", "timestamp", sensor_id, value FROM ev ORDER BY event_id LIMIT 10""",
+    "topic_peek_any": """
+WITH first AS (SELECT * FROM events ORDER BY event_id LIMIT 10)
+SELECT event_id AS "offset", 'event_id' AS field, 'BIGINT' AS type, CAST(event_id AS DOUBLE) AS number,
+       CAST(NULL AS VARCHAR) AS text FROM first
+UNION ALL SELECT event_id, 'user_id', 'BIGINT', CAST(user_id AS DOUBLE), NULL FROM first
+UNION ALL SELECT event_id, 'value', 'DECIMAL', round(value, 6), NULL FROM first
+UNION ALL SELECT event_id, 'kind', 'STRING', NULL, event_type FROM first
+UNION ALL SELECT event_id, 'props', 'OBJECT', NULL, replace(props, ' ', '') FROM first""",
+    "csv_inferred_schema": """
+WITH texts AS (
+  SELECT unnest([
+    {'column': 'event_id', 'place': 1, 'text': CAST(event_id AS VARCHAR)},
+    {'column': 'time', 'place': 2, 'text': strftime(ts, '%Y-%m-%d %H:%M:%S.%g')},
+    {'column': 'sensor', 'place': 3, 'text': CASE WHEN event_id % 7 <> 1 THEN event_type END},
+    {'column': 'value', 'place': 4, 'text': CASE WHEN event_id % 7 <> 0 THEN CAST(value AS VARCHAR) END},
+    {'column': 'user', 'place': 5, 'text': CASE WHEN event_id % 5 = 0 THEN 'n/a' ELSE CAST(user_id AS VARCHAR) END},
+    {'column': 'high', 'place': 6, 'text': CAST(value > 25 AS VARCHAR)},
+    {'column': 'nothing', 'place': 7, 'text': CAST(NULL AS VARCHAR)}
+  ], recursive := true) FROM events
+)
+SELECT "column",
+       CASE WHEN count(text) = 0 THEN 'string'
+            WHEN bool_and(text IN ('true', 'false')) THEN 'boolean'
+            WHEN bool_and(regexp_full_match(text, '[+-]?[0-9]+')) THEN 'bigint'
+            WHEN bool_and(text IS NULL OR TRY_CAST(text AS DOUBLE) IS NOT NULL) THEN 'double'
+            WHEN bool_and(text IS NULL OR TRY_CAST(text AS TIMESTAMP) IS NOT NULL) THEN 'timestamp'
+            ELSE 'string' END AS type,
+       count(*) AS "rows", count(*) - count(text) AS nulls
+FROM texts GROUP BY "column" ORDER BY 1""",
     "every_nth_event": "WITH"
     + EVENTS
     + """
@@ -125,16 +167,9 @@ SELECT reg, round(sum(hit) / sum(actual), 6) AS accuracy,
        round(sum(actual * rec) / sum(actual), 6) AS weighted_recall,
        round(sum(actual * coalesce(2 * prec * rec / nullif(prec + rec, 0), 0)) / sum(actual), 6) AS f1
 FROM classes GROUP BY reg""",
-    "auc_exact": "WITH RECURSIVE"
-    + SCORED
-    + """,
-steps AS (
-  SELECT reg, margin, sum(label) AS p, sum(1 - label) AS n FROM scored WHERE split = 'test' GROUP BY reg, margin
-),
-ranked AS (
-  SELECT reg, p, n, sum(n) OVER (PARTITION BY reg ORDER BY margin) - n AS below FROM steps
-)
-SELECT reg, round(sum(p * (below + n / 2)) / nullif(sum(p) * sum(n), 0), 4) AS auc FROM ranked GROUP BY reg""",
+    "auc_exact": _AUC,
+    # At these sizes there are fewer distinct margins than bins.
+    "auc_binned": _AUC,
     "stream_decode": "WITH"
     + FEATURES
     + """
@@ -143,3 +178,10 @@ SELECT "timestamp", 'click' AS sensor_id, pressure_value, hour_of_day FROM ft"""
     "batch_score": _SENSOR_SCORES,
     **stream_oracle.ORACLE_SQL,
 }
+# Data that came in two file sets gives what all of it gives.
+ORACLE_SQL |= {
+    "incremental_pressure_stats": _STATS,
+    "incremental_hours": _HOURS,
+    "incremental_coefficients": ORACLE_SQL["logreg_coefficients"],
+    "incremental_confusion": ORACLE_SQL["confusion_matrix"],
+}

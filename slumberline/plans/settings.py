@@ -21,6 +21,7 @@ REPLAYED = ("click", "view")
 REGS = (0.3, 0.0)
 # One micro-batch reads at most this many bytes, which bounds what a lost driver has to repeat.
 STREAM_BATCH = 1 << 40
+COEFFICIENTS = "reg double, intercept double, w_pressure double, w_hour double"
 
 Query = Callable[[SparkSession, str], DataFrame]
 

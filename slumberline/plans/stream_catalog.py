@@ -1,4 +1,4 @@
-"""Registered queries of streams that keep state or fill several tables, each over the whole ``events`` table."""
+"""Registered queries of streams with state or several tables, and of data that grows; over the whole ``events`` table."""
 
 from __future__ import annotations
 
@@ -6,16 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slumberline.functions.messages import encode_messages
-from slumberline.plans.settings import RULE, STREAM_BATCH, Query, plain, serving_model
+from slumberline.operators import learning, sampling
+from slumberline.operators.learning import penalty
+from slumberline.plans.growing import GrowingEvents
+from slumberline.plans.settings import COEFFICIENTS, RULE, STREAM_BATCH, Query, params_of, plain, serving_model, split_rows
 from slumberline.session import scratch_path
 from slumberline.sources.events import read_events_table, stream_events_table
 from slumberline.sources.schema import EVENT_ID
 from slumberline.sources.topic import append_records, stream_record_files
 from slumberline.streaming import audit, dedup, tables, windows
 from slumberline.streaming.scoring import scorable_rows, score_messages, start_parquet_sink
+from slumberline.streaming.versions import ModelVersions, score_versions, start_versioned_scoring
 
 # Which messages of the audited stream are cut off, and in which the reading is text: fixed values.
 CUT_OFF, NO_NUMBER = 11, 13
+# 16 January 2024, in epoch milliseconds.
+SECOND_VERSION_FROM = 1_705_363_200_000
 
 
 def drained(rows: DataFrame, label: str) -> DataFrame:
@@ -91,10 +97,61 @@ def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read().agg(*[F.sum(name).alias(name) for name in names])
 
 
+def stream_versioned_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of the model, of which the second holds from the middle of the month on."""
+    versions = ModelVersions(spark, scratch_path(spark, "versions"))
+    fitted = learning.fit_models(sampling.side(split_rows(spark, sf_dir), "train"), params_of())
+    for version, (model, valid_from) in enumerate(zip(fitted, (0, SECOND_VERSION_FROM)), 1):
+        versions.publish(model, version, valid_from)
+    filled = tables.BatchTables(spark, scratch_path(spark, "versioned"))
+    checkpoint = scratch_path(spark, "versioned-checkpoint")
+    records = encode_messages(_events(spark, sf_dir))
+    start_versioned_scoring(records, RULE, versions, filled, checkpoint, available_now=True).awaitTermination()
+    return plain(filled.read("scored", score_versions(_no_rows(spark), versions.read()).schema).drop(tables.BATCH))
+
+
+def _no_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "timestamp bigint, sensor_id string, pressure_value float, hour_of_day int")
+
+
+def _grown(spark: SparkSession, sf_dir: str) -> GrowingEvents:
+    """The events in two file sets, the second of which comes after the first was counted."""
+    folder = scratch_path(spark, "arrivals")
+    growing = GrowingEvents(spark, scratch_path(spark, "counted"), RULE, [EVENT_ID])
+    for part in range(2):
+        events = read_events_table(spark, sf_dir).filter(F.col(EVENT_ID) % 3 == 0 if part else F.col(EVENT_ID) % 3 != 0)
+        events.write.mode("append").parquet(folder)
+        growing.update(folder, lambda paths: spark.read.parquet(*paths))
+    return growing
+
+
+def incremental_pressure_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(_grown(spark, sf_dir).describe()[0], 6)
+
+
+def incremental_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(_grown(spark, sf_dir).describe()[1])
+
+
+def incremental_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    training = _grown(spark, sf_dir).train(params_of(tol=1e-7))
+    fitted = [(penalty(key), *learning.coefficients(model)) for key, model in training.models.items()]
+    return plain(spark.createDataFrame(fitted, COEFFICIENTS), 4, reg=1)
+
+
+def incremental_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _grown(spark, sf_dir).train(params_of()).confusion_matrix().drop("model")
+
+
 QUERIES: dict[str, Query] = {
     "stream_window_stats": stream_window_stats,
     "stream_sleep_sessions": stream_sleep_sessions,
     "stream_dedup": stream_dedup,
     "stream_two_tables": stream_two_tables,
     "stream_audit": stream_audit,
+    "stream_versioned_score": stream_versioned_score,
+    "incremental_pressure_stats": incremental_pressure_stats,
+    "incremental_hours": incremental_hours,
+    "incremental_coefficients": incremental_coefficients,
+    "incremental_confusion": incremental_confusion,
 }

@@ -57,6 +57,12 @@ SELECT "timestamp", 'click' AS sensor_id, pressure_value, hour_of_day FROM ft"""
     + """
 SELECT hour_of_day, prediction AS "Is_Sleeping_Prediction", count(*) AS scored, count(*) AS counted
 FROM scored WHERE reg = 0 GROUP BY hour_of_day, prediction""",
+    "stream_versioned_score": "WITH RECURSIVE"
+    + SCORED
+    + """
+SELECT "timestamp" AS "Event_Time_ms", pressure_value, hour_of_day, prediction AS "Is_Sleeping_Prediction",
+       CAST(CASE WHEN reg = 0 THEN 2 ELSE 1 END AS BIGINT) AS version
+FROM scored WHERE (reg = 0) = ("timestamp" >= 1705363200000)""",
     "stream_audit": "WITH"
     + EVENTS
     + """,

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from slumberline.operators.features import feature_table, of_sensor
 from slumberline.operators.learning import WEIGHT, feature_cells, fit_each, penalty, score_each
-from slumberline.operators.metrics import areas_under_roc, classification_report, confusion_matrix
+from slumberline.operators.metrics import BINS, areas_under_roc, binned_area_under_roc, classification_report, confusion_matrix
 from slumberline.operators.reports import label_distribution, split_counts
 from slumberline.operators.sampling import hash_split, side
 from slumberline.rules import SPLIT_WEIGHTS, ModelParams, SleepRule
@@ -62,12 +64,24 @@ class Training:
     def area_under_roc(self) -> DataFrame:
         return areas_under_roc(self.scored, WEIGHT, BY_MODEL)
 
+    def binned_area_under_roc(self, bins: int = BINS) -> DataFrame:
+        """The areas from bins of margins, with the bound of their error; no margins are stored."""
+        areas = []
+        for i, key in enumerate(self.models):
+            area = binned_area_under_roc(self.scored.filter(F.col("model") == i), WEIGHT, bins)
+            areas.append(area.select(F.lit(i).alias("model"), F.lit(float(penalty(key))).alias("reg"), "auc", "bound"))
+        return reduce(DataFrame.unionByName, areas)
+
 
 def train(split_rows: DataFrame, params: Sequence[ModelParams]) -> Training:
     """Fit one model per setting on the train side and score the test side."""
+    return train_on_cells(materialize(feature_cells(split_rows, by=["split"]), "cells"), params)
+
+
+def train_on_cells(cells: DataFrame, params: Sequence[ModelParams]) -> Training:
+    """The same from stored cells (split, features, label, weight)."""
     if len(set(params)) < len(params):
         raise ValueError("the same setting is given twice")
-    cells = materialize(feature_cells(split_rows, by=["split"]), "cells")
     fitted = fit_each(side(cells, "train"), params)
     models = dict(zip(params, fitted))
     return Training(models, cells, score_each(models, side(cells, "test")))

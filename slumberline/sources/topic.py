@@ -115,33 +115,77 @@ def peek(
     position columns alone, and other columns are read only up to it. Without a position the order
     of the source is taken as it is.
     """
+    first, carry = _first(records, n, position, columnar)
+    return decode_messages(first, carry)
+
+
+def _first(records: DataFrame, n: int, position: Sequence[str], columnar: bool) -> tuple[DataFrame, list[str]]:
+    """The first records, and the columns that go before what is decoded."""
     if not position:
-        return decode_messages(records.limit(n))
+        return records.limit(n), []
     if columnar:
         first = records.select(*position).orderBy(*position).limit(n)
         last = first.agg(F.max(F.struct(*position)).alias("last")).first()["last"]
         if last is not None:
             records = records.filter(_up_to(dict(zip(position, last))))
     carry = [*position, *(["key"] if "key" in records.columns else [])]
-    return decode_messages(records.orderBy(*position).limit(n), carry)
+    return records.orderBy(*position).limit(n), carry
 
 
-def peek_topic(spark: SparkSession, topic: Topic, n: int = PEEK_SIZE, partitions: Sequence[int] = (0,)) -> DataFrame:
-    """The first ``n`` records of a broker's topic by partition and offset, decoded.
+def peek_any(
+    records: DataFrame, n: int = PEEK_SIZE, position: Sequence[str] = ("offset",), columnar: bool = False
+) -> DataFrame:
+    """``peek`` without a schema: ``data`` holds whatever JSON a record has, with all its fields and their types, as a
+    variant. A record that is no JSON has null there and its ``text``. ``message_fields`` spreads it out."""
+    first, carry = _first(records, n, position, columnar)
+    text = F.col("value").cast("string")
+    data = F.try_parse_json(text)
+    return first.select(*carry, data.alias("data"), F.when(data.isNull(), text).alias("text"))
+
+
+def message_fields(peeked: DataFrame) -> DataFrame:
+    """One row per field of each record's object (or element of its array): ``field``, its ``type`` and the ``data`` in it, after
+    the columns that tell the record. A record of another kind is one row without a field's name."""
+    told = {name: f"_of_{name}" for name in peeked.columns}
+    parts = peeked.withColumnsRenamed(told)
+    data = F.col(told["data"])
+    spread = parts.lateralJoin(peeked.sparkSession.tvf.variant_explode_outer(data.outer()), how="left")
+    value = F.coalesce(F.col("value"), data)
+    return spread.select(
+        *[F.col(new).alias(name) for name, new in told.items() if name not in ("data", "text")],
+        F.coalesce("key", F.col("pos").cast("string")).alias("field"),
+        F.schema_of_variant(value).alias("type"),
+        value.alias("data"),
+    )
+
+
+def peek_topic(
+    spark: SparkSession, topic: Topic, n: int = PEEK_SIZE, partitions: Sequence[int] | None = None, any_shape: bool = False
+) -> DataFrame:
+    """``n`` records from the start of a broker's topic, decoded, by partition and offset; fewer if there are fewer.
 
-    The partitions are read one by one until ``n`` records are found. Their records come in order, so a limit
-    right above the scan needs no sort and stops it early, however long the topic is. The driver gets ``n`` records.
+    All partitions are looked into, one, then a few, then more, until ``n`` records are found, or the named ones one by one. Records
+    of a partition come in the order of their offsets, so a limit right above the scan needs no sort and stops each
+    read early, however long the topic is. The driver gets ``n`` records. ``any_shape`` keeps whatever JSON they hold.
     """
     columns = ["partition", "offset", "key", "value"]
-    schema = T.StructType([])
-    found: list = []
-    for partition in sorted(partitions):
-        first = read_partition(spark, topic, partition).select(*columns).limit(n - len(found))
-        schema = first.schema
-        found += first.collect()
-        if len(found) >= n:
-            break
-    return decode_messages(spark.createDataFrame(found, schema), columns[:-1])
+    if partitions is None:
+        # Spark takes a limit in rounds over ever more partitions, and ends with the round that has enough.
+        first = read_topic(spark, topic).select(*columns).limit(n)
+        found, schema = first.collect(), first.schema
+    else:
+        found, schema = [], T.StructType([])
+        for partition in sorted(partitions):
+            first = read_partition(spark, topic, partition).select(*columns).limit(n - len(found))
+            schema = first.schema
+            found += first.collect()
+            if len(found) >= n:
+                break
+    found = sorted(found, key=lambda record: (record["partition"], record["offset"]))
+    records = spark.createDataFrame(found, schema)
+    if any_shape:
+        return peek_any(records, n, ("partition", "offset"))
+    return decode_messages(records, columns[:-1])
 
 
 def _up_to(last: dict[str, int]) -> Column:

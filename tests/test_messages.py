@@ -175,3 +175,42 @@ def test_without_the_connector_the_broker_is_refused_at_once(spark):
     for read in (stream_topic, read_topic):
         with pytest.raises(AnalysisException, match="kafka"):
             read(spark, Topic())
+
+
+def test_a_peek_at_a_broker_looks_into_all_partitions(spark, monkeypatch, tmp_path):
+    """Most partitions are empty, or hold fewer records than wanted."""
+    rows = [(p, o, b"k", ('{"timestamp":%d,"sensor_id":"click","value":1,"extra":{"p":%d}}' % (o, p)).encode()) for p, n in ((3, 2), (5, 3), (6, 50)) for o in range(n)]
+    kind = "partition int, offset bigint, key binary, value binary"
+
+    def of_partitions(session, topic):
+        parts = [spark.createDataFrame([r for r in rows if r[0] == p], kind).coalesce(1) for p in range(8)]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.union(part)
+        return whole.withColumn("topic", F.lit(topic.name))
+
+    monkeypatch.setattr(topics, "read_topic", of_partitions)
+    found = topics.peek_topic(spark, Topic("events", "host:9092"), 10)
+    places = [(r["partition"], r["offset"]) for r in found.collect()]
+    assert len(places) == 10 and places == sorted(places) and set(places) <= {r[:2] for r in rows}
+    assert topics.peek_topic(spark, Topic("events", "host:9092"), 100).count() == 55
+    any_shape = topics.peek_topic(spark, Topic("events", "host:9092"), 5, any_shape=True)
+    assert any_shape.columns == ["partition", "offset", "key", "data", "text"]
+    extra = any_shape.select(F.try_variant_get("data", "$.extra.p", "int").alias("p"), "partition").collect()
+    assert len(extra) == 5 and all(r["p"] == r["partition"] for r in extra)
+
+
+def test_peek_at_messages_of_any_shape(spark):
+    rows = ['{"a":1,"b":{"c":[1,2]},"s":"x","d":1.50,"n":null}', '[1,"z"]', "oops", "7", None, "{}"]
+    records = spark.createDataFrame([(i, b"k", v) for i, v in enumerate(rows)], "offset bigint, key binary, value string")
+    peeked = topics.peek_any(records, 6)
+    assert [r["text"] for r in peeked.collect()] == [None, None, "oops", None, None, None]
+    fields = topics.message_fields(peeked)
+    assert fields.columns == ["offset", "key", "field", "type", "data"]
+    found = sorted((r[0], r[1] or "", r[2], r[3]) for r in fields.select("offset", "field", "type", F.to_json("data")).collect())
+    assert found == [
+        (0, "a", "BIGINT", "1"), (0, "b", "OBJECT<c: ARRAY<BIGINT>>", '{"c":[1,2]}'), (0, "d", "DECIMAL(2,1)", "1.5"),
+        (0, "n", "VOID", "null"), (0, "s", "STRING", '"x"'), (1, "0", "BIGINT", "1"), (1, "1", "STRING", '"z"'),
+        (2, "", None, None), (3, "", "BIGINT", "7"), (4, "", None, None), (5, "", "OBJECT<>", "{}"),
+    ]
+    assert topics.peek_any(records, 2, position=()).count() == 2

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from slumberline.operators import metrics, sampling
 from slumberline.operators.learning import coefficients, score
 from slumberline.operators.metrics import area_under_roc, classification_report, confusion_matrix
 from slumberline.operators.reports import label_distribution, split_counts
@@ -96,8 +97,6 @@ def test_an_empty_test_side_gives_a_row_of_nulls(rows):
 
 
 def test_areas_of_all_models_come_from_one_pass(rows, monkeypatch):
-    from slumberline.operators import metrics
-
     settings = [ModelParams(reg_param=r) for r in (0.0, 0.1, 0.2, 0.3)]
     training = train(rows, settings)
     stored = []
@@ -106,5 +105,42 @@ def test_areas_of_all_models_come_from_one_pass(rows, monkeypatch):
     assert stored == ["margins"] and len(whole) == 4
     # Many ranges give the same areas as one.
     monkeypatch.setattr(metrics, "MARGINS_PER_RANGE", 50)
+    monkeypatch.setattr(sampling, "ROWS_PER_RANGE", 32)
     ranged = {r["model"]: r["auc"] for r in training.area_under_roc().collect()}
     assert ranged == pytest.approx(whole, abs=1e-12)
+
+
+@pytest.mark.parametrize("bins", [1, 7, 100, 1000])
+def test_binned_area_keeps_its_bound(spark, bins):
+    rows = spark.range(0, 20_000, 1, 4).select(
+        (F.pmod(F.xxhash64("id"), F.lit(1000)) / 137.0).alias("noise"), (F.col("id") % 3 == 0).cast("double").alias("label")
+    )
+    scored = rows.select("label", (F.col("noise") + F.col("label") * 1.5).alias("margin"))
+    exact = metrics.area_under_roc(scored)
+    row = metrics.binned_area_under_roc(scored, bins=bins).first()
+    assert abs(row["auc"] - exact) <= row["bound"] + 1e-12
+    # No bin holds much more than its share of the rows, so neither does the bound.
+    assert row["bound"] <= 1.5 / bins
+    assert bins < 1000 or row["bound"] < 0.002
+
+
+def test_binned_area_of_ties_weights_and_one_class(spark):
+    rows = [(0.0, 1.0, 3), (1.0, 1.0, 2), (1.0, 2.0, 5), (0.0, 2.0, 1), (0.0, float("inf"), 1), (1.0, float("-inf"), 2)]
+    scored = spark.createDataFrame(rows, "label double, margin double, weight bigint")
+    row = metrics.binned_area_under_roc(scored, "weight").first()
+    assert abs(row["auc"] - metrics.area_under_roc(scored, "weight")) <= row["bound"]
+    scored = scored.filter("abs(margin) < 10")
+    row = metrics.binned_area_under_roc(scored, "weight").first()
+    assert row["bound"] == 0 and row["auc"] == pytest.approx(metrics.area_under_roc(scored, "weight"))
+    one = metrics.binned_area_under_roc(scored.filter("label = 1")).first()
+    assert one["auc"] is None and one["bound"] is None
+    assert metrics.binned_area_under_roc(scored.filter("label = 2")).first()["auc"] is None
+
+
+def test_binned_area_stores_and_sorts_no_margins(rows, monkeypatch):
+    training = train(rows, [ModelParams(reg_param=reg) for reg in (0.3, 0.0)])
+    monkeypatch.setattr(metrics, "materialize", lambda *args: pytest.fail("a table is stored"))
+    binned = training.binned_area_under_roc(bins=20)
+    assert [r["model"] for r in binned.collect()] == [0, 1]
+    plan = binned._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan

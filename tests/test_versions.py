@@ -1,0 +1,93 @@
+"""Scoring with models that are published while a stream runs."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from slumberline.functions.messages import encode_messages
+from slumberline.operators.learning import fit_models, margin, predict
+from slumberline.operators.sampling import side
+from slumberline.plans.training import split_features
+from slumberline.rules import ModelParams, SleepRule
+from slumberline.sources.events import read_events_table
+from slumberline.sources.schema import EVENT_ID
+from slumberline.sources.topic import publish_files, stream_message_files
+from slumberline.streaming import tables, versions
+from slumberline.streaming.scoring import scorable_rows
+
+SF_DIR = "/root/testdata/sf0.001"
+RULE = SleepRule("click", 25.0)
+MIDDLE = 1_705_363_200_000
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return read_events_table(spark, SF_DIR)
+
+
+@pytest.fixture(scope="module")
+def models(events):
+    params = [ModelParams(reg_param=0.3), ModelParams(reg_param=0.0), ModelParams(reg_param=0.0, threshold=0.2)]
+    return fit_models(side(split_features(events, RULE, [EVENT_ID]), "train"), params)
+
+
+def test_versions_score_as_their_models_do(spark, events, models, tmp_path):
+    table = versions.ModelVersions(spark, str(tmp_path / "models"))
+    for number, model in enumerate(models):
+        table.publish(model, number, number * 10**6)
+    rows = scorable_rows(encode_messages(events), RULE)
+    for number, model in enumerate(models):
+        one = rows.withColumn("timestamp", F.lit(number * 10**6).cast("bigint"))
+        scored = versions.score_versions(one, table.read()).select("pressure_value", "hour_of_day", "version", "Is_Sleeping_Prediction")
+        expected = rows.select("pressure_value", "hour_of_day", F.lit(number).cast("bigint"), predict(model, margin(model)))
+        assert scored.exceptAll(expected).isEmpty() and scored.count() == 210
+    assert len({r["Is_Sleeping_Prediction"] for r in scored.collect()}) == 2
+
+
+def test_time_before_the_first_version_and_equal_times(spark, events, models, tmp_path):
+    table = versions.ModelVersions(spark, str(tmp_path / "models"))
+    table.publish(models[0], 1, MIDDLE)
+    table.publish(models[1], 2, MIDDLE)
+    table.publish(models[1], 2, MIDDLE)
+    scored = versions.score_versions(scorable_rows(encode_messages(events), RULE), table.read())
+    early, late = scored.filter(F.col("Event_Time_ms") < MIDDLE), scored.filter(F.col("Event_Time_ms") >= MIDDLE)
+    assert [tuple(r) for r in early.select("version", "Is_Sleeping_Prediction").distinct().collect()] == [(None, None)]
+    assert [r[0] for r in late.select("version").distinct().collect()] == [2] and scored.count() == 210
+
+
+def test_a_running_stream_takes_up_a_new_version_without_a_restart(spark, events, models, tmp_path):
+    topic = str(tmp_path / "topic")
+    table = versions.ModelVersions(spark, str(tmp_path / "models"))
+    table.publish(models[0], 1)
+    filled = tables.BatchTables(spark, str(tmp_path / "tables"))
+    halves = [encode_messages(events.filter(F.col(EVENT_ID) % 2 == part)).coalesce(1) for part in range(2)]
+    publish_files(halves[0], topic)
+    query = versions.start_versioned_scoring(
+        stream_message_files(spark, topic, max_files_per_trigger=1),
+        RULE, table, filled, str(tmp_path / "c"), interval="0 seconds",
+    )
+    try:
+        query.processAllAvailable()
+        table.publish(models[1], 2)
+        publish_files(halves[1], topic)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    schema = versions.score_versions(scorable_rows(halves[0], RULE), table.read()).schema
+    scored = filled.read("scored", schema)
+    by_version = {r["version"]: r["count"] for r in scored.groupBy("version").count().collect()}
+    assert set(by_version) == {1, 2} and sum(by_version.values()) == 210
+    assert scored.select("batch_id", "version").distinct().count() == 2
+    for number, half in enumerate(halves, 1):
+        expected = scorable_rows(half, RULE).select("pressure_value", "hour_of_day", predict(models[number - 1], margin(models[number - 1])))
+        got = scored.filter(F.col("version") == number).select("pressure_value", "hour_of_day", "Is_Sleeping_Prediction")
+        assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+
+
+def test_too_many_versions_are_an_error(spark, models, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "MOST_VERSIONS", 1)
+    table = versions.ModelVersions(spark, str(tmp_path / "models"))
+    table.publish(models[0], 1)
+    assert table.read().count() == 1
+    table.publish(models[0], 2)
+    with pytest.raises(ValueError, match="too many"):
+        table.read()
