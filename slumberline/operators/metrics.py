@@ -108,7 +108,7 @@ def binned_area_under_roc(scored: DataFrame, weight: str | None = None, bins: in
     """
     shares = [i / bins for i in range(bins + 1)]
     cuts = scored.agg(F.percentile_approx("margin", shares, SKETCH * bins).alias("cuts")).first()["cuts"]
-    inner = sorted({cut for cut in cuts or [] if abs(cut) < float("inf")})
+    inner = sorted({cut for cut in cuts or [] if abs(cut) < float("inf")}) or [0.0]
     splits = [-float("inf"), *inner, float("inf")]
     binned = Bucketizer(splits=splits, inputCol="margin", outputCol="_bin").transform(scored)
     per_bin = binned.groupBy("_bin").agg(
