@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slumberline.llm import tokens as tk
+from slumberline.llm.columns import put_back, set_aside
 from slumberline.session import materialize
 
 U64 = np.uint64
@@ -264,6 +265,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     """The documents that hold no benchmark item. Rows that agree in id and text go or stay together; of other rows
     with the same id, null for one, only those that hold an item go."""
     held = holdings(docs.select("doc_id", "text"), benchmark, coverage)
+    docs, aside = set_aside(docs, ("_held", "_digest"))
     held = held.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("_held"), F.col("digest").alias("_digest"))
     same = docs["doc_id"].eqNullSafe(F.col("_held")) & (text_digest(docs["text"]) == F.col("_digest"))
-    return docs.join(held.distinct(), same, "left_anti")
+    return put_back(docs.join(held.distinct(), same, "left_anti"), aside)

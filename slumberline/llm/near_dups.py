@@ -43,10 +43,13 @@ from pyspark.sql import functions as F
 
 from slumberline.llm import recurring
 from slumberline.llm import tokens as tk
+from slumberline.llm.columns import put_back, set_aside
 from slumberline.session import materialize
 
 U64 = np.uint64
 SHINGLE = 5
+# Names that the columns of documents may not have meanwhile.
+INTERNAL = ("_c", "_n", "_id", "_cid")
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 SMALL, CENTRES, MORE_CENTRES = 16, 4, 16
@@ -422,9 +425,11 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay: of every class the document with the least id, once."""
     found = classes(docs, least).filter("kept")
+    docs, aside = set_aside(docs, INTERNAL)
     found = found.select(F.col("doc_id").alias("_id"), F.col("cid").alias("_cid")).distinct()
     cid = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     keyed = docs.withColumn("_c", cid)
     once = Window.partitionBy("doc_id", "_c").orderBy(F.lit(0))
     match = keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_c") == F.col("_cid"))
-    return keyed.withColumn("_n", F.row_number().over(once)).filter("_n = 1").join(found, match, "left_semi").select(*docs.columns)
+    kept = keyed.withColumn("_n", F.row_number().over(once)).filter("_n = 1").join(found, match, "left_semi")
+    return put_back(kept.select(*docs.columns), aside)

@@ -138,16 +138,19 @@ QUERIES = {
 }
 
 _PLACE = (
-    f"({mixed32_sql('doc_id', mixing.HASH_KEYS[0])} << {mixing.BITS - 32}) | "
-    f"({mixed32_sql('doc_id', mixing.HASH_KEYS[1])} >> {64 - mixing.BITS})"
+    f"({mixed32_sql('told', mixing.HASH_KEYS[0])} << {mixing.BITS - 32}) | "
+    f"({mixed32_sql('told', mixing.HASH_KEYS[1])} >> {64 - mixing.BITS})"
 )
 
 ORACLE_SQL: dict[str, str] = {
     "op5_mixing": f"""
-        WITH sized AS (
+        WITH named AS (
+            SELECT *, xor(coalesce(doc_id, -1) & {(1 << 62) - 1}, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT) AS told
+            FROM documents
+        ), sized AS (
             SELECT doc_id, source, {_PLACE} AS place,
                    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
-            FROM documents
+            FROM named
         ), sources AS (
             SELECT source, sum(size)::BIGINT AS source_size,
                    ([3, 1, 2])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight

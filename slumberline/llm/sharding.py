@@ -13,11 +13,12 @@ chosen such that there are hardly any.
 Numbering takes no global sort: a row's bucket is a hash of its key and ``ties``, buckets are counted, and rows
 are numbered within their bucket. So a key that very many rows share, as null may be, is spread over buckets
 where the ties tell its rows apart. The number of buckets follows that of the rows, and one row per bucket is
-broadcast while there are at most 2**20.
+broadcast while there are at most 2**20. A bucket of over ``HOT`` rows can only come from rows equal in key and ties:
+its groups of such rows are counted, and a large group is numbered in parts.
 
 Defined results: a null key is a key like others; rows with equal keys are told apart by ``ties``, and
-rows equal in these too are interchangeable; input columns named ``shard`` or
-``slot`` are replaced; an empty table gives an empty table.
+rows equal in these too are interchangeable; other columns, long texts among them, are carried through unchanged, whatever their
+names, but input columns named ``shard`` or ``slot`` are replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -29,12 +30,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slumberline.llm.arithmetic import keys, mixed32, mixed32_py
+from slumberline.llm.columns import numbered_copies, put_back, set_aside
+from slumberline.session import materialize
 
 SHARDS = 24
 SEED = 20240
 ROUNDS = 6
 ROWS_PER_BUCKET = 1 << 16
 BROADCAST_BUCKETS = 1 << 20
+HOT = 8 * ROWS_PER_BUCKET
+RESULT = ("shard", "slot")
+# Names that the input's columns may not have meanwhile.
+INTERNAL = ("_number", "_bucket", "_size", "_start", "_within", "_left", "_right", "_copy", "_lower", "_hot", "_key_0", "_file", "_row", "_part", "_n", "_first", "_of_0", "_of_part")
 
 
 def grid(n: int) -> tuple[int, int]:
@@ -108,19 +115,41 @@ def numbered(rows: DataFrame, key: str, ties: Sequence[str], name: str) -> tuple
     if buckets <= BROADCAST_BUCKETS:
         starts = F.broadcast(starts)
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key, *ties)) - 1
-    placed = rows.withColumn("_bucket", bucket).withColumn("_within", within).join(starts, "_bucket")
+    bucketed = rows.withColumn("_bucket", bucket)
+    hot = [row["_bucket"] for row in sizes.filter(F.col("_size") > HOT).select("_bucket").collect()] if n > HOT else []
+    if hot:
+        # At most n / HOT buckets: their rows, and the others.
+        is_hot = F.col("_bucket").isin(hot) if len(hot) < 1000 else F.array_contains(F.lit(hot), F.col("_bucket"))
+        placed = bucketed.filter(~is_hot).withColumn("_within", within).unionByName(_in_groups(bucketed.filter(is_hot), [key, *ties]))
+    else:
+        placed = bucketed.withColumn("_within", within)
+    placed = placed.join(starts, "_bucket")
     return placed.withColumn(name, F.col("_start") + F.col("_within")).drop("_bucket", "_within", "_start"), n
 
 
+def _in_groups(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Number rows within their bucket by ``key``: where a group of equal rows starts, and the row's place in it."""
+    # The place of a group among those of its bucket needs their number of rows only.
+    named = rows.withColumn("_key_0", F.xxhash64(*key))
+    numbered = materialize(numbered_copies(named.withColumn("_hot", F.struct("_bucket", "_key_0", *[F.col(k) for k in key])), ["_hot"], "_copy"), "hot-rows")
+    groups = numbered.groupBy("_hot").agg(F.count(F.lit(1)).alias("_size"))
+    order = Window.partitionBy("_hot._bucket").orderBy(*[F.col(f"_hot.{k}") for k in key])
+    lower = F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lower = groups.select(F.col("_hot").alias("_of_hot"), lower.alias("_lower"))
+    placed = numbered.join(lower, F.col("_hot").eqNullSafe(F.col("_of_hot")))
+    return placed.withColumn("_within", F.col("_lower") + F.col("_copy")).select(*rows.columns, "_within")
+
+
 def shard(
     rows: DataFrame, shards: int = SHARDS, key: str = "doc_id", ties: Sequence[str] = (), seed: int = SEED
 ) -> DataFrame:
     """Add ``shard`` (int) and ``slot`` (long) to every row."""
-    rows = rows.drop("shard", "slot")
-    placed, n = numbered(rows, key, ties, "_number")
+    rows, aside = set_aside(rows.drop(*RESULT), INTERNAL)
+    placed, n = numbered(rows, aside.get(key, key), [aside.get(tie, tie) for tie in ties], "_number")
     placed = permuted(placed, "_number", n, seed) if n else placed
-    return placed.select(
+    placed = placed.select(
         *rows.columns,
         (F.col("_number") % shards).cast("int").alias("shard"),
         F.expr(f"cast(_number div {int(shards)}L as bigint)").alias("slot"),
     )
+    return put_back(placed, aside)
