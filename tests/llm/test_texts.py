@@ -305,6 +305,12 @@ PAGES = [
     (f"<article><p>{LONG}</p><p class='x", LONG),
     ("<script>var t='</p>'", ""),
     ("<nav><a href=/>only a menu</a></nav>", ""),
+    (f"<div class='layout no-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+    (f"<article class='post share-on'><p>{LONG}</p></article>", LONG),
+    (f"<div id=content class='menu-left'><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG} {LONG}"),
+    (f"<div><p>Press <button>Go</button>, <label>see</label>. {LONG}</p><button>Share</button></div>", f"Press Go, see. {LONG}"),
+    (f"<article><p>{LONG}</p></article><section id=comments><article class=comment><p>{LONG} {LONG}</p></article></section>", LONG),
+    (f"<div><p>{LONG}</p></div><div class=comments>{f'<p>{LONG}</p>' * 9}</div>", LONG),
 ]
 
 
@@ -320,6 +326,19 @@ def test_deep_and_long_pages():
     assert html_text.main_text(long) == " ".join([LONG] * 20000)
 
 
+@pytest.mark.parametrize("tags", ["<div>", "<b>", "<p>", "<li><div>", "<table><tr><td>", "</p>", "<b></i>", "<body>", "<a '"])
+def test_markup_is_read_in_linear_time(tags):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        html_text.main_text(tags * n + "x")
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(32_000) < 10 * max(seconds(8_000), 0.05)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/!-&;ap \"'=divscript", max_size=80))
 def test_any_markup_is_read(html):
@@ -337,6 +356,28 @@ def test_pages_of_a_whole_table(spark):
         assert row.n_chars == len(row.text)
 
 
+def without_furniture(page):
+    """The text of a page without its menu, advert and footer, which these pages mark in one way each."""
+    import html as h
+
+    body = re.search(r"<body>(.*?)(</body>|$)", page, re.S).group(1)
+    body = re.sub(r"<nav>.*?</nav>|<!--.*?-->|<div class=\"ad\">.*?</div>|<footer>.*?</footer>|<script>.*?</script>", "", body, flags=re.S)
+    parts = [" ".join(h.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1|div|article)>", body)]
+    return " ".join(p for p in parts if p)
+
+
+def test_density_finds_the_article_without_its_tag(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("html").collect()]
+    assert len(pages) == 2500
+    wrong = 0
+    for page in pages:
+        expected = without_furniture(page)
+        assert html_text.main_text(page) == expected
+        wrong += html_text.main_text(re.sub(r"(</?)article\b", r"\1div", page)) != expected
+    # Where the advert is longer than the whole article.
+    assert wrong <= 25
+
+
 def test_page_edges(spark):
     rows = [(None, None, "<p>x</p>"), (1, "u", None), (1, "u", None)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(5))
