@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from slumberline.functions.hashing import RANGE, key_hash
 from slumberline.rules import EVERY_NTH, SPLIT_SEED, SPLIT_WEIGHTS
 from slumberline.session import materialize
+from slumberline.sources.schema import POSITION
 
 SPLIT_NAMES = ("train", "test")
 # How finely a table is cut into ranges, and how many sampled keys find each cut. Every cut is a comparison in the
@@ -98,9 +99,14 @@ def with_index_of_key(rows: DataFrame, *key: str) -> DataFrame:
 
 def every_nth(rows: DataFrame, key: Sequence[str], n: int = EVERY_NTH, unique: bool = False) -> DataFrame:
     """Every ``n``-th row by ``key``, starting with the first; ``idx`` is its position among all rows. With
-    ``unique`` the key tells the rows apart, and no copy of the table is stored."""
-    index = with_index_of_key if unique else with_dense_index
-    return index(rows, *key).filter(F.col("idx") % n == 0)
+    ``unique`` the key tells the rows apart, and no copy of the table is stored. None is stored either where the rows have their
+    position in the source (``read_parquet_events``): it orders rows with equal keys, and spreads a key that very many
+    rows share over ranges. The position is not returned."""
+    if set(POSITION) <= set(rows.columns):
+        indexed = with_index_of_key(rows, *key, *POSITION).drop(*POSITION)
+    else:
+        indexed = with_index_of_key(rows, *key) if unique else with_dense_index(rows, *key)
+    return indexed.filter(F.col("idx") % n == 0)
 
 
 def hash_split(rows: DataFrame, key: Sequence[str], weights: Sequence[float] = SPLIT_WEIGHTS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from slumberline.functions.clock import epoch_millis
 from slumberline.functions.readings import reading
-from slumberline.sources.schema import EVENT_ID
+from slumberline.sources.schema import EVENT_ID, POSITION
 
 
 @dataclass(frozen=True)
@@ -33,8 +34,8 @@ EVENTS_TABLE_COLUMNS = EventColumns(
 UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT")
 
 
-def canonical_events(raw: DataFrame, columns: EventColumns = EventColumns()) -> DataFrame:
-    """Rename and type the columns of ``raw``; a sensor id that is text already stays a bare column,
+def canonical_events(raw: DataFrame, columns: EventColumns = EventColumns(), carry: Sequence[str] = ()) -> DataFrame:
+    """Rename and type the columns of ``raw``, before the ``carry`` columns; a sensor id that is text already stays a bare column,
     so that a filter on it still reaches the scan."""
     sensor = F.col(columns.sensor_id)
     if not isinstance(raw.select(sensor).schema[0].dataType, T.StringType):
@@ -53,7 +54,7 @@ def canonical_events(raw: DataFrame, columns: EventColumns = EventColumns()) ->
     ]
     if columns.event_id:
         selected.insert(0, F.col(columns.event_id).cast("bigint").alias(EVENT_ID))
-    return raw.select(*selected)
+    return raw.select(*selected, *carry)
 
 
 def read_csv_events(spark: SparkSession, path: str, columns: EventColumns = EventColumns()) -> DataFrame:
@@ -68,8 +69,15 @@ def read_csv_events(spark: SparkSession, path: str, columns: EventColumns = Even
     return canonical_events(raw, columns)
 
 
-def read_parquet_events(spark: SparkSession, path: str, columns: EventColumns = EventColumns()) -> DataFrame:
-    return canonical_events(spark.read.parquet(path), columns)
+def read_parquet_events(
+    spark: SparkSession, path: str, columns: EventColumns = EventColumns(), positions: bool = False
+) -> DataFrame:
+    """Events of parquet files; with ``positions`` each with its place there, which tells any two rows apart."""
+    raw = spark.read.parquet(path)
+    if not positions:
+        return canonical_events(raw, columns)
+    places = [F.col("_metadata.file_path").alias(POSITION[0]), F.col("_metadata.row_index").alias(POSITION[1])]
+    return canonical_events(raw.select("*", *places), columns, carry=POSITION)
 
 
 def read_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:

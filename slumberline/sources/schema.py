@@ -23,3 +23,6 @@ EVENT_ID = "event_id"
 
 FEATURES = ("pressure_value", "hour_of_day")
 LABEL = "label"
+
+# Where a row stands in its source: parquet file and row of it.
+POSITION = ("source_file", "source_row")

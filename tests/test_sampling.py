@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from slumberline.sources.events import EventColumns, read_parquet_events
 from slumberline.operators import sampling
 from slumberline.operators.sampling import (
     every_nth,
@@ -121,3 +122,26 @@ def test_small_shares_are_kept_and_lost_ones_refused(spark):
 def test_hash_of_negative_and_null_keys(spark):
     rows = spark.createDataFrame([(None,), (-1,), (-(1 << 63),), ((1 << 63) - 1,)], "id long")
     assert hash_split(rows, ["id"]).count() == 4
+
+
+@pytest.mark.parametrize("ranges", [16, 1 << 20])
+def test_keys_that_repeat_are_numbered_without_a_stored_copy(spark, monkeypatch, tmp_path, ranges):
+    """Half of the rows share one key; their place in the files orders them."""
+    rows = spark.range(0, 600, 1, 5).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 2 == 0, 77).otherwise(F.col("id")).alias("timestamp"),
+        F.lit("click").alias("sensor_id"),
+        F.col("id").cast("float").alias("value"),
+    )
+    rows.write.parquet(str(tmp_path / "events"))
+    events = read_parquet_events(spark, str(tmp_path / "events"), EventColumns(event_id="event_id"), positions=True)
+    monkeypatch.setattr(sampling, "materialize", lambda *args: pytest.fail("a table is stored"))
+    monkeypatch.setattr(sampling, "ROWS_PER_RANGE", ranges)
+    found = sampling.every_nth(events, ["timestamp"], 1)
+    assert found.columns == ["event_id", "timestamp", "sensor_id", "value", "idx"]
+    placed = sorted((r["idx"], r["timestamp"], r["event_id"]) for r in found.collect())
+    assert [idx for idx, _, _ in placed] == list(range(600))
+    assert [t for _, t, _ in placed] == sorted(t for _, t, _ in placed)
+    assert len({i for _, _, i in placed}) == 600
+    again = sorted((r["idx"], r["event_id"]) for r in sampling.every_nth(events.repartition(3), ["timestamp"], 7).collect())
+    assert again == [(idx, i) for idx, _, i in placed if idx % 7 == 0]
