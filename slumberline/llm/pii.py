@@ -14,20 +14,25 @@ number without its last four and seven digits. For a class it must also be unlik
 different texts hold both by accident: the Chernoff bound of a Poisson tail, k log(k / m) - (k - m) for k
 texts where m = n(e) n(t) / N are expected.
 
+Terms are looked for in all documents: where one stands without its entity, it gives it away just as well.
+
 Positions come without Python: a text split at a pattern gives what stands between the matches, so
 running sums of both lengths are the offsets in code points. Where a pattern repeats a group, the
 separators inside a number or address are first replaced by a mark (one code point for one), so that it
 becomes a plain run of characters: the regular expression engine then neither recurses nor tries a
-position twice, however long the text.
+position twice. Running sums and maxima are taken by doubling, in log(matches) passes over the array, and parts of a text from
+blocks of it, so a text takes time in proportion to its length, but for that logarithm.
 
 Defined results: a null text is empty; a null or repeated doc_id changes nothing, as each row is looked at
-by itself; a text without matches has an empty list; other columns are ignored, whatever their names;
+by itself; a text without matches has an empty list; spans that overlap are replaced together, as the one that starts first (of
+these the longest, ties by kind); very long texts are worked on whole; other columns are ignored, whatever their names;
 an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,62 +45,75 @@ SUPPORT = 3
 CHANCE = 1e-6
 KINDS = ("email", "ip", "card", "phone")
 TERM = r"\p{L}{3,}"
-MARK, OTHER = "\u0001", "\u0002"
+MARK, OTHER, DASH = "\u0001", "\u0002", "\u0003"
+# Code points of a block, from which parts of a text are cut.
+BLOCK = 4096
+# Tables of up to this many rows are broadcast.
+BROADCAST_ROWS = 200_000
 LABEL = "A-Za-z0-9-"
 LOCAL = "A-Za-z0-9._%+" + MARK + "-"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
 def _no_mark(text: Column) -> Column:
-    return F.translate(text, MARK, OTHER)
+    return F.translate(text, MARK + DASH, OTHER + OTHER)
 
 
-def _pieces(text: Column, marked: Column, pattern: Column, kind: str) -> Column:
-    """All matches of ``pattern`` in ``marked``, with offsets; values are read from ``text``, which is as long."""
-    found = F.regexp_extract_all(marked, pattern, F.lit(0))
-    between = F.split(marked, pattern, -1)
-    lengths = F.zip_with(
-        F.slice(between, F.lit(1), F.size(found)), found, lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("match"))
-    )
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    spans = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("upto"), empty.alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["upto"] + x["gap"] + x["match"]).alias("upto"),
-            F.concat(
-                acc["spans"],
-                F.array(F.struct((acc["upto"] + x["gap"]).alias("start"), (acc["upto"] + x["gap"] + x["match"]).alias("end"))),
-            ).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
-    return F.transform(
-        spans,
-        lambda s: F.struct(
-            F.lit(kind).alias("kind"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            text.substr(s["start"] + 1, s["end"] - s["start"]).alias("value"),
+def bound_to(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also where ``use`` has it inside a function of array elements."""
+    return F.aggregate(F.array(F.lit(0)), value, lambda bound, _: bound, use)
+
+
+def running(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """Running sums (or maxima) of an array, by doubling the number of added elements."""
+    steps = F.ceil(F.log2(F.size(values).cast("double"))).cast("int")
+
+    def doubled(done: Column, step: Column) -> Column:
+        reach = F.call_function("shiftleft", F.lit(1), step)
+        return F.transform(done, lambda x, i: F.when(i >= reach, add(x, F.get(done, i - reach))).otherwise(x))
+
+    return F.when(F.size(values) < 2, values).otherwise(F.aggregate(F.sequence(F.lit(0), steps - 1), values, doubled))
+
+
+def _spans(found: Column, between: Column, kind: str, value: Callable[[Column], Column]) -> Column:
+    """Matches with their offsets: the match ends where it and all before it, matches and gaps, are added up."""
+    lengths = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda gap, match: F.length(gap) + F.length(match))
+    return F.zip_with(
+        found,
+        running(lengths, lambda one, other: one + other),
+        lambda match, end: F.struct(
+            F.lit(kind).alias("kind"), (end - F.length(match)).alias("start"), end.alias("end"), value(match).alias("value")
         ),
     )
 
 
+def _pieces(marked: Column, pattern: Column, kind: str, value: Callable[[Column], Column] = lambda match: match) -> Column:
+    """All matches of ``pattern`` in ``marked``, with offsets; ``value`` undoes the marks of a match."""
+    found = F.regexp_extract_all(marked, pattern, F.lit(0))
+    return bound_to(found, lambda found: _spans(found, F.split(marked, pattern, -1), kind, value))
+
+
 def _when(possible: Column, spans: Column) -> Column:
     return F.when(possible, spans).otherwise(F.array().cast(SPAN))
 
 
-def emails(text: Column) -> Column:
+# A local part starts where no such character stands before, or where the match before ended.
+EMAIL = rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[{LABEL}]++{MARK}[{LABEL}{MARK}]++"
+
+
+def _dots_marked(text: Column) -> Column:
     """A dot between two label characters becomes a mark; the host is then a run that holds one."""
-    marked = F.regexp_replace(_no_mark(text), rf"(?<=[{LABEL}])\.(?=[{LABEL}])", MARK)
-    # A local part starts where no such character stands before, or where the match before ended.
-    pattern = rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[{LABEL}]++{MARK}[{LABEL}{MARK}]++"
-    return _when(F.contains(text, F.lit("@")), _pieces(text, marked, F.lit(pattern), "email"))
+    return F.regexp_replace(_no_mark(text), rf"(?<=[{LABEL}])\.(?=[{LABEL}])", MARK)
+
+
+def emails(text: Column) -> Column:
+    spans = _pieces(_dots_marked(text), F.lit(EMAIL), "email", lambda match: F.translate(match, MARK, "."))
+    return _when(F.contains(text, F.lit("@")), spans)
 
 
 def ips(text: Column) -> Column:
     pattern = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-    spans = _pieces(text, text, F.lit(pattern), "ip")
+    spans = _pieces(text, F.lit(pattern), "ip")
     parts = lambda s: F.transform(F.split(s["value"], r"\."), lambda p: F.regexp_replace(p, "^0+(?=.)", ""))
     fits = lambda p: (F.length(p) <= 3) & (F.lpad(p, 3, "0") <= "255")
     return _when(F.regexp_like(text, F.lit(pattern)), F.filter(spans, lambda s: F.forall(parts(s), fits)))
@@ -117,15 +135,17 @@ def luhn(number: Column) -> Column:
 def cards(text: Column) -> Column:
     """A match of the pattern is a whole run of digits with single separators between them. Only runs of 13 to
     19 digits can pass, so no other run is taken up."""
-    marked = F.regexp_replace(_no_mark(text), r"(?<=[0-9])[ -](?=[0-9])", MARK)
-    pattern = rf"(?<![0-9{MARK}])[0-9](?:{MARK}?[0-9]){{12,18}}+(?![0-9{MARK}])"
-    spans = _pieces(text, marked, F.lit(pattern), "card")
+    marked = F.regexp_replace(_no_mark(text), r"(?<=[0-9]) (?=[0-9])", MARK)
+    marked = F.regexp_replace(marked, r"(?<=[0-9])-(?=[0-9])", DASH)
+    marks = MARK + DASH
+    pattern = rf"(?<![0-9{marks}])[0-9](?:[{marks}]?[0-9]){{12,18}}+(?![0-9{marks}])"
+    spans = _pieces(marked, F.lit(pattern), "card", lambda match: F.translate(match, marks, " -"))
     return _when(F.regexp_like(marked, F.lit(pattern)), F.filter(spans, lambda s: luhn(digits(s["value"]))))
 
 
 def phones(text: Column) -> Column:
     pattern = r"\+[0-9][ ().0-9-]+[0-9]"
-    spans = _pieces(text, text, F.lit(pattern), "phone")
+    spans = _pieces(text, F.lit(pattern), "phone")
     fits = lambda s: F.length(digits(s["value"])).between(9, 15)
     return _when(F.contains(text, F.lit("+")), F.filter(spans, fits))
 
@@ -135,16 +155,17 @@ def entities(text: Column) -> Column:
     return F.concat(emails(text), ips(text), cards(text), phones(text))
 
 
-def blanked(text: Column, spans: Column) -> Column:
-    """The text with spaces in place of its entities, as long as before."""
-    return F.aggregate(
-        spans,
-        text,
-        lambda t, s: F.overlay(t, F.repeat(F.lit(" "), s["end"] - s["start"]), s["start"] + 1),
-    )
+def without_addresses(text: Column) -> Column:
+    """The text with spaces in place of its e-mail addresses, as long as before. Other entities have no letters, so no
+    term overlaps them."""
+    marked, pattern = _dots_marked(text), F.lit(EMAIL)
+    found = F.transform(F.regexp_extract_all(marked, pattern, F.lit(0)), lambda match: F.repeat(F.lit(" "), F.length(match)))
+    pieces = F.zip_with(F.split(marked, pattern, -1), found, lambda gap, blank: F.concat(gap, F.coalesce(blank, F.lit(""))))
+    plain = F.translate(F.array_join(pieces, ""), MARK, ".")
+    return F.when(F.contains(text, F.lit("@")), plain).otherwise(text)
 
 
-def terms(text: Column) -> Column:
+def terms(text: Column | str) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
@@ -165,9 +186,17 @@ def names_of(span: Column) -> Column:
     return F.concat(F.array(F.concat(kind, F.lit(":"), value), F.concat(kind, F.lit("/kind:"))), levels)
 
 
-def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float, support: int) -> DataFrame:
-    """``row``, ``term`` and ``share``: the terms of a row that disclose one of its entities or of their classes."""
-    n = F.lit(float(docs.count()))
+def small(rows: DataFrame) -> DataFrame:
+    """A stored table, broadcast where it has few rows."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def revealing_terms(found: DataFrame, generalise: float, support: int) -> DataFrame:
+    """``term`` and ``share``, the largest one: the terms that disclose an entity or a class of entities.
+
+    ``found`` has a stored row for each document: row, text, spans and, where there are spans, ``unit``, the text's name.
+    """
+    n = F.lit(float(found.count()))
     holders = found.filter(F.size("spans") > 0)
     entity = F.explode(F.array_distinct(F.flatten(F.transform("spans", names_of))))
     named = holders.select("row", "unit", entity.alias("entity"))
@@ -176,20 +205,20 @@ def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float, suppor
         .groupBy("entity").agg(F.sum("docs").alias("n_entity"), F.count(F.lit(1)).alias("units"))
         .filter(F.col("units") >= support).drop("units")
     )
-    protected = materialize(named.join(often, "entity"), "pii")
-    words = holders.select("row", F.explode(terms(blanked(F.col("text"), F.col("spans")))).alias("term"))
-    together = protected.join(words, "row")
+    # Every holder of an address has the class of addresses: such a name is no key to shuffle by.
+    protected = named.join(small(materialize(often, "pii")), "entity")
     # Rows with equal texts hold the same pairs, so these are counted once for each text, with its number of rows.
     of_text = holders.groupBy("unit").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("docs"))
+    words = holders.select("row", F.explode(terms(without_addresses(F.col("text")))).alias("term"))
     pairs = (
-        together.join(of_text.select("row", "docs"), "row")
+        protected.join(of_text.select("row", "docs"), "row").join(words, "row")
         .groupBy("entity", "term", "n_entity").agg(F.sum("docs").alias("n_both"), F.count(F.lit(1)).alias("units"))
         .filter(F.col("units") >= support)
     )
     pairs = materialize(pairs, "pii")
-    wanted = pairs.select("term").distinct()
-    every = docs.select(F.explode(terms(F.coalesce("text", F.lit("")))).alias("term"))
-    counts = every.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term")
+    every = found.select(F.explode(terms("text")).alias("term"))
+    wanted = small(materialize(pairs.select("term").distinct(), "pii"))
+    counts = every.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     pmi = F.log(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
     known = F.log(n / F.col("n_entity"))
     told = pairs.join(counts, "term").withColumn("share", F.when(known > 0, pmi / known).otherwise(F.lit(0.0)))
@@ -197,9 +226,8 @@ def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float, suppor
     surprise = F.col("units") * F.log(F.col("units") / chance) - (F.col("units") - chance)
     exact = ~F.col("entity").rlike("^[a-z]+/")
     shown = exact | ((F.col("units") > chance) & (surprise >= -math.log(CHANCE)))
-    told = told.filter((F.col("share") >= generalise) & shown).select("entity", "term", "share")
-    told = materialize(told, "pii")
-    return together.join(told, ["entity", "term"]).groupBy("row", "term").agg(F.max("share").alias("share"))
+    told = told.filter((F.col("share") >= generalise) & shown)
+    return materialize(told.groupBy("term").agg(F.max("share").alias("share")), "pii")
 
 
 def find(
@@ -212,20 +240,22 @@ def find(
     found = spans.select(
         "doc_id",
         "spans",
-        F.when(F.size("spans") > 0, F.col("text")).alias("text"),
+        "text",
         F.when(F.size("spans") > 0, F.xxhash64("text")).alias("unit"),
         F.monotonically_increasing_id().alias("row"),
     )
     found = materialize(found, "pii")
-    told = revealing_terms(docs.select("text"), found, generalise, support)
-    told = told.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias("told"))
-    joined = found.join(told, "row", "left")
-    plain = blanked(F.col("text"), F.col("spans"))
+    revealing = revealing_terms(found, generalise, support)
+    held = found.select("row", F.explode(terms(without_addresses(F.col("text")))).alias("term"))
+    told = held.join(small(revealing), "term").groupBy("row")
+    told = told.agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias("told"))
+    told = materialize(told, "pii")
+    joined = found.join(small(told), "row", "left")
     # Terms are letters only, so they can stand in a pattern as they are.
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.col("told")["term"], "|"), F.lit(r")(?!\p{L})"))
     shares = F.map_from_entries("told")
     added = F.transform(
-        _pieces(F.col("text"), plain, pattern, "term"),
+        _pieces(without_addresses(F.col("text")), pattern, "term"),
         lambda s: F.struct(
             F.when(F.coalesce(F.element_at(shares, F.lower(s["value"])), F.lit(0.0)) >= remove, "removed").otherwise("term").alias("kind"),
             s["start"].alias("start"),
@@ -239,27 +269,49 @@ def find(
     return result.select("doc_id", "base", "added", sanitised(F.col("text"), F.concat("base", "added")).alias("sanitised"))
 
 
+def blocks_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def part_of(blocks: Column, start: Column, length: Column) -> Column:
+    """``length`` code points from ``start`` on, from the blocks that hold them."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor((start + length) / BLOCK).cast("int")
+    held = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+    return F.substring(held, start - first * BLOCK + 1, length)
+
+
 def sanitised(text: Column, spans: Column) -> Column:
-    """Replace the spans from the last to the first: entities by their kind, terms by their length. Of spans that
-    overlap the one that starts first wins, the longer one among equals."""
+    """Replace the spans: entities by their kind, terms by their length. Spans that overlap are replaced together, by
+    what stands for the one that starts first, the longer one among equals."""
     in_order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("less"), s["kind"].alias("kind"))))
-    written = lambda s: (
-        F.when(s["kind"] == "removed", "")
-        .when(s["kind"] == "term", F.concat(F.lit("["), (-s["less"] - s["start"]).cast("string"), F.lit(" letters]")))
-        .otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    )
-    done = F.aggregate(
-        in_order,
-        F.struct(F.lit(0).alias("upto"), F.lit("").alias("made")),
-        lambda acc, s: F.when(s["start"] < acc["upto"], acc).otherwise(
-            F.struct(
-                (-s["less"]).alias("upto"),
-                F.concat(acc["made"], text.substr(acc["upto"] + 1, s["start"] - acc["upto"]), written(s)).alias("made"),
-            )
-        ),
-        lambda acc: F.concat(acc["made"], text.substr(acc["upto"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, done)
+    ends = lambda ordered: running(F.transform(ordered, lambda s: -s["less"]), lambda one, other: F.greatest(one, other))
+
+    def written(kind: Column, length: Column) -> Column:
+        letters = F.concat(F.lit("["), length.cast("string"), F.lit(" letters]"))
+        return F.when(kind == "removed", "").when(kind == "term", letters).otherwise(F.concat(F.lit("["), F.upper(kind), F.lit("]")))
+
+    def replaced(ordered: Column, upto: Column, heads: Column, blocks: Column) -> Column:
+        """``upto``: where all spans up to each end. ``heads``: those that start behind all before them."""
+
+        def piece(head: Column, k: Column) -> Column:
+            before = F.when(head == 0, 0).otherwise(F.get(upto, head - 1))
+            last = F.coalesce(F.get(heads, k + 1), F.size(ordered)) - 1
+            span = F.get(ordered, head)
+            length = F.get(upto, last) - span["start"]
+            return F.concat(part_of(blocks, before, span["start"] - before), written(span["kind"], length))
+
+        end = F.get(upto, F.size(ordered) - 1)
+        return F.concat(F.array_join(F.transform(heads, piece), ""), part_of(blocks, end, F.length(text) - end))
+
+    def with_ends(ordered: Column) -> Column:
+        def with_heads(upto: Column) -> Column:
+            places = F.sequence(F.lit(0), F.size(ordered) - 1)
+            heads = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i)["start"] >= F.get(upto, i - 1)))
+            return bound_to(heads, lambda heads: bound_to(blocks_of(text), lambda blocks: replaced(ordered, upto, heads, blocks)))
+
+        return bound_to(ends(ordered), with_heads)
+
+    return F.when(F.size(spans) > 0, bound_to(in_order, with_ends))
 
 
 def span_list(spans: Column) -> Column:

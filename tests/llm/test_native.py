@@ -1,7 +1,9 @@
 """Sanitising, mixing, chat formatting and sharding."""
 
 import hashlib
+import math
 import os
+import re
 from collections import Counter
 
 import duckdb
@@ -118,19 +120,116 @@ def test_terms_that_go_with_a_class_of_entities(documents):
     assert all(r.added == [] for i, r in found.items() if i < 1000 or i >= 5000)
 
 
+def plain_shares(docs, generalise=pii.GENERALISE, support=pii.SUPPORT):
+    """The largest share of each revealing term, by counting over plain Python sets."""
+    texts = Counter(docs)
+    n = len(docs)
+
+    def names(text):
+        found = set()
+        for kind, start, end in entity_spans(text):
+            value = text[start:end]
+            digits = re.sub("[^0-9]", "", value)
+            found |= {f"{kind}:{value}", f"{kind}/kind:"}
+            levels = {
+                "email": [("domain", value.rsplit("@", 1)[-1].lower())],
+                "ip": [("24", ".".join(value.split(".")[:3])), ("16", ".".join(value.split(".")[:2]))],
+                "card": [("issuer", digits[:6])],
+                "phone": [("line", digits[:-4]), ("area", digits[:-7])],
+            }
+            found |= {f"{kind}/{level}:{part}" for level, part in levels[kind]}
+        return found
+
+    def terms(text):
+        for kind, start, end in entity_spans(text):
+            if kind == "email":
+                text = text[:start] + " " * (end - start) + text[end:]
+        return {t for t in re.findall(r"[^\W\d_]{3,}", text.lower())}
+
+    held, n_entity, n_term, both = Counter(), Counter(), Counter(), {}
+    for text, times in texts.items():
+        entities, words = names(text), terms(text)
+        for word in {t for t in re.findall(r"[^\W\d_]{3,}", text.lower())}:
+            n_term[word] += times
+        for entity in entities:
+            held[entity] += 1
+            n_entity[entity] += times
+            for word in words:
+                pair = both.setdefault((entity, word), [0, 0])
+                pair[0] += times
+                pair[1] += 1
+    shares = {}
+    for (entity, word), (times, units) in both.items():
+        if units < support or held[entity] < support or n_entity[entity] == n:
+            continue
+        share = math.log(times * n / (n_entity[entity] * n_term[word])) / math.log(n / n_entity[entity])
+        chance = n_entity[entity] * n_term[word] / n
+        surprise = units * math.log(units / chance) - (units - chance)
+        exact = not re.match("[a-z]+/", entity)
+        if share >= generalise and (exact or units > chance and surprise >= -math.log(pii.CHANCE)):
+            shares[word] = max(share, shares.get(word, 0))
+    return shares
+
+
 def test_terms_of_a_given_table(spark):
-    """On this table a word goes with a kind of entity in different texts; no entity is in three of them."""
+    """Against counts in plain Python. On this table a word goes with a kind of entity; it is found in all documents."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    shares = plain_shares(list(docs.values()))
+    assert shares
+    expected = []
+    for doc_id, text in docs.items():
+        emails = [(a, b) for kind, a, b in entity_spans(text) if kind == "email"]
+        for match in re.finditer(r"[^\W\d_]+", text):
+            if match.group().lower() in shares and not any(a < match.end() and match.start() < b for a, b in emails):
+                kind = "removed" if shares[match.group().lower()] >= pii.REMOVE else "term"
+                expected.append((doc_id, kind, match.start(), match.end()))
     found = pii.find(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
-    added = [(r.doc_id, s["value"].lower()) for r in found.filter(F.size("added") > 0).collect() for s in r.added]
-    assert len(added) == 8 and {value for _, value in added} == {"token"} and len(dict(added)) == 7
+    added = [(r.doc_id, s["kind"], s["start"], s["end"]) for r in found.filter(F.size("added") > 0).collect() for s in r.added]
+    assert sorted(added) == sorted(expected)
+    without = {doc_id for doc_id, *_ in added if not entity_spans(docs[doc_id])}
+    assert without
 
 
 def test_generalised_terms(documents):
+    """A term gives its entity away in documents that do not name it as well."""
     rows = [(i, f"common words number {i}") for i in range(200)]
     rows += [(300 + i, f"Zorblatt a@x.org {'abcdefgh'[i] * 3}") for i in range(4)]
-    rows += [(400, "zorblatt elsewhere"), (401, "zorblatt again")]
+    rows += [(400, "zorblatt elsewhere"), (401, "again: ZORBLATT, zorblatts")]
     found = {r.doc_id: r for r in pii.find(documents(*rows)).collect()}
     assert found[300].sanitised == "[8 letters] [EMAIL] aaa"
+    assert found[400].base == [] and found[400].sanitised == "[8 letters] elsewhere"
+    assert found[401].sanitised == "again: [8 letters], zorblatts" and found[3].sanitised is None
+
+
+def test_spans_that_overlap_are_replaced_together(spark):
+    text = "ab +1 234 567 8901 2345 6789 cd x@1.2.3.4 ef" + "é" * 9000 + " 8.8.8.8 " + "ü" * 5000
+    frame = spark.range(1).select(F.lit(text).alias("text"), pii.entities(F.lit(text)).alias("spans"))
+    row = frame.select("spans", pii.sanitised(F.col("text"), F.col("spans")).alias("made")).first()
+    spans = sorted((s["start"], -s["end"], s["kind"]) for s in row.spans)
+    made, upto = [], 0
+    while spans:
+        start, less, kind = spans.pop(0)
+        end = -less
+        while spans and spans[0][0] < end:
+            end = max(end, -spans.pop(0)[1])
+        made += [text[upto:start], f"[{kind.upper()}]"]
+        upto = end
+    assert row.made == "".join(made) + text[upto:]
+
+
+def test_long_texts_take_time_in_proportion(spark, documents):
+    import time
+
+    def seconds(n):
+        docs = documents((1, "word 10.1.2.3 x@y.org " * n)).select("text").coalesce(1)
+        start = time.perf_counter()
+        spans = docs.select("text", pii.entities(F.col("text")).alias("spans"))
+        made = spans.select(F.size("spans"), F.length(pii.sanitised(F.col("text"), F.col("spans")))).first()
+        assert tuple(made) == (2 * n, n * len("word [IP] [EMAIL] "))
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(40_000) < 8 * max(seconds(10_000), 0.3)
 
 
 def test_pii_edges(documents):
