@@ -49,7 +49,7 @@ MARK, OTHER, DASH = "\u0001", "\u0002", "\u0003"
 # Code points of a block, from which parts of a text are cut.
 BLOCK = 4096
 # Tables of up to this many rows are broadcast.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 50_000
 LABEL = "A-Za-z0-9-"
 LOCAL = "A-Za-z0-9._%+" + MARK + "-"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
@@ -191,10 +191,11 @@ def small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def revealing_terms(found: DataFrame, generalise: float, support: int) -> DataFrame:
+def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float, support: int) -> DataFrame:
     """``term`` and ``share``, the largest one: the terms that disclose an entity or a class of entities.
 
-    ``found`` has a stored row for each document: row, text, spans and, where there are spans, ``unit``, the text's name.
+    ``found`` has a stored row for each of the ``docs`` (text): row, spans and, where there are spans, text and ``unit``,
+    the text's name.
     """
     n = F.lit(float(found.count()))
     holders = found.filter(F.size("spans") > 0)
@@ -216,7 +217,7 @@ def revealing_terms(found: DataFrame, generalise: float, support: int) -> DataFr
         .filter(F.col("units") >= support)
     )
     pairs = materialize(pairs, "pii")
-    every = found.select(F.explode(terms("text")).alias("term"))
+    every = docs.select(F.explode(terms("text")).alias("term"))
     wanted = small(materialize(pairs.select("term").distinct(), "pii"))
     counts = every.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     pmi = F.log(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
@@ -236,21 +237,28 @@ def find(
     """Per row of ``docs`` (doc_id, text): ``base`` spans, ``added`` spans of terms (kind ``term`` or
     ``removed``), and ``sanitised`` text, which is null where nothing has to change."""
     text = F.coalesce("text", F.lit(""))
-    spans = docs.select("doc_id", text.alias("text"), entities(text).alias("spans"))
+    # Rows equal in id and text get equal results, so the two name a row wherever the documents are read.
+    keyed = docs.select("doc_id", F.unhex(F.md5(text.cast("binary"))).alias("digest"), text.alias("text"))
+    spans = keyed.withColumn("spans", entities(F.col("text")))
     found = spans.select(
         "doc_id",
+        "digest",
         "spans",
-        "text",
+        F.when(F.size("spans") > 0, F.col("text")).alias("text"),
         F.when(F.size("spans") > 0, F.xxhash64("text")).alias("unit"),
         F.monotonically_increasing_id().alias("row"),
     )
     found = materialize(found, "pii")
-    revealing = revealing_terms(found, generalise, support)
-    held = found.select("row", F.explode(terms(without_addresses(F.col("text")))).alias("term"))
-    told = held.join(small(revealing), "term").groupBy("row")
-    told = told.agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias("told"))
-    told = materialize(told, "pii")
-    joined = found.join(small(told), "row", "left")
+    revealing = revealing_terms(keyed.select("text"), found, generalise, support)
+    held = keyed.select("doc_id", "digest", F.explode(terms(without_addresses(F.col("text")))).alias("term"))
+    told = held.join(small(revealing), "term").groupBy("doc_id", "digest")
+    told = told.agg(F.sort_array(F.collect_set(F.struct("term", "share"))).alias("told"))
+    told = small(materialize(told.withColumnsRenamed({"doc_id": "told_id", "digest": "told_digest"}), "pii"))
+    same = F.col("doc_id").eqNullSafe(F.col("told_id")) & (F.col("digest") == F.col("told_digest"))
+    # Texts that hold a term but no entity are read again; the others were stored.
+    texts = keyed.join(told, same).groupBy("told_id", "told_digest")
+    texts = texts.agg(F.first("text").alias("told_text"), F.first("told").alias("told"))
+    joined = found.join(materialize(texts, "pii"), same, "left").withColumn("text", F.coalesce("text", "told_text"))
     # Terms are letters only, so they can stand in a pattern as they are.
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.col("told")["term"], "|"), F.lit(r")(?!\p{L})"))
     shares = F.map_from_entries("told")
