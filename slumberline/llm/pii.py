@@ -218,8 +218,8 @@ def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float, suppor
     )
     pairs = materialize(pairs, "pii")
     every = docs.select(F.explode(terms("text")).alias("term"))
-    wanted = small(materialize(pairs.select("term").distinct(), "pii"))
-    counts = every.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    # Counted within each task before anything moves; the join comes after.
+    counts = every.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     pmi = F.log(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
     known = F.log(n / F.col("n_entity"))
     told = pairs.join(counts, "term").withColumn("share", F.when(known > 0, pmi / known).otherwise(F.lit(0.0)))
