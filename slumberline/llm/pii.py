@@ -50,6 +50,8 @@ MARK, OTHER, DASH = "\u0001", "\u0002", "\u0003"
 BLOCK = 4096
 # Tables of up to this many rows are broadcast.
 BROADCAST_ROWS = 50_000
+# Up to this many revealing terms are part of the plan.
+FEW_TERMS = 2_000
 LABEL = "A-Za-z0-9-"
 LOCAL = "A-Za-z0-9._%+" + MARK + "-"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
@@ -191,14 +193,12 @@ def small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float, support: int) -> DataFrame:
+def revealing_terms(docs: DataFrame, holders: DataFrame, generalise: float, support: int) -> DataFrame:
     """``term`` and ``share``, the largest one: the terms that disclose an entity or a class of entities.
 
-    ``found`` has a stored row for each of the ``docs`` (text): row, spans and, where there are spans, text and ``unit``,
-    the text's name.
+    ``holders`` has a stored row for each of the ``docs`` (text) that has spans: row, spans, text and ``unit``, the text's name.
     """
-    n = F.lit(float(found.count()))
-    holders = found.filter(F.size("spans") > 0)
+    n = F.lit(float(docs.count()))
     entity = F.explode(F.array_distinct(F.flatten(F.transform("spans", names_of))))
     named = holders.select("row", "unit", entity.alias("entity"))
     often = (
@@ -231,34 +231,47 @@ def revealing_terms(docs: DataFrame, found: DataFrame, generalise: float, suppor
     return materialize(told.groupBy("term").agg(F.max("share").alias("share")), "pii")
 
 
+def with_told(rows: DataFrame, revealing: DataFrame) -> DataFrame:
+    """Add ``told``, the revealing terms of each row (doc_id, text) with their shares; null without any.
+
+    Up to ``FEW_TERMS`` are looked up where the text is. More are joined with the terms of all documents; rows equal in id and text
+    get equal results, so the two name a row.
+    """
+    held = terms(without_addresses(F.col("text")))
+    first = revealing.limit(FEW_TERMS + 1).collect()
+    if len(first) <= FEW_TERMS:
+        shares = {row["term"]: row["share"] for row in first}
+        none = F.lit(None).cast("array<struct<term:string,share:double>>")
+        if not shares:
+            return rows.withColumn("told", none)
+        table = F.map_from_arrays(F.lit(list(shares)), F.lit(list(shares.values())))
+        told = F.transform(
+            F.array_sort(F.array_intersect(held, F.lit(list(shares)))),
+            lambda t: F.struct(t.alias("term"), F.element_at(table, t).alias("share")),
+        )
+        return rows.withColumn("told", told).withColumn("told", F.when(F.size("told") > 0, F.col("told")))
+    keyed = rows.withColumn("digest", F.md5(F.col("text").cast("binary")))
+    told = keyed.select("doc_id", "digest", F.explode(held).alias("term")).join(small(revealing), "term")
+    told = told.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_set(F.struct("term", "share"))).alias("told"))
+    told = small(materialize(told.withColumnsRenamed({"doc_id": "told_id", "digest": "told_digest"}), "pii"))
+    same = F.col("doc_id").eqNullSafe(F.col("told_id")) & (F.col("digest") == F.col("told_digest"))
+    return keyed.join(told, same, "left").select("doc_id", "text", "told")
+
+
 def find(
     docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT
 ) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): ``base`` spans, ``added`` spans of terms (kind ``term`` or
     ``removed``), and ``sanitised`` text, which is null where nothing has to change."""
     text = F.coalesce("text", F.lit(""))
-    # Rows equal in id and text get equal results, so the two name a row wherever the documents are read.
-    keyed = docs.select("doc_id", F.unhex(F.md5(text.cast("binary"))).alias("digest"), text.alias("text"))
-    spans = keyed.withColumn("spans", entities(F.col("text")))
-    found = spans.select(
-        "doc_id",
-        "digest",
-        "spans",
-        F.when(F.size("spans") > 0, F.col("text")).alias("text"),
-        F.when(F.size("spans") > 0, F.xxhash64("text")).alias("unit"),
-        F.monotonically_increasing_id().alias("row"),
+    rows = docs.select("doc_id", text.alias("text"))
+    spans = rows.select("text", entities(text).alias("spans"))
+    found = spans.filter(F.size("spans") > 0).select(
+        "spans", "text", F.xxhash64("text").alias("unit"), F.monotonically_increasing_id().alias("row")
     )
-    found = materialize(found, "pii")
-    revealing = revealing_terms(keyed.select("text"), found, generalise, support)
-    held = keyed.select("doc_id", "digest", F.explode(terms(without_addresses(F.col("text")))).alias("term"))
-    told = held.join(small(revealing), "term").groupBy("doc_id", "digest")
-    told = told.agg(F.sort_array(F.collect_set(F.struct("term", "share"))).alias("told"))
-    told = small(materialize(told.withColumnsRenamed({"doc_id": "told_id", "digest": "told_digest"}), "pii"))
-    same = F.col("doc_id").eqNullSafe(F.col("told_id")) & (F.col("digest") == F.col("told_digest"))
-    # Texts that hold a term but no entity are read again; the others were stored.
-    texts = keyed.join(told, same).groupBy("told_id", "told_digest")
-    texts = texts.agg(F.first("text").alias("told_text"), F.first("told").alias("told"))
-    joined = found.join(materialize(texts, "pii"), same, "left").withColumn("text", F.coalesce("text", "told_text"))
+    revealing = revealing_terms(rows.select("text"), materialize(found, "pii"), generalise, support)
+    # Both are looked for once more, rather than kept: that moves and stores no texts.
+    joined = with_told(rows, revealing).withColumn("spans", entities(F.col("text")))
     # Terms are letters only, so they can stand in a pattern as they are.
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.col("told")["term"], "|"), F.lit(r")(?!\p{L})"))
     shares = F.map_from_entries("told")

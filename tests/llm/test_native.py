@@ -190,15 +190,19 @@ def test_terms_of_a_given_table(spark):
     assert without
 
 
-def test_generalised_terms(documents):
+@pytest.mark.parametrize("few", [0, 2_000])
+def test_generalised_terms(documents, monkeypatch, few):
     """A term gives its entity away in documents that do not name it as well."""
+    monkeypatch.setattr(pii, "FEW_TERMS", few)
     rows = [(i, f"common words number {i}") for i in range(200)]
     rows += [(300 + i, f"Zorblatt a@x.org {'abcdefgh'[i] * 3}") for i in range(4)]
-    rows += [(400, "zorblatt elsewhere"), (401, "again: ZORBLATT, zorblatts")]
+    rows += [(400, "zorblatt elsewhere"), (401, "again: ZORBLATT, zorblatts"), (None, "zorblatt"), (None, "nothing")]
     found = {r.doc_id: r for r in pii.find(documents(*rows)).collect()}
     assert found[300].sanitised == "[8 letters] [EMAIL] aaa"
     assert found[400].base == [] and found[400].sanitised == "[8 letters] elsewhere"
     assert found[401].sanitised == "again: [8 letters], zorblatts" and found[3].sanitised is None
+    assert len(found) == 207
+    assert sorted(r.sanitised or "" for r in pii.find(documents(*rows)).filter("doc_id IS NULL").collect()) == ["", "[8 letters]"]
 
 
 def test_spans_that_overlap_are_replaced_together(spark):
