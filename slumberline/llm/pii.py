@@ -50,8 +50,6 @@ MARK, OTHER, DASH = "\u0001", "\u0002", "\u0003"
 BLOCK = 4096
 # Tables of up to this many rows are broadcast.
 BROADCAST_ROWS = 50_000
-# Up to this many revealing terms are part of the plan.
-FEW_TERMS = 2_000
 LABEL = "A-Za-z0-9-"
 LOCAL = "A-Za-z0-9._%+" + MARK + "-"
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
@@ -232,24 +230,9 @@ def revealing_terms(docs: DataFrame, holders: DataFrame, generalise: float, supp
 
 
 def with_told(rows: DataFrame, revealing: DataFrame) -> DataFrame:
-    """Add ``told``, the revealing terms of each row (doc_id, text) with their shares; null without any.
-
-    Up to ``FEW_TERMS`` are looked up where the text is. More are joined with the terms of all documents; rows equal in id and text
-    get equal results, so the two name a row.
-    """
+    """Add ``told``, the revealing terms of each row (doc_id, text) with their shares; null without any. Rows equal in id
+    and text get equal results, so the two name a row."""
     held = terms(without_addresses(F.col("text")))
-    first = revealing.limit(FEW_TERMS + 1).collect()
-    if len(first) <= FEW_TERMS:
-        shares = {row["term"]: row["share"] for row in first}
-        none = F.lit(None).cast("array<struct<term:string,share:double>>")
-        if not shares:
-            return rows.withColumn("told", none)
-        table = F.map_from_arrays(F.lit(list(shares)), F.lit(list(shares.values())))
-        told = F.transform(
-            F.array_sort(F.array_intersect(held, F.lit(list(shares)))),
-            lambda t: F.struct(t.alias("term"), F.element_at(table, t).alias("share")),
-        )
-        return rows.withColumn("told", told).withColumn("told", F.when(F.size("told") > 0, F.col("told")))
     keyed = rows.withColumn("digest", F.md5(F.col("text").cast("binary")))
     told = keyed.select("doc_id", "digest", F.explode(held).alias("term")).join(small(revealing), "term")
     told = told.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_set(F.struct("term", "share"))).alias("told"))

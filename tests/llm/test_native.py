@@ -190,10 +190,10 @@ def test_terms_of_a_given_table(spark):
     assert without
 
 
-@pytest.mark.parametrize("few", [0, 2_000])
+@pytest.mark.parametrize("few", [0, 50_000])
 def test_generalised_terms(documents, monkeypatch, few):
     """A term gives its entity away in documents that do not name it as well."""
-    monkeypatch.setattr(pii, "FEW_TERMS", few)
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", few)
     rows = [(i, f"common words number {i}") for i in range(200)]
     rows += [(300 + i, f"Zorblatt a@x.org {'abcdefgh'[i] * 3}") for i in range(4)]
     rows += [(400, "zorblatt elsewhere"), (401, "again: ZORBLATT, zorblatts"), (None, "zorblatt"), (None, "nothing")]
