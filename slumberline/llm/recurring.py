@@ -12,12 +12,14 @@ nowhere else, and most of the others lie in long common runs, so they are looked
    once. What is left are blocks that are the first of their kind while others share their anchor.
 3. Only their windows are named and compared one by one.
 
-Documents are dealt into bins of about equal bytes, and a bin sends one packed row per bucket of names
+Documents are dealt into bins of about equal bytes by a hash of id and text, so that the rows of one id, or
+without id, spread over all bins, and a bin sends one packed row per bucket of names
 and round; the answer is one bit per name. A bin names each anchor, block and window once, whatever
-number of its documents have it, so that a passage found everywhere costs one name per bin. The
-compressed texts are shuffled once; all rounds read that one exchange. Names are 64-bit fingerprints
-that are compared within their bucket, which adds bits of its own; anchors, for which a false
-match costs time only, travel as 32 bits.
+number of its documents have it, so that a passage found everywhere costs one name per bin. Rows that agree in id
+and text are one row with a count from the task that reads them on. The
+compressed texts are shuffled once; all rounds read that one exchange. Windows are told apart by 80 bits (a
+64-bit name and 16 bits of their anchor's), blocks by 64; for n different windows the odds of one false match are about n**2 / 2**81.
+Anchors, for which a false match costs time only, travel as 32 bits.
 
 Bin and bucket sizes follow the total size of the texts, which is summed beforehand. Null ids count as
 larger than all others and as equal to one another; rows with equal ids never count for each other.
@@ -25,8 +27,9 @@ larger than all others and as equal to one another; rows with equal ids never co
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +55,15 @@ REPLY_ARROW = pa.schema(
 
 @dataclass(frozen=True)
 class Rule:
-    """``length`` tokens make a window, ``gram`` tokens an anchor. ``read`` turns the joined bytes of a
-    bin's texts into (token array, first token of each text); ``names`` names all runs of both lengths."""
+    """``length`` tokens make a window, ``gram`` tokens an anchor. ``read`` turns the texts of a bin into (token array,
+    first token of each text, what ``finish`` needs besides); ``grams(values, gram)`` names all runs of an anchor's length;
+    ``windows(values, length, first, last)`` names, at their places in an array, the windows that start in the given ranges."""
 
     length: int
     gram: int
     read: Callable
-    names: Callable
+    grams: Callable
+    windows: Callable
     buckets: int = 64
 
 
@@ -67,13 +72,12 @@ class Bin:
     """The blocks of one bin; ``doc`` is the number of the text, ``ids`` the id of each text."""
 
     ids: np.ndarray
-    bounds: np.ndarray
+    values: np.ndarray
     doc: np.ndarray
     first: np.ndarray
     last: np.ndarray
     anchor: np.ndarray
-    span: np.ndarray
-    windows: np.ndarray
+    at: np.ndarray
 
     @property
     def owner(self) -> np.ndarray:
@@ -81,11 +85,15 @@ class Bin:
 
 
 def pack_texts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """Compress the texts; rows of a batch that agree in id and text become one with their number."""
     press = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         texts = batch.column("text").cast(pa.large_binary()).fill_null(b"")
-        packed = pa.array([press.compress(t.as_buffer()) for t in texts], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("bin"), batch.column("doc_id"), packed], ["bin", "doc_id", "z"])
+        copies = Counter(zip(batch.column("bin").to_pylist(), batch.column("doc_id").to_pylist(), texts.to_pylist()))
+        columns = [pa.array([key[0] for key in copies], pa.int32()), pa.array([key[1] for key in copies], pa.int64())]
+        columns.append(pa.array([press.compress(key[2]) for key in copies], pa.binary()))
+        columns.append(pa.array(list(copies.values()), pa.int32()))
+        yield pa.RecordBatch.from_arrays(columns, ["bin", "doc_id", "z", "copies"])
 
 
 def unpack_texts(group: pa.Table) -> list[bytes]:
@@ -98,27 +106,20 @@ def ids_of(group: pa.Table) -> np.ndarray:
 
 
 def blocks_of(ids: np.ndarray, values: np.ndarray, bounds: np.ndarray, rule: Rule) -> Bin:
-    """Cut the windows of a bin's texts into blocks that share an anchor."""
-    none = np.zeros(0, dtype=np.int64)
-    if len(values) < rule.length:
-        return Bin(ids, bounds, none, none, none, none.astype(U64), none.astype(U64), none.astype(U64))
-    grams, windows = rule.names(values, rule.gram, rule.length)
+    """Cut the windows of a bin's texts into blocks that share an anchor; ``at`` is the anchor's place."""
+    start, doc = tk.windows_within(bounds, rule.length)
+    if len(start) == 0:
+        none = np.zeros(0, dtype=np.int64)
+        return Bin(ids, values, none, none, none, none.astype(U64), none)
+    grams = rule.grams(values, rule.gram)
     low = U64((1 << len(grams).bit_length()) - 1)
     ranked = tk.mix(grams)
     ranked &= ~low
     ranked |= np.arange(len(grams), dtype=U64)
-    place = (tk.sliding_min(ranked, rule.length - rule.gram + 1) & low).astype(np.int64)
-    start, doc = tk.windows_within(bounds, rule.length)
-    if len(start) == 0:
-        return Bin(ids, bounds, none, none, none, none.astype(U64), none.astype(U64), none.astype(U64))
-    place = place[start]
+    place = (tk.sliding_min(ranked, rule.length - rule.gram + 1) & low).astype(np.int64)[start]
     cut = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     first, last = start[cut], start[np.concatenate([cut[1:], [len(start)]]) - 1]
-    anchor = grams[place[cut]]
-    shape = ((place[cut] - first) << 32 | (last - first)).astype(U64)
-    # Two windows less than a window apart cover all tokens of the block.
-    span = tk.join_names(tk.join_names(windows[first], windows[last]), shape)
-    return Bin(ids, bounds, doc[cut], first, last, anchor, span, windows)
+    return Bin(ids, values, doc[cut], first, last, grams[place[cut]], place[cut])
 
 
 def groups_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,9 +195,12 @@ def name_anchors(found: Bin, rule: Rule) -> Named:
     return name_items(bucket, a, np.zeros(len(a), dtype=np.uint8), found.owner)
 
 
-def name_blocks(found: Bin, kept: np.ndarray, rule: Rule) -> tuple[Named, Named]:
+def name_blocks(found: Bin, kept: np.ndarray, windows: np.ndarray, rule: Rule) -> tuple[Named, Named]:
     """Blocks by all of their tokens; and by anchor, to see which anchors stand in different blocks."""
-    anchor, span, owner = found.anchor[kept], found.span[kept], found.owner[kept]
+    anchor, owner, first, last = found.anchor[kept], found.owner[kept], found.first[kept], found.last[kept]
+    shape = ((found.at[kept] - first) << 32 | (last - first)).astype(U64)
+    # Two windows less than a window apart cover all tokens of the block.
+    span = tk.join_names(tk.join_names(windows[first], windows[last]), shape)
     key = span ^ (anchor << U64(17) | anchor >> U64(47))
     bucket = (tk.mix(anchor + span * U64(3)) % U64(rule.buckets)).astype(np.int32)
     whole = name_items(bucket, key, np.zeros(len(key), dtype=np.uint8), owner)
@@ -205,13 +209,13 @@ def name_blocks(found: Bin, kept: np.ndarray, rule: Rule) -> tuple[Named, Named]
     return whole, kinds
 
 
-def name_windows(found: Bin, blocks: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, Named]:
+def name_windows(found: Bin, blocks: np.ndarray, windows: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, Named]:
     """Every window of the given blocks: its start, its block and its entry."""
     counts = found.last[blocks] - found.first[blocks] + 1
     before = np.cumsum(counts) - counts
     start = np.arange(int(counts.sum())) + np.repeat(found.first[blocks] - before, counts)
     block = np.repeat(blocks, counts)
-    name = found.windows[start] if len(start) else np.zeros(0, dtype=U64)
+    name = windows[start] if len(start) else np.zeros(0, dtype=U64)
     bucket = (tk.mix(name) % U64(rule.buckets)).astype(np.int32)
     tag = (found.anchor[block] >> U64(48)).astype(np.uint16)
     return start, block, name_items(bucket, name, tag, found.owner[block])
@@ -222,6 +226,7 @@ class State:
     """What a bin knows after the rounds whose replies it has."""
 
     kept: np.ndarray
+    windows: np.ndarray
     whole: Named | None = None
     kinds: Named | None = None
     removed: np.ndarray | None = None
@@ -231,8 +236,10 @@ class State:
 def after_first(found: Bin, rule: Rule, replies: dict) -> State:
     anchors = name_anchors(found, rule)
     repeated = answers(anchors, REPEATED, replies) | anchors.several
-    state = State(np.flatnonzero(repeated[anchors.entry]))
-    state.whole, state.kinds = name_blocks(found, state.kept, rule)
+    kept = np.flatnonzero(repeated[anchors.entry])
+    windows = rule.windows(found.values, rule.length, found.first[kept], found.last[kept])
+    state = State(kept, windows)
+    state.whole, state.kinds = name_blocks(found, kept, windows, rule)
     return state
 
 
@@ -249,7 +256,7 @@ def after_second(found: Bin, rule: Rule, replies: dict) -> State:
 def removed_windows(found: Bin, rule: Rule, replies: dict) -> tuple[np.ndarray, np.ndarray]:
     """First and last window start of every run of windows to remove."""
     state = after_second(found, rule, replies)
-    start, block, named = name_windows(found, state.open, rule)
+    start, block, named = name_windows(found, state.open, state.windows, rule)
     earlier = answers(named, WINDOW, replies)[named.entry] if len(start) else np.zeros(0, dtype=bool)
     single = start[earlier | (found.owner[block] > named.lowest[named.entry])] if len(start) else start
     return (
@@ -318,10 +325,11 @@ def recurring_windows(docs: DataFrame, rule: Rule, finish: Callable, schema: str
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     size = min(max(total >> 13, 1 << 20), 1 << 23)
     bins = int(total // size) + 1
-    rule = Rule(rule.length, rule.gram, rule.read, rule.names, max(64, bins // 64))
+    rule = replace(rule, buckets=max(64, bins // 64))
 
-    number = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(bins)).cast("int")
-    binned = docs.select(number.alias("bin"), "doc_id", "text").mapInArrow(pack_texts, "bin int, doc_id long, z binary")
+    number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(bins)).cast("int")
+    rows = docs.select(number.alias("bin"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    binned = rows.mapInArrow(pack_texts, "bin int, doc_id long, z binary, copies int")
     texts = binned.groupBy("bin")
 
     def read(group: pa.Table) -> tuple:
@@ -344,14 +352,14 @@ def recurring_windows(docs: DataFrame, rule: Rule, finish: Callable, schema: str
         ids, _, values, bounds, _ = read(group)
         found = blocks_of(ids, values, bounds, rule)
         state = after_second(found, rule, replies_of(back))
-        _, _, named = name_windows(found, state.open, rule)
+        _, _, named = name_windows(found, state.open, state.windows, rule)
         return table(sent(WINDOW, key[0].as_py(), named, True, True), ENTRY_ARROW)
 
     def last_round(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
         ids, raw, values, bounds, more = read(group)
         found = blocks_of(ids, values, bounds, rule)
         mask = removal_mask(found, len(values), rule, replies_of(back))
-        return finish(group.column("doc_id"), raw, bounds, more, mask)
+        return finish(group.column("doc_id"), raw, bounds, more, mask).append_column("copies", group.column("copies"))
 
     def settled(entries: DataFrame) -> DataFrame:
         return entries.groupBy("kind", "bucket").applyInArrow(settle, REPLY)
@@ -359,4 +367,6 @@ def recurring_windows(docs: DataFrame, rule: Rule, finish: Callable, schema: str
     one = settled(texts.applyInArrow(first_round, ENTRY))
     two = one.unionByName(settled(texts.cogroup(one.groupBy("bin")).applyInArrow(second_round, ENTRY)))
     three = two.unionByName(settled(texts.cogroup(two.groupBy("bin")).applyInArrow(third_round, ENTRY)))
-    return texts.cogroup(three.groupBy("bin")).applyInArrow(last_round, schema)
+    made = texts.cogroup(three.groupBy("bin")).applyInArrow(last_round, f"{schema}, copies int")
+    columns = [name for name in made.columns if name != "copies"]
+    return made.withColumn("copies", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*columns)

@@ -6,7 +6,8 @@ the windows to remove are merged into maximal intervals.
 
 Defined results: a null text has no words; a text shorter than a window keeps all; a null id counts as
 the largest; rows with the same id never remove from each other; other columns are ignored, whatever
-their names; an empty table gives an empty table.
+their names; an empty table gives an empty table. Time is linear in the length of a text, of which a task holds some ten
+times the size; of equal windows those of the smallest id stay, all of them.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ def read_words(texts: list[bytes]) -> tuple:
     return tk.word_names(buffer, starts, ends), bounds, (buffer, starts, ends)
 
 
-def karp_rabin_names(values: np.ndarray, gram: int, length: int) -> tuple[np.ndarray, np.ndarray]:
-    return tk.rolling_hashes(values, gram), tk.rolling_hashes(values, length)
+def karp_rabin_windows(values: np.ndarray, length: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return tk.rolling_hashes(values, length)
 
 
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,5 +67,5 @@ def keep_words(ids: pa.ChunkedArray, texts: list[bytes], bounds: np.ndarray, mor
 def remove_repeated_windows(docs: DataFrame, length: int = WINDOW_WORDS, anchor: int = ANCHOR_WORDS) -> DataFrame:
     """``docs`` (doc_id, text) without repeated windows: the kept words joined by a space, and the
     removed intervals of word numbers (``last`` exclusive)."""
-    rule = Rule(length, min(anchor, length), read_words, karp_rabin_names)
+    rule = Rule(length, min(anchor, length), read_words, tk.rolling_hashes, karp_rabin_windows)
     return recurring_windows(docs.select("doc_id", "text"), rule, keep_words, SCHEMA)

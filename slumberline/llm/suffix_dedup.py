@@ -1,17 +1,18 @@
 """Repeated byte strings: every ``depth`` bytes that a document with a smaller id also has.
 
-The names of byte runs are made by bucket-pointer refinement. The first buckets hold the positions
-with equal 8-grams; a bucket of depth h is refined by the bucket that its positions are in h bytes later,
-which gives buckets of depth 2 h, and each round reuses the buckets of the round before: 8, 16, 25, 50.
-A bucket identifier is a 64-bit fingerprint of the two identifiers it came from instead of a rank in
-one sorted array, so that equal strings get equal identifiers in every task and no array of all
-positions has to be sorted. Positions whose bucket is known to hold a single document are left out
-(``recurring``); the others meet, sorted by identifier, in Spark's buckets, where the smallest
-document of each is found.
+Equal strings are found by bucket-pointer refinement, on the positions of a bin of texts that may repeat (``recurring``
+leaves out those near whose anchor, picked by a rolling hash, no other document has anything). The positions are sorted
+into buckets of equal 8-grams, and each is given its bucket's pointer: the slot at which the bucket starts. A bucket of
+depth h with several positions is refined by sorting it on the pointers of the positions h bytes later, in its own slots; the
+new pointers are used by the next round, for the buckets of all positions before them: 8, 16, 32, 50. A bucket of one
+position is done. The last depth is met exactly, so a round takes all its pointers at one depth. A bucket of the full depth
+sends one fingerprint of its string, whatever its size, to be compared with the other bins'.
 
 Defined results: a null text is empty; a text shorter than ``depth`` keeps all; a null id counts as the
 largest; rows with the same id never remove from each other; other columns are ignored, whatever their
-names; an empty table gives an empty table. What is kept may be no valid UTF-8, so it is binary.
+names; an empty table gives an empty table. What is kept may be no valid UTF-8, so it is binary. A round is a sort, so that a
+very long text, also one that repeats a single byte, takes four sorts of its positions; of equal strings those of the smallest
+id stay, all of them.
 """
 
 from __future__ import annotations
@@ -35,28 +36,74 @@ def read_bytes(texts: list[bytes]) -> tuple:
     return buffer, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), buffer
 
 
-def refine(names: np.ndarray, depth: int, target: int) -> np.ndarray:
-    """Refine buckets of ``depth`` by the buckets of later offsets until they are of depth ``target``."""
-    while depth < target:
-        step = min(depth, target - depth)
-        names = tk.join_names(names[: len(names) - step], names[step:])
-        depth += step
+def byte_grams(values: np.ndarray, gram: int) -> np.ndarray:
+    return tk.rolling_hashes(tk.byte_values()[values], gram)
+
+
+def first_keys(values: np.ndarray, places: np.ndarray, gram: int) -> np.ndarray:
+    """The ``gram`` bytes at each place, eight at most, as one number."""
+    keys = np.zeros(len(places), dtype=np.uint64)
+    for k in range(gram):
+        keys = keys << np.uint64(8) | values[places + k]
+    return keys
+
+
+def pointers(keys: np.ndarray) -> np.ndarray:
+    """Of sorted keys: the slot at which the bucket of each starts."""
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return np.flatnonzero(new)[np.cumsum(new) - 1]
+
+
+def refined_buckets(values: np.ndarray, depth: int, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All starts of strings in the given ranges, and their buckets: equal where ``depth`` bytes are."""
+    reach = min(FIRST_GRAM, depth)
+    places = covered(len(values), first, last + depth - reach)
+    wanted = covered(len(values), first, last)
+    keys = first_keys(values, places, reach)
+    order = np.argsort(keys)
+    slots = places[order]
+    bucket = np.zeros(len(values) + depth, dtype=np.int64)  # 1 and up; 0 where nothing needs a bucket
+    bucket[slots] = pointers(keys[order]) + 1
+    while reach < depth:
+        step = min(reach, depth - reach)
+        own = bucket[slots]
+        shared = np.zeros(len(slots), dtype=bool)
+        shared[1:] = own[1:] == own[:-1]
+        shared[:-1] |= shared[1:]
+        at = np.flatnonzero(shared)
+        members = slots[at]
+        # Sorted by bucket first, a bucket stays within its slots.
+        keys = (own[at] << 32 | bucket[members + step]).astype(np.uint64)
+        order = np.argsort(keys)
+        slots[at] = members = members[order]
+        if len(at):
+            bucket[members] = at[pointers(keys[order])] + 1
+        reach += step
+    return wanted, bucket[wanted]
+
+
+def covered(size: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All places in the given ranges, each once."""
+    step = np.bincount(first, minlength=size + 1)[: size + 1] - np.bincount(last + 1, minlength=size + 1)[: size + 1]
+    return np.flatnonzero(np.cumsum(step[:size]) > 0)
+
+
+def string_names(values: np.ndarray, depth: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """At the start of each string: the fingerprint of its bucket, made from one string of the bucket."""
+    names = np.zeros(len(values), dtype=np.uint64)
+    if len(first) == 0:
+        return names
+    starts, bucket = refined_buckets(values, depth, first, last)
+    chosen = np.full(int(bucket.max()) + 1, -1, dtype=np.int64)
+    chosen[bucket] = starts
+    some = np.flatnonzero(chosen >= 0)
+    fingerprint = np.zeros(len(chosen), dtype=np.uint64)
+    fingerprint[some] = tk.mix(tk.run_hashes(tk.byte_values()[values], chosen[some], chosen[some] + depth))
+    names[starts] = fingerprint[bucket]
     return names
 
 
-def bucket_names(values: np.ndarray, gram: int, length: int) -> tuple[np.ndarray, np.ndarray]:
-    first = min(FIRST_GRAM, gram)
-    if first == 8:
-        padded = values.tobytes()
-        n = len(values) - 7
-        names = np.ndarray((n,), dtype="<u8", buffer=padded, strides=(1,)).copy()
-    else:
-        names, first = values.astype(np.uint64), 1
-    names = tk.mix(names)
-    grams = refine(names, first, gram)
-    return grams, refine(grams, gram, length)
-
-
 def keep_bytes(ids: pa.ChunkedArray, texts: list[bytes], bounds: np.ndarray, more: np.ndarray, mask: np.ndarray) -> pa.Table:
     kept, removed, counts = [], [], []
     for n in range(len(texts)):
@@ -79,5 +126,5 @@ def keep_bytes(ids: pa.ChunkedArray, texts: list[bytes], bounds: np.ndarray, mor
 
 def remove_repeated_strings(docs: DataFrame, depth: int = DEPTH, anchor: int = ANCHOR_BYTES) -> DataFrame:
     """``docs`` (doc_id, text) without the bytes of repeated strings, and the removed byte ranges."""
-    rule = Rule(depth, min(anchor, depth), read_bytes, bucket_names)
+    rule = Rule(depth, min(anchor, depth), read_bytes, byte_grams, string_names)
     return recurring_windows(docs.select("doc_id", "text"), rule, keep_bytes, SCHEMA)

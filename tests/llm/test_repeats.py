@@ -131,19 +131,36 @@ def test_rolling_and_run_hashes_agree(texts, length):
     assert (rolling == tk.mix(tk.run_hashes(values, starts, starts + length))).all()
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.binary(min_size=1, max_size=80), st.integers(1, 12), st.integers(0, 12))
-def test_refined_buckets_are_equal_where_strings_are(raw, gram, more):
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab", min_size=1, max_size=120), st.integers(1, 50), st.lists(st.integers(0, 120), max_size=6))
+def test_refined_buckets_are_equal_where_strings_are(text, depth, cuts):
+    raw = text.encode()
     values = np.frombuffer(raw, dtype=np.uint8)
-    length = gram + more
-    if len(raw) < max(length, 8):
+    ends = sorted({c for c in cuts if c <= len(raw) - depth})
+    first, last = np.array(ends[::2][: len(ends) // 2], dtype=np.int64), np.array(ends[1::2], dtype=np.int64)
+    if len(first) == 0:
+        assert not suffix_dedup.string_names(values, depth, first, last).any()
         return
-    grams, names = suffix_dedup.bucket_names(values, gram, length)
-    for found, n in ((grams, gram), (names, length)):
-        strings = [raw[p : p + n] for p in range(len(raw) - n + 1)]
-        assert len(found) == len(strings)
-        assert len(set(found.tolist())) == len(set(strings))
-        assert len(set(zip(found.tolist(), strings))) == len(set(strings))
+    starts, bucket = suffix_dedup.refined_buckets(values, depth, first, last)
+    assert starts.tolist() == sorted({p for a, b in zip(first, last) for p in range(a, b + 1)})
+    strings = [raw[p : p + depth] for p in starts]
+    assert len(set(bucket.tolist())) == len(set(strings)) == len(set(zip(bucket.tolist(), strings)))
+    names = suffix_dedup.string_names(values, depth, first, last)[starts]
+    assert len(set(names.tolist())) == len(set(strings)) == len(set(zip(names.tolist(), strings)))
+
+
+def test_rows_of_one_id_and_without_id_spread_over_bins(spark, documents, monkeypatch):
+    from slumberline.llm import recurring
+
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(1, f"{passage} {'x' * 3000} a{i}") for i in range(200)] + [(None, f"{passage} {'y' * 3000} b{i}") for i in range(200)]
+    rows += [(2, "same words " * 40)] * 150 + [(3, "same words " * 40)] * 2 + [(None, None)] * 20
+    docs = documents(*rows)
+    monkeypatch.setattr(recurring.F, "octet_length", lambda c: F.length(c) * 40)
+    got = [(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_repeated_windows(docs).collect()]
+    # All of id 1 stay whole, of rows without id the passage goes; copies under one id stay, those under a larger one go.
+    expected = [(1, 62, 0)] * 200 + [(None, 62, 60)] * 200 + [(2, 80, 0)] * 150 + [(3, 80, 80)] * 2 + [(None, 0, 0)] * 20
+    assert sorted(got, key=str) == sorted(expected, key=str)
 
 
 def test_word_spans_equal_the_pattern():
