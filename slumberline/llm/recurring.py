@@ -17,7 +17,8 @@ without id, spread over all bins, and a bin sends one packed row per bucket of n
 and round; the answer is one bit per name. A bin names each anchor, block and window once, whatever
 number of its documents have it, so that a passage found everywhere costs one name per bin. Rows that agree in id
 and text are one row with a count from the task that reads them on. The
-compressed texts are shuffled once; all rounds read that one exchange. Windows are told apart by 80 bits (a
+compressed texts are shuffled once; all rounds read that one exchange, and what a round found out about its blocks
+goes to the next one of the bin beside the answers. Windows are told apart by 80 bits (a
 64-bit name and 16 bits of their anchor's), blocks by 64; for n different windows the odds of one false match are about n**2 / 2**81.
 Anchors, for which a false match costs time only, travel as 32 bits.
 
@@ -27,6 +28,7 @@ larger than all others and as equal to one another; rows with equal ids never co
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
@@ -41,7 +43,7 @@ from slumberline.llm import tokens as tk
 
 U64 = np.uint64
 LAST_ID = np.int64((1 << 63) - 1)
-REPEATED, BLOCK, KINDS, WINDOW = 1, 2, 3, 4
+REPEATED, BLOCK, KINDS, WINDOW, CARRIED = 1, 2, 3, 4, 5
 ENTRY = "kind int, bucket int, bin int, a binary, b binary, ids binary, at binary"
 REPLY = "bin int, kind int, bucket int, flags binary"
 ENTRY_ARROW = pa.schema(
@@ -177,12 +179,17 @@ def table(rows: list[dict], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_pylist(rows, schema=schema)
 
 
-def answers(named: Named, kind: int, replies: dict) -> np.ndarray:
+def carried(number: int, *arrays: np.ndarray) -> dict:
+    """What the next round of the bin needs to know."""
+    return {"kind": CARRIED, "bucket": number, "bin": number, "a": pickle.dumps(arrays)}
+
+
+def answers(buckets: np.ndarray, kind: int, replies: dict) -> np.ndarray:
     """The bit that came back for each entry of a round."""
-    flags = np.zeros(len(named.bucket), dtype=bool)
-    cuts = np.flatnonzero(np.concatenate([[True], named.bucket[1:] != named.bucket[:-1]])) if len(named.bucket) else []
-    for lo, hi in zip(cuts, [*cuts[1:], len(named.bucket)]):
-        bits = replies.get((kind, int(named.bucket[lo])))
+    flags = np.zeros(len(buckets), dtype=bool)
+    cuts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])) if len(buckets) else []
+    for lo, hi in zip(cuts, [*cuts[1:], len(buckets)]):
+        bits = replies.get((kind, int(buckets[lo])))
         if bits is not None:
             flags[lo:hi] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=hi - lo)
     return flags
@@ -221,52 +228,50 @@ def name_windows(found: Bin, blocks: np.ndarray, windows: np.ndarray, rule: Rule
     return start, block, name_items(bucket, name, tag, found.owner[block])
 
 
-@dataclass
-class State:
-    """What a bin knows after the rounds whose replies it has."""
+def lengths_of(buckets: np.ndarray) -> np.ndarray:
+    return np.bincount(buckets).astype(np.int32)
 
-    kept: np.ndarray
-    windows: np.ndarray
-    whole: Named | None = None
-    kinds: Named | None = None
-    removed: np.ndarray | None = None
-    open: np.ndarray | None = None
 
-
-def after_first(found: Bin, rule: Rule, replies: dict) -> State:
+def ask_blocks(number: int, found: Bin, rule: Rule, replies: dict) -> list[dict]:
+    """After the first round: the blocks whose anchor recurs."""
     anchors = name_anchors(found, rule)
-    repeated = answers(anchors, REPEATED, replies) | anchors.several
+    repeated = answers(anchors.bucket, REPEATED, replies) | anchors.several
     kept = np.flatnonzero(repeated[anchors.entry])
     windows = rule.windows(found.values, rule.length, found.first[kept], found.last[kept])
-    state = State(kept, windows)
-    state.whole, state.kinds = name_blocks(found, kept, windows, rule)
-    return state
-
-
-def after_second(found: Bin, rule: Rule, replies: dict) -> State:
-    state = after_first(found, rule, replies)
-    earlier = answers(state.whole, BLOCK, replies)[state.whole.entry]
-    own = found.owner[state.kept]
-    gone = earlier | (own > state.whole.lowest[state.whole.entry])
-    contested = answers(state.kinds, KINDS, replies)[state.kinds.entry]
-    state.removed, state.open = state.kept[gone], state.kept[~gone & contested]
-    return state
-
-
-def removed_windows(found: Bin, rule: Rule, replies: dict) -> tuple[np.ndarray, np.ndarray]:
-    """First and last window start of every run of windows to remove."""
-    state = after_second(found, rule, replies)
-    start, block, named = name_windows(found, state.open, state.windows, rule)
-    earlier = answers(named, WINDOW, replies)[named.entry] if len(start) else np.zeros(0, dtype=bool)
-    single = start[earlier | (found.owner[block] > named.lowest[named.entry])] if len(start) else start
-    return (
-        np.concatenate([found.first[state.removed], single]),
-        np.concatenate([found.last[state.removed], single]),
-    )
-
-
-def removal_mask(found: Bin, n_tokens: int, rule: Rule, replies: dict) -> np.ndarray:
-    first, last = removed_windows(found, rule, replies)
+    whole, kinds = name_blocks(found, kept, windows, rule)
+    behind = found.owner[kept] > whole.lowest[whole.entry]
+    entries = [x.entry.astype(np.int32) for x in (whole, kinds)]
+    known = carried(number, kept.astype(np.int32), behind, *entries, lengths_of(whole.bucket), lengths_of(kinds.bucket))
+    return [*sent(BLOCK, number, whole, False, True), *sent(KINDS, number, kinds, True, False), known]
+
+
+def ask_windows(number: int, found: Bin, rule: Rule, replies: dict) -> list[dict]:
+    """After the second round: blocks common in full go, and windows of those that share an anchor only are asked for."""
+    kept, behind, whole, kinds, whole_lengths, kinds_lengths = pickle.loads(replies[CARRIED, number])
+    earlier = answers(np.repeat(np.arange(len(whole_lengths)), whole_lengths), BLOCK, replies)[whole]
+    contested = answers(np.repeat(np.arange(len(kinds_lengths)), kinds_lengths), KINDS, replies)[kinds]
+    gone = earlier | behind
+    removed, open_blocks = kept[gone], kept[~gone & contested]
+    _, _, named = windows_of(found, open_blocks, rule)
+    return [*sent(WINDOW, number, named, True, True), carried(number, removed, open_blocks)]
+
+
+def windows_of(found: Bin, blocks: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, Named]:
+    windows = rule.windows(found.values, rule.length, found.first[blocks], found.last[blocks])
+    return name_windows(found, blocks, windows, rule)
+
+
+def removed_windows(number: int, found: Bin, rule: Rule, replies: dict) -> tuple[np.ndarray, np.ndarray]:
+    """After the third round: first and last window start of every run of windows to remove."""
+    removed, open_blocks = pickle.loads(replies[CARRIED, number])
+    start, block, named = windows_of(found, open_blocks, rule)
+    earlier = answers(named.bucket, WINDOW, replies)[named.entry]
+    single = start[earlier | (found.owner[block] > named.lowest[named.entry])]
+    return np.concatenate([found.first[removed], single]), np.concatenate([found.last[removed], single])
+
+
+def removal_mask(number: int, found: Bin, n_tokens: int, rule: Rule, replies: dict) -> np.ndarray:
+    first, last = removed_windows(number, found, rule, replies)
     step = np.zeros(n_tokens + 1, dtype=np.int64)
     np.add.at(step, first, 1)
     np.add.at(step, last + rule.length, -1)
@@ -276,6 +281,8 @@ def removal_mask(found: Bin, n_tokens: int, rule: Rule, replies: dict) -> np.nda
 def settle(key: tuple, group: pa.Table) -> pa.Table:
     """Compare what all bins sent to a bucket; one bit per entry goes back."""
     kind, bucket = key[0].as_py(), key[1].as_py()
+    if kind == CARRIED:
+        return group.select(["bin", "kind", "bucket", "a"]).rename_columns(REPLY_ARROW.names)
     wide = {REPEATED: np.uint32, KINDS: np.uint32}.get(kind, np.uint64)
     parts = [np.frombuffer(x.as_buffer(), dtype=wide) for x in group.column("a")]
     sizes = [len(x) for x in parts]
@@ -342,31 +349,26 @@ def recurring_windows(docs: DataFrame, rule: Rule, finish: Callable, schema: str
         named = name_anchors(blocks_of(ids, values, bounds, rule), rule)
         return table(sent(REPEATED, key[0].as_py(), named, False, False), ENTRY_ARROW)
 
-    def second_round(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
-        ids, _, values, bounds, _ = read(group)
-        state = after_first(blocks_of(ids, values, bounds, rule), rule, replies_of(back))
-        rows = sent(BLOCK, key[0].as_py(), state.whole, False, True)
-        return table(rows + sent(KINDS, key[0].as_py(), state.kinds, True, False), ENTRY_ARROW)
+    def asked(ask: Callable) -> Callable:
+        def later_round(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
+            ids, _, values, bounds, _ = read(group)
+            number = key[0].as_py()
+            return table(ask(number, blocks_of(ids, values, bounds, rule), rule, replies_of(back)), ENTRY_ARROW)
 
-    def third_round(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
-        ids, _, values, bounds, _ = read(group)
-        found = blocks_of(ids, values, bounds, rule)
-        state = after_second(found, rule, replies_of(back))
-        _, _, named = name_windows(found, state.open, state.windows, rule)
-        return table(sent(WINDOW, key[0].as_py(), named, True, True), ENTRY_ARROW)
+        return later_round
 
     def last_round(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
         ids, raw, values, bounds, more = read(group)
         found = blocks_of(ids, values, bounds, rule)
-        mask = removal_mask(found, len(values), rule, replies_of(back))
+        mask = removal_mask(key[0].as_py(), found, len(values), rule, replies_of(back))
         return finish(group.column("doc_id"), raw, bounds, more, mask).append_column("copies", group.column("copies"))
 
     def settled(entries: DataFrame) -> DataFrame:
         return entries.groupBy("kind", "bucket").applyInArrow(settle, REPLY)
 
     one = settled(texts.applyInArrow(first_round, ENTRY))
-    two = one.unionByName(settled(texts.cogroup(one.groupBy("bin")).applyInArrow(second_round, ENTRY)))
-    three = two.unionByName(settled(texts.cogroup(two.groupBy("bin")).applyInArrow(third_round, ENTRY)))
+    two = settled(texts.cogroup(one.groupBy("bin")).applyInArrow(asked(ask_blocks), ENTRY))
+    three = settled(texts.cogroup(two.groupBy("bin")).applyInArrow(asked(ask_windows), ENTRY))
     made = texts.cogroup(three.groupBy("bin")).applyInArrow(last_round, f"{schema}, copies int")
     columns = [name for name in made.columns if name != "copies"]
     return made.withColumn("copies", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*columns)
