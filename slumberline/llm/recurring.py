@@ -180,8 +180,24 @@ def table(rows: list[dict], schema: pa.Schema) -> pa.Table:
 
 
 def carried(number: int, *arrays: np.ndarray) -> dict:
-    """What the next round of the bin needs to know."""
-    return {"kind": CARRIED, "bucket": number, "bin": number, "a": pickle.dumps(arrays)}
+    """What the next round of the bin needs to know: flags as bits, numbers byte by byte, so that leading zeros cost nothing."""
+    parts = [np.packbits(x) if x.dtype == bool else x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.copy() for x in arrays]
+    known = pickle.dumps([(len(x), part) for x, part in zip(arrays, parts)])
+    return {"kind": CARRIED, "bucket": number, "bin": number, "a": zstandard.ZstdCompressor(level=1).compress(known)}
+
+
+def recalled(number: int, replies: dict) -> list[np.ndarray]:
+    known = pickle.loads(zstandard.ZstdDecompressor().decompress(replies[CARRIED, number]))
+    return [
+        np.unpackbits(part, count=n).astype(bool) if part.ndim == 1 else part.T.copy().view(np.uint32).ravel().astype(np.int64)
+        for n, part in known
+    ]
+
+
+def marked(size: int, places: np.ndarray) -> np.ndarray:
+    flags = np.zeros(size, dtype=bool)
+    flags[places] = True
+    return flags
 
 
 def answers(buckets: np.ndarray, kind: int, replies: dict) -> np.ndarray:
@@ -228,10 +244,6 @@ def name_windows(found: Bin, blocks: np.ndarray, windows: np.ndarray, rule: Rule
     return start, block, name_items(bucket, name, tag, found.owner[block])
 
 
-def lengths_of(buckets: np.ndarray) -> np.ndarray:
-    return np.bincount(buckets).astype(np.int32)
-
-
 def ask_blocks(number: int, found: Bin, rule: Rule, replies: dict) -> list[dict]:
     """After the first round: the blocks whose anchor recurs."""
     anchors = name_anchors(found, rule)
@@ -240,20 +252,21 @@ def ask_blocks(number: int, found: Bin, rule: Rule, replies: dict) -> list[dict]
     windows = rule.windows(found.values, rule.length, found.first[kept], found.last[kept])
     whole, kinds = name_blocks(found, kept, windows, rule)
     behind = found.owner[kept] > whole.lowest[whole.entry]
-    entries = [x.entry.astype(np.int32) for x in (whole, kinds)]
-    known = carried(number, kept.astype(np.int32), behind, *entries, lengths_of(whole.bucket), lengths_of(kinds.bucket))
+    lengths = [np.bincount(named.bucket) for named in (whole, kinds)]
+    known = carried(number, marked(len(found.first), kept), behind, whole.entry, kinds.entry, *lengths)
     return [*sent(BLOCK, number, whole, False, True), *sent(KINDS, number, kinds, True, False), known]
 
 
 def ask_windows(number: int, found: Bin, rule: Rule, replies: dict) -> list[dict]:
     """After the second round: blocks common in full go, and windows of those that share an anchor only are asked for."""
-    kept, behind, whole, kinds, whole_lengths, kinds_lengths = pickle.loads(replies[CARRIED, number])
+    kept, behind, whole, kinds, whole_lengths, kinds_lengths = recalled(number, replies)
+    kept = np.flatnonzero(kept)
     earlier = answers(np.repeat(np.arange(len(whole_lengths)), whole_lengths), BLOCK, replies)[whole]
     contested = answers(np.repeat(np.arange(len(kinds_lengths)), kinds_lengths), KINDS, replies)[kinds]
     gone = earlier | behind
     removed, open_blocks = kept[gone], kept[~gone & contested]
     _, _, named = windows_of(found, open_blocks, rule)
-    return [*sent(WINDOW, number, named, True, True), carried(number, removed, open_blocks)]
+    return [*sent(WINDOW, number, named, True, True), carried(number, *(marked(len(found.first), x) for x in (removed, open_blocks)))]
 
 
 def windows_of(found: Bin, blocks: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, Named]:
@@ -263,7 +276,7 @@ def windows_of(found: Bin, blocks: np.ndarray, rule: Rule) -> tuple[np.ndarray,
 
 def removed_windows(number: int, found: Bin, rule: Rule, replies: dict) -> tuple[np.ndarray, np.ndarray]:
     """After the third round: first and last window start of every run of windows to remove."""
-    removed, open_blocks = pickle.loads(replies[CARRIED, number])
+    removed, open_blocks = (np.flatnonzero(flags) for flags in recalled(number, replies))
     start, block, named = windows_of(found, open_blocks, rule)
     earlier = answers(named.bucket, WINDOW, replies)[named.entry]
     single = start[earlier | (found.owner[block] > named.lowest[named.entry])]
