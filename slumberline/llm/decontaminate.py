@@ -16,7 +16,9 @@ which tiles cover the share ``COVERAGE`` or more.
 Defined results: a null text has no tokens; an item of fewer than ``MIN_MATCH`` tokens is never found; items
 with equal ids or texts are matched one by one, equal rows of ``benchmark`` once; null and repeated ids of
 documents are kept apart by row; other columns are ignored, whatever their names; an empty table on either
-side gives an empty table.
+side gives an empty table. Of runs of equal length the one that comes first in the item, then in the document, is taken.
+Tiling takes time with the length of a text and the number of maximal common runs, which for texts that repeat one
+token or a few is the number of their tokens, not its square.
 """
 
 from __future__ import annotations
@@ -144,54 +146,85 @@ def tile(item: np.ndarray, doc: np.ndarray, least: int = MIN_MATCH) -> list[tupl
     search = max(min(SEARCH_FROM, len(item)), least)
     while True:
         matches = free_matches(item, doc, free_item, free_doc, search)
-        longest = max((m[2] for m in matches), default=0)
+        if not matches:
+            if search <= least:
+                return tiles
+            search = max(search // 2, least)
+            continue
+        longest = matches[0][2]
         if longest > 2 * search:
             search = longest  # very long matches are worth a search of their own
             continue
-        for at_doc, at_item, words in sorted(matches, key=lambda m: (-m[2], m[1], m[0])):
+        for at_doc, at_item, words in matches:
             whole = free_item[at_item : at_item + words].all() and free_doc[at_doc : at_doc + words].all()
             if whole:
                 tiles.append((at_doc, at_item, words))
                 free_item[at_item : at_item + words] = False
                 free_doc[at_doc : at_doc + words] = False
         # What a longer tile cut into is searched for again at the length it may still have.
-        if any(free_matches(item, doc, free_item, free_doc, search)):
-            continue
-        if search <= least:
-            return tiles
-        search = max(search // 2, least)
+
+
+def free_runs(free: np.ndarray) -> np.ndarray:
+    """How many tokens are free from each place on."""
+    places = np.arange(len(free))
+    stops = np.where(free, len(free), places)
+    return np.minimum.accumulate(stops[::-1])[::-1] - places
+
+
+def first_pairs(
+    own: np.ndarray, own_before: np.ndarray, own_starts: np.ndarray, own_at: np.ndarray,
+    theirs: np.ndarray, their_before: np.ndarray, their_starts: np.ndarray, their_at: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places with equal hashes but for those where a run that starts one token earlier has them: those of one
+    hash and the same token before. ``starts`` tells places with no free token before them. Runs of one
+    token, or of a short period, thus give as many pairs as places, not their product."""
+
+    def classes(hashes: np.ndarray, before: np.ndarray, starts: np.ndarray) -> dict:
+        found: dict = {}
+        for n, (h, token, first) in enumerate(zip(hashes.tolist(), before.tolist(), starts.tolist())):
+            found.setdefault(h, {}).setdefault(None if first else token, []).append(n)
+        return found
+
+    left, right = [], []
+    mine = classes(own, own_before, own_starts)
+    for h, parts in classes(theirs, their_before, their_starts).items():
+        for token, members in parts.items():
+            for other, places in mine[h].items():
+                if token is None or token != other:
+                    left.append(np.repeat(places, len(members)))
+                    right.append(np.tile(members, len(places)))
+    if not left:
+        none = np.zeros(0, dtype=np.int64)
+        return none, none
+    return own_at[np.concatenate(left)], their_at[np.concatenate(right)]
 
 
 def free_matches(
     item: np.ndarray, doc: np.ndarray, free_item: np.ndarray, free_doc: np.ndarray, length: int
 ) -> list[tuple[int, int, int]]:
-    """Maximal common runs of free tokens, ``length`` or longer."""
+    """Maximal common runs of free tokens, ``length`` or longer: the longest first, then by place in the item and the document."""
     if length > len(item) or length > len(doc):
         return []
     own, theirs = tk.rolling_hashes(item, length), tk.rolling_hashes(doc, length)
-    open_item = tk.sliding_min(free_item, length)
-    open_doc = tk.sliding_min(free_doc, length)
-    places: dict[int, list[int]] = {}
-    for i in np.flatnonzero(open_item):
-        places.setdefault(int(own[i]), []).append(int(i))
-    found = []
-    for j in np.flatnonzero(open_doc & np.isin(theirs, own[open_item])):
-        for i in places[int(theirs[j])]:
-            before = i > 0 and j > 0 and item[i - 1] == doc[j - 1] and free_item[i - 1] and free_doc[j - 1]
-            if before:
-                continue  # a run that starts earlier has it
-            words = 0
-            while (
-                i + words < len(item)
-                and j + words < len(doc)
-                and item[i + words] == doc[j + words]
-                and free_item[i + words]
-                and free_doc[j + words]
-            ):
-                words += 1
-            if words >= length:
-                found.append((int(j), i, words))
-    return found
+    run_item, run_doc = free_runs(free_item), free_runs(free_doc)
+    at_item = np.flatnonzero(run_item[: len(own)] >= length)
+    at_doc = np.flatnonzero(run_doc[: len(theirs)] >= length)
+    at_doc = at_doc[np.isin(theirs[at_doc], own[at_item])]
+    at_item = at_item[np.isin(own[at_item], theirs[at_doc])]
+    if len(at_doc) == 0:
+        return []
+    parts = []
+    for hashes, tokens, free, at in ((own, item, free_item, at_item), (theirs, doc, free_doc, at_doc)):
+        parts += [hashes[at], tokens[at - 1], (at == 0) | ~free[at - 1], at]
+    i, j = first_pairs(*parts)
+    # How far each pair goes on: its length is found by halving, as hashes of longer runs differ once those of shorter ones do.
+    least, most = np.full(len(i), length), np.minimum(run_item[i], run_doc[j])
+    while len(i) and (least < most).any():
+        middle = (least + most + 1) // 2
+        same = tk.run_hashes(item, i, i + middle) == tk.run_hashes(doc, j, j + middle)
+        least, most = np.where(same, middle, least), np.where(same, most, middle - 1)
+    order = np.lexsort((j, i, -least))
+    return list(zip(j[order].tolist(), i[order].tolist(), least[order].tolist()))
 
 
 def tile_task(coverage: float):

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -281,6 +282,19 @@ def test_tiling_takes_the_longest_first(item, doc):
     )
 
 
+@pytest.mark.parametrize("period", [1, 3, 10])
+def test_tiling_repetitive_texts_takes_linear_time(period):
+    def seconds(n):
+        item, doc = (np.arange(size, dtype=np.uint64) % np.uint64(period) for size in (n, 4 * n))
+        start = time.process_time()
+        assert decontaminate.tile(item, doc) == [(0, 0, n)]
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(2000) < 1
+    assert seconds(64000) < 64 * seconds(2000) + 2
+
+
 # --- page text -----------------------------------------------------------------------------------------
 
 LONG = "A sentence that is long enough to count as a part of the article, with commas and all."
