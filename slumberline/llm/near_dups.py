@@ -258,7 +258,7 @@ def shared_weights(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     def weigh(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
         name, doc, weight = features_of(group, idf)
         entries = named(name, doc)
-        found = recurring.answers(entries, recurring.REPEATED, recurring.replies_of(back)) | entries.several
+        found = recurring.answers(entries.bucket, recurring.REPEATED, recurring.replies_of(back)) | entries.several
         found = found[entries.entry]
         n = group.num_rows
         every = np.bincount(doc, weights=weight, minlength=n)
