@@ -22,6 +22,9 @@ of their features, sum of minima over sum of maxima, is 0.8 or more; classes are
    that the bound allows: every pair of the bucket is settled, or in one class already.
 5. Candidates are verified on the whole texts.
 
+Where rows meet by a bucket, a class or a text that many of them share, they are dealt over parts of that key, and its one
+row, or few, goes to each part.
+
 Components: nodes take the name of their least neighbour and links are renamed until none is left; tables are
 written between the rounds, and nothing but counts reaches the driver.
 
@@ -54,6 +57,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 SMALL, CENTRES, MORE_CENTRES = 16, 4, 16
 SET_WORDS = 16
+# Parts over which the rows of one key are dealt, and rows of a text or a bucket that make a part of their own.
+PARTS, PART_ROWS = 64, 1024
 SLOT_BITS, CHUNK_BITS = 18, 12
 IDF_LIMIT = float(np.log(2))
 DRAW_BITS = 16
@@ -292,19 +297,48 @@ def may_be_similar(least: float) -> Column:
     return (rough >= enough * (total - rough)) & (close >= enough * (total - close))
 
 
-def pairs(left: DataFrame, right: DataFrame, least: float, apart: bool = False) -> DataFrame:
+def dealt(rows: DataFrame, found: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` with what ``found``, one row per ``key``, has for their key. The rows of a key are dealt over ``PARTS`` parts
+    by a hash of ``by``, so that no task gets the whole of a large group."""
+    parted = rows.withColumn("part", F.pmod(F.xxhash64(by), F.lit(PARTS)))
+    wanted = parted.select(key, "part").distinct().join(found, key)
+    return parted.join(wanted, [key, "part"]).drop("part")
+
+
+def parts_of(n: Column) -> Column:
+    """The parts of a group of ``n`` rows."""
+    return F.ceil(n / PART_ROWS)
+
+
+def each_part(parts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
+
+
+def pairs(left: DataFrame, right: DataFrame, least: float, apart: bool = False, few: bool = False) -> DataFrame:
     """Texts of ``left`` with those of ``right`` in the same bucket that the bound allows, each pair once.
-    With ``apart`` only texts of different labels."""
+    With ``apart`` only texts of different labels. ``few`` tells that a bucket has few texts in ``right``: they
+    go to all parts over which the texts of a large bucket are dealt."""
+    parts = parts_of(F.col("n")) if few else F.lit(1).cast("bigint")
+    left = left.withColumn("part", F.pmod(F.xxhash64("cid"), parts))
+    right = right.select("*", each_part(parts).alias("part"))
     differ = F.col("x.label") != F.col("y.label") if apart else F.col("x.cid") != F.col("y.cid")
-    same = (F.col("x.bucket") == F.col("y.bucket")) & differ & may_be_similar(least)
+    here = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.part") == F.col("y.part"))
+    same = here & differ & may_be_similar(least)
     joined = left.alias("x").join(right.alias("y"), same)
     return joined.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
 
 
 def verified(candidates: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
-    """The candidate pairs (a, b) that are similar enough, stored."""
-    both = candidates.join(texts.select(F.col("cid").alias("b"), F.col("z").alias("zb")), "b")
-    both = both.join(texts.select(F.col("cid").alias("a"), F.col("z").alias("za")), "a")
+    """The candidate pairs (a, b) that are similar enough, stored. A text with many pairs goes to several tasks."""
+    both, sent = candidates, {}
+    for side, other in (("b", "a"), ("a", "b")):
+        parts = candidates.groupBy(side).agg(parts_of(F.count(F.lit(1))).alias("parts"))
+        own = texts.select(F.col("cid").alias(side), F.col("z").alias(f"z{side}")).join(parts, side)
+        sent[side] = own.select(side, f"z{side}", each_part(F.col("parts")).alias(f"part_{side}"))
+        both = dealt(both, parts, side, other)
+        both = both.withColumn(f"part_{side}", F.pmod(F.xxhash64(other), F.col("parts"))).drop("parts")
+    for side, texts_of_side in sent.items():
+        both = both.join(texts_of_side, [side, f"part_{side}"])
     both = both.select("a", "b", "za", "zb")
     return materialize(both.mapInArrow(verify_task(idf, least), "a binary, b binary"), "links")
 
@@ -350,7 +384,7 @@ def central(members: DataFrame, n: int) -> DataFrame:
     means = members.groupBy("bucket").agg(F.avg(F.log("w")).alias("mean"))
     off = (1 - F.col("k") / F.col("w")) + F.abs(F.log("w") - F.col("mean"))
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy("off", "cid"))
-    ranked = members.join(means, "bucket").withColumn("off", off).withColumn("rank", rank)
+    ranked = dealt(members, means, "bucket", "cid").withColumn("off", off).withColumn("rank", rank)
     return ranked.filter(F.col("rank") <= n).select(*members.columns)
 
 
@@ -360,13 +394,13 @@ def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     parts = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("part"))
     largest = F.max(F.struct("part", "label"))["label"].alias("main")
     main = parts.groupBy("bucket").agg(largest, F.count(F.lit(1)).alias("parts")).filter(F.col("parts") > 1)
-    return materialize(labelled.join(main.drop("parts"), "bucket"), "apart")
+    return materialize(dealt(labelled, main.drop("parts"), "bucket", "cid"), "apart")
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
     """The members of buckets that hold several texts, with their number ``n``."""
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return members.join(sizes, "bucket")
+    return dealt(members, sizes, "bucket", "cid")
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -384,7 +418,8 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     members = materialize(shared_buckets(members.join(shares, "cid")), "buckets")
 
     small, large = members.filter(F.col("n") <= SMALL), members.filter(F.col("n") > SMALL)
-    candidates = pairs(small, small, least).unionByName(pairs(large, central(large, CENTRES), least)).distinct()
+    with_central = pairs(large, central(large, CENTRES), least, few=True)
+    candidates = pairs(small, small, least).unionByName(with_central).distinct()
     candidates = materialize(candidates, "candidates")
     links = verified(candidates, here, idf, least)
     labels = components(links)
@@ -395,7 +430,8 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         labelled = apart(large, labels)
         strays, main = F.col("label") != F.col("main"), F.col("label") == F.col("main")
         others = central(labelled.filter(main), MORE_CENTRES) if some else labelled
-        rest = pairs(labelled.filter(strays), others, least, apart=True).join(candidates, ["a", "b"], "left_anti")
+        rest = pairs(labelled.filter(strays), others, least, apart=True, few=some)
+        rest = rest.join(candidates, ["a", "b"], "left_anti")
         rest = materialize(rest, "candidates")
         more = verified(rest, here, idf, least)
         if more.limit(1).count():
@@ -403,16 +439,16 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         candidates = candidates.unionByName(rest)
 
     # Of a class that row stays whose id is least; among rows with the same id, or none, the least cid decides.
-    ids = materialize(named.select("doc_id", "cid"), "ids")
+    ids = materialize(named.select("doc_id", "cid", F.monotonically_increasing_id().alias("row")), "ids")
     lowest = ids.groupBy("cid").agg(F.min("doc_id").alias("lowest"))
     first = F.min(F.struct(F.col("lowest").isNull().alias("none"), "lowest", "cid"))
     of_label = labels.join(lowest, "cid").groupBy("label").agg(first.alias("first"))
-    linked = labels.join(of_label, "label").select("cid", "first")
+    linked = dealt(labels, of_label, "label", "cid").select("cid", "first")
     own = F.struct(F.col("lowest").isNull().alias("none"), "lowest", "cid")
     of_cid = lowest.join(linked, "cid", "left").select("cid", F.coalesce("first", own).alias("first"))
     # Texts without words were not signed.
     of_cid = of_cid.join(texts.select("cid", F.lit(True).alias("signed")), "cid", "left")
-    joined = ids.join(of_cid, "cid")
+    joined = dealt(ids, of_cid, "cid", "row")
     stays = F.col("doc_id").eqNullSafe(F.col("first.lowest")) & (F.col("cid") == F.col("first.cid"))
     return joined.select(
         "doc_id",

@@ -98,8 +98,12 @@ def test_copies_rows_and_empty_tables(documents):
     assert near_dups.keep_one(frame.filter("false")).collect() == []
 
 
-def test_large_buckets_are_exact(documents, monkeypatch):
-    """With one centre and no small buckets all links within a bucket hang on the second round."""
+@pytest.mark.parametrize("parts, part_rows", [(64, 1024), (3, 4)])
+def test_large_buckets_are_exact(documents, monkeypatch, parts, part_rows):
+    """With one centre and no small buckets all links within a bucket hang on the second round; with small parts every
+    bucket and central text is dealt over several."""
+    monkeypatch.setattr(near_dups, "PARTS", parts)
+    monkeypatch.setattr(near_dups, "PART_ROWS", part_rows)
     monkeypatch.setattr(near_dups, "SMALL", 1)
     monkeypatch.setattr(near_dups, "CENTRES", 1)
     docs = groups(3, [30, 20], 7)
@@ -109,6 +113,16 @@ def test_large_buckets_are_exact(documents, monkeypatch):
     assert all(r.class_id == expected[(r.doc_id, texts[r.doc_id])] for r in near_dups.classes(frame).collect())
 
 
+def test_rows_meet_what_their_key_has_whatever_the_parts(spark, monkeypatch):
+    """A key with a third of the rows, keys without a partner, and null keys."""
+    monkeypatch.setattr(near_dups, "PARTS", 5)
+    rows = spark.range(300).select(F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), "id")
+    found = spark.range(0, 300, 2).select(F.col("id").cast("int").alias("k"), (F.col("id") * 7).alias("seven"))
+    got = near_dups.dealt(rows, found, "k", "id").collect()
+    keys = {i: 0 if i % 3 == 0 else i for i in range(300) if i % 3 < 2}
+    assert sorted((r.id, r.k, r.seven) for r in got) == [(i, k, 7 * k) for i, k in keys.items() if k % 2 == 0]
+
+
 def test_one_row_stays_of_a_class_without_ids_or_with_one(documents):
     base = [f"w{i}" for i in range(120)]
     copies = [" ".join(base[: 10 + 12 * k] + [f"edit{k}"] + base[11 + 12 * k :]) for k in range(4)]
