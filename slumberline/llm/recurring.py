@@ -18,7 +18,8 @@ and round; the answer is one bit per name. A bin names each anchor, block and wi
 number of its documents have it, so that a passage found everywhere costs one name per bin. Rows that agree in id
 and text are one row with a count from the task that reads them on. The
 compressed texts are shuffled once; all rounds read that one exchange, and what a round found out about its blocks
-goes to the next one of the bin beside the answers. Windows are told apart by 80 bits (a
+goes to the next one of the bin beside the answers, by the blocks' numbers. An exchange hands over its rows in another order
+each time it is read, so every round sorts the texts of its bin first (``in_order``). Windows are told apart by 80 bits (a
 64-bit name and 16 bits of their anchor's), blocks by 64; for n different windows the odds of one false match are about n**2 / 2**81.
 Anchors, for which a false match costs time only, travel as 32 bits.
 
@@ -103,8 +104,17 @@ def unpack_texts(group: pa.Table) -> list[bytes]:
     return [press.decompress(z.as_buffer()) for z in group.column("z")]
 
 
-def ids_of(group: pa.Table) -> np.ndarray:
-    return group.column("doc_id").fill_null(int(LAST_ID)).to_numpy().astype(np.int64)
+def in_order(group: pa.Table) -> tuple[pa.Array, list[bytes], np.ndarray]:
+    """Ids and texts of a bin, each pair once, in the same order in every round; and the place of each row of the group there."""
+    rows = list(zip(group.column("doc_id").to_pylist(), unpack_texts(group)))
+    ranked = sorted(set(rows), key=lambda row: (row[0] is None, row[0] or 0, row[1]))
+    place = {row: n for n, row in enumerate(ranked)}
+    ids = pa.array([row[0] for row in ranked], pa.int64())
+    return ids, [row[1] for row in ranked], np.array([place[row] for row in rows], dtype=np.int64)
+
+
+def ids_of(column: pa.Array) -> np.ndarray:
+    return column.fill_null(int(LAST_ID)).to_numpy().astype(np.int64)
 
 
 def blocks_of(ids: np.ndarray, values: np.ndarray, bounds: np.ndarray, rule: Rule) -> Bin:
@@ -352,29 +362,27 @@ def recurring_windows(docs: DataFrame, rule: Rule, finish: Callable, schema: str
     binned = rows.mapInArrow(pack_texts, "bin int, doc_id long, z binary, copies int")
     texts = binned.groupBy("bin")
 
-    def read(group: pa.Table) -> tuple:
-        ids, raw = ids_of(group), unpack_texts(group)
-        values, bounds, more = rule.read(raw)
-        return ids, raw, values, bounds, more
-
     def first_round(key: tuple, group: pa.Table) -> pa.Table:
-        ids, _, values, bounds, _ = read(group)
-        named = name_anchors(blocks_of(ids, values, bounds, rule), rule)
+        ids, raw, _ = in_order(group)
+        values, bounds, _ = rule.read(raw)
+        named = name_anchors(blocks_of(ids_of(ids), values, bounds, rule), rule)
         return table(sent(REPEATED, key[0].as_py(), named, False, False), ENTRY_ARROW)
 
     def asked(ask: Callable) -> Callable:
         def later_round(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
-            ids, _, values, bounds, _ = read(group)
-            number = key[0].as_py()
-            return table(ask(number, blocks_of(ids, values, bounds, rule), rule, replies_of(back)), ENTRY_ARROW)
+            ids, raw, _ = in_order(group)
+            values, bounds, _ = rule.read(raw)
+            found = blocks_of(ids_of(ids), values, bounds, rule)
+            return table(ask(key[0].as_py(), found, rule, replies_of(back)), ENTRY_ARROW)
 
         return later_round
 
     def last_round(key: tuple, group: pa.Table, back: pa.Table) -> pa.Table:
-        ids, raw, values, bounds, more = read(group)
-        found = blocks_of(ids, values, bounds, rule)
+        ids, raw, place = in_order(group)
+        values, bounds, more = rule.read(raw)
+        found = blocks_of(ids_of(ids), values, bounds, rule)
         mask = removal_mask(key[0].as_py(), found, len(values), rule, replies_of(back))
-        return finish(group.column("doc_id"), raw, bounds, more, mask).append_column("copies", group.column("copies"))
+        return finish(ids, raw, bounds, more, mask).take(place).append_column("copies", group.column("copies"))
 
     def settled(entries: DataFrame) -> DataFrame:
         return entries.groupBy("kind", "bucket").applyInArrow(settle, REPLY)

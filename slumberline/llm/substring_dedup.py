@@ -41,7 +41,7 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def keep_words(ids: pa.ChunkedArray, texts: list[bytes], bounds: np.ndarray, more: tuple, mask: np.ndarray) -> pa.Table:
+def keep_words(ids: pa.Array, texts: list[bytes], bounds: np.ndarray, more: tuple, mask: np.ndarray) -> pa.Table:
     buffer, starts, ends = more
     kept, removed, counts = [], [], []
     for n in range(len(texts)):
@@ -55,7 +55,7 @@ def keep_words(ids: pa.ChunkedArray, texts: list[bytes], bounds: np.ndarray, mor
         counts.append((int(hi - lo), int(gone.sum())))
     return pa.table(
         {
-            "doc_id": ids.cast(pa.int64()),
+            "doc_id": ids,
             "n_words": pa.array([c[0] for c in counts], pa.int64()),
             "n_removed": pa.array([c[1] for c in counts], pa.int64()),
             "kept": pa.array(kept, pa.string()),

@@ -104,7 +104,7 @@ def string_names(values: np.ndarray, depth: int, first: np.ndarray, last: np.nda
     return names
 
 
-def keep_bytes(ids: pa.ChunkedArray, texts: list[bytes], bounds: np.ndarray, more: np.ndarray, mask: np.ndarray) -> pa.Table:
+def keep_bytes(ids: pa.Array, texts: list[bytes], bounds: np.ndarray, more: np.ndarray, mask: np.ndarray) -> pa.Table:
     kept, removed, counts = [], [], []
     for n in range(len(texts)):
         lo, hi = bounds[n], bounds[n + 1]
@@ -115,7 +115,7 @@ def keep_bytes(ids: pa.ChunkedArray, texts: list[bytes], bounds: np.ndarray, mor
         counts.append((int(hi - lo), int(gone.sum())))
     return pa.table(
         {
-            "doc_id": ids.cast(pa.int64()),
+            "doc_id": ids,
             "n_bytes": pa.array([c[0] for c in counts], pa.int64()),
             "n_removed": pa.array([c[1] for c in counts], pa.int64()),
             "kept": pa.array(kept, pa.binary()),

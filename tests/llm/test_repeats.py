@@ -163,6 +163,31 @@ def test_rows_of_one_id_and_without_id_spread_over_bins(spark, documents, monkey
     assert sorted(got, key=str) == sorted(expected, key=str)
 
 
+def test_rounds_may_get_the_rows_in_another_order_each(spark, documents):
+    rows = random_documents(3, 60, "abcdef", " ") + [(7, "a b c d e f " * 4)] * 3 + [(None, "x y z " * 9)] * 2
+    docs = documents(*rows)
+
+    def disorder(batches):
+        import random
+
+        for batch in batches:
+            for k in random.SystemRandom().sample(range(len(batch)), len(batch)):
+                yield batch.slice(k, 1)
+
+    # Without the reuse of exchanges each round reads the rows anew, as tasks of a cluster get them: in any order.
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        docs = docs.mapInArrow(disorder, docs.schema)
+        words = by_id(substring_dedup.remove_repeated_windows(docs, 8, 3).collect())
+        strings = by_id(suffix_dedup.remove_repeated_strings(docs, 20, 8).collect())
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    order = lambda r: (r[0] is None, r[0] or 0, r[-1])
+    assert [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in words] == sorted(expected_words(rows, 8), key=order)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, len(r.removed), bytes(r.kept)) for r in strings]
+    assert got == sorted(expected_bytes(rows, 20), key=order)
+
+
 def test_word_spans_equal_the_pattern():
     texts = ["", " a\tb ", "é\x0bc\x0cd\x1fe", "x", "\n", "last word "]
     raw = [t.encode() for t in texts]
