@@ -124,7 +124,7 @@ def blocks_of(ids: np.ndarray, values: np.ndarray, bounds: np.ndarray, rule: Rul
         none = np.zeros(0, dtype=np.int64)
         return Bin(ids, values, none, none, none, none.astype(U64), none)
     grams = rule.grams(values, rule.gram)
-    low = U64((1 << len(grams).bit_length()) - 1)
+    low = U64(0xFFFFFFFF)  # in bins of any size, so that windows pick the same one of two grams of about equal hashes
     ranked = tk.mix(grams)
     ranked &= ~low
     ranked |= np.arange(len(grams), dtype=U64)

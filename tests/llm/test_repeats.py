@@ -188,6 +188,20 @@ def test_rounds_may_get_the_rows_in_another_order_each(spark, documents):
     assert got == sorted(expected_bytes(rows, 20), key=order)
 
 
+def test_equal_windows_have_equal_anchors_in_bins_of_any_size(monkeypatch):
+    from slumberline.llm import recurring
+
+    monkeypatch.setattr(recurring.tk, "mix", lambda x: x.copy())
+    rule = recurring.Rule(4, 1, None, lambda values, gram: values, None)
+    window = [1 << 60, (1 << 50) + 0x300, (1 << 50) + 0x200, 1 << 61]
+    places = []
+    for more in (0, 1 << 16):
+        values = np.array(window + [1 << 62] * more, dtype=np.uint64)
+        found = recurring.blocks_of(np.array([1]), values, np.array([0, len(values)]), rule)
+        places.append(int(found.at[0]))
+    assert places == [1, 1]
+
+
 def test_word_spans_equal_the_pattern():
     texts = ["", " a\tb ", "é\x0bc\x0cd\x1fe", "x", "\n", "last word "]
     raw = [t.encode() for t in texts]
