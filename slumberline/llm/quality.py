@@ -140,31 +140,45 @@ def measure(buffer: np.ndarray, places: np.ndarray) -> tuple[dict[str, np.ndarra
     return counts, names, bounds
 
 
-def fit(features: list[list[tuple]], labels: np.ndarray) -> np.ndarray:
-    """Weights of the logistic regression: full-batch Adam from zero, so the same sample gives the same model."""
+def entries(kinds: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slot, value and text of all that the texts of one slice hold, kind by kind."""
     size = 1 << SLOT_BITS
-    index, value, doc, done = [], [], [], 0
+    index, value, doc = [], [], []
+    for k, (slot, first, last) in enumerate(kinds):
+        counts = last - first
+        before = np.cumsum(counts) - counts
+        pair = slot[np.arange(int(counts.sum())) + np.repeat(first - before, counts)].astype(np.int64)
+        pair += np.repeat(np.arange(len(counts), dtype=np.int64) * size, counts)
+        pair, times = np.unique(pair, return_counts=True)
+        text = pair // size
+        index.append((pair % size + k * size).astype(np.int32))
+        value.append((SCALE * times / counts[text]).astype(np.float32))
+        doc.append(text.astype(np.int32))
+    return np.concatenate(index), np.concatenate(value), np.concatenate(doc)
+
+
+def fit(features: Iterable[list[tuple]], labels: np.ndarray) -> np.ndarray:
+    """Weights of the logistic regression: full-batch Adam from zero, so the same sample gives the same model.
+
+    Of a slice only the entries stay, and each round goes through them slice by slice, so beside them no array is as
+    long as the sample."""
+    size = 1 << SLOT_BITS
+    parts, done = [], 0
     for kinds in features:
-        n = len(kinds[0][1])
-        for k, (slot, first, last) in enumerate(kinds):
-            counts = last - first
-            before = np.cumsum(counts) - counts
-            at = np.arange(int(counts.sum())) + np.repeat(first - before, counts)
-            text = np.repeat(np.arange(n, dtype=np.int64), counts)
-            pair, times = np.unique(text * size + slot[at], return_counts=True)
-            text = pair // size
-            index.append((pair % size + k * size).astype(np.int32))
-            value.append((SCALE * times / counts[text]).astype(np.float32))
-            doc.append((text + done).astype(np.int32))
-        done += n
-    index, value, doc = np.concatenate(index), np.concatenate(value), np.concatenate(doc)
+        here = slice(done, done + len(kinds[0][1]))
+        parts.append((here, *entries(kinds)))
+        done = here.stop
     share = np.where(labels == 1, 0.5 / max((labels == 1).sum(), 1), 0.5 / max((labels == 0).sum(), 1))
     w, bias = np.zeros(4 * size), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, ROUNDS + 1):
-        margin = np.bincount(doc, weights=value * w[index], minlength=len(labels)) + bias
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels) * share
-        gradient = np.bincount(index, weights=value * error[doc], minlength=len(w)) + PENALTY * w
+        error, gradient = np.zeros(len(labels)), np.zeros_like(w)
+        for here, index, value, doc in parts:
+            margin = np.bincount(doc, weights=value * w[index], minlength=here.stop - here.start) + bias
+            error[here] = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[here]) * share[here]
+            # Adds one by one in this order, so the sums don't hang on how the slices are cut off from each other.
+            np.add.at(gradient, index, value * error[here][doc])
+        gradient += PENALTY * w
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         mb, vb = 0.9 * mb + 0.1 * error.sum(), 0.999 * vb + 0.001 * error.sum() ** 2
         rate = RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
@@ -205,18 +219,17 @@ def train_task(good_share: float):
         held = np.arange(len(labels)) % HELD_OUT == HELD_OUT - 1
         if len(np.unique(labels[~held])) < 2:
             return
-        features = []
-        for lo, hi in tk.slices(places):
-            part, at = buffer[places[lo] : places[hi]], places[lo : hi + 1] - places[lo]
-            _, names, bounds = measure(part, at)
-            features.append(slots(part, at, names, bounds))
-        parts = np.cumsum([0] + [len(kinds[0][1]) for kinds in features])
-        taken = []
-        for kinds, lo, hi in zip(features, parts[:-1], parts[1:]):
-            keep = ~held[lo:hi]
-            taken.append([(slot, first[keep], last[keep]) for slot, first, last in kinds])
+
+        def features() -> Iterable[tuple[list[tuple], np.ndarray]]:
+            """The slots of one slice at a time, and which of its texts are trained on."""
+            for lo, hi in tk.slices(places):
+                part, at = buffer[places[lo] : places[hi]], places[lo : hi + 1] - places[lo]
+                starts, ends, bounds = tk.word_spans(part, at)
+                yield slots(part, at, tk.word_names(part, starts, ends), bounds), ~held[lo:hi]
+
+        taken = ([(slot, first[keep], last[keep]) for slot, first, last in kinds] for kinds, keep in features())
         weights = fit(taken, labels[~held])
-        margin = np.concatenate([scores(kinds, weights) for kinds in features])
+        margin = np.concatenate([scores(kinds, weights) for kinds, _ in features()])
         # Few labels leave no class, or one, in the held-out part: then the training rows set the scale.
         scale = held if len(np.unique(labels[held])) == 2 else ~held
         slope, offset = calibrate(margin[scale], labels[scale], good_share)

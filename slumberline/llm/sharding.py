@@ -12,8 +12,9 @@ chosen such that there are hardly any.
 
 Numbering takes no global sort: a row's bucket is a hash of its key and ``ties``, buckets are counted, and rows
 are numbered within their bucket. So a key that very many rows share, as null may be, is spread over buckets
-where the ties tell its rows apart. The number of buckets follows that of the rows, and one row per bucket is
-broadcast while there are at most 2**20. A bucket of over ``HOT`` rows can only come from rows equal in key and ties:
+where the ties tell its rows apart. The number of buckets follows that of the rows. A numeric key also cuts every bucket
+into ranges, which changes no number and lets a task sort fewer whole rows at a time; below, a range counts as a bucket. One
+row per bucket is broadcast while there are at most 2**20. A bucket of over ``HOT`` rows can only come from rows equal in key and ties:
 its groups of such rows are counted, and a large group is numbered in parts.
 
 Defined results: a null key is a key like others; rows with equal keys are told apart by ``ties``, and
@@ -28,6 +29,7 @@ from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slumberline.llm.arithmetic import keys, mixed32, mixed32_py
 from slumberline.llm.columns import numbered_copies, put_back, set_aside
@@ -37,6 +39,7 @@ SHARDS = 24
 SEED = 20240
 ROUNDS = 6
 ROWS_PER_BUCKET = 1 << 16
+RANGES = 8
 BROADCAST_BUCKETS = 1 << 20
 HOT = 8 * ROWS_PER_BUCKET
 RESULT = ("shard", "slot")
@@ -104,15 +107,26 @@ def _quotient(name: str, by: int) -> Column:
     return F.expr(f"`{name}` div {by}L")
 
 
+def counted(rows: DataFrame, key: str) -> tuple[int, list]:
+    """The number of rows, and where a numeric key is cut into about ``RANGES`` equal parts (no number hangs on the places)."""
+    shares = [i / RANGES for i in range(1, RANGES)]
+    if not shares or not isinstance(rows.schema[key].dataType, T.NumericType):
+        return rows.count(), []
+    n, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx(key, shares, 1000)).first()
+    return n, sorted(set(cuts or []))
+
+
 def numbered(rows: DataFrame, key: str, ties: Sequence[str], name: str) -> tuple[DataFrame, int]:
     """Number the rows 0, 1, 2, … by hash bucket (of key and ties), key and ``ties``; gives their count, too."""
-    n = rows.count()
+    n, cuts = counted(rows, key)
     buckets = n // ROWS_PER_BUCKET + 1
     bucket = F.pmod(F.xxhash64(key, *ties), F.lit(buckets))
+    # Rows of a bucket are ordered by the key first, so the ranges of a bucket lie in a row; null is in the first.
+    bucket = bucket * F.lit(len(cuts) + 1) + sum((F.when(F.col(key) >= F.lit(cut), 1).otherwise(0) for cut in cuts), F.lit(0))
     sizes = rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    if buckets <= BROADCAST_BUCKETS:
+    if buckets * (len(cuts) + 1) <= BROADCAST_BUCKETS:
         starts = F.broadcast(starts)
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key, *ties)) - 1
     bucketed = rows.withColumn("_bucket", bucket)

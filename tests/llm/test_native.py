@@ -421,6 +421,28 @@ def test_buckets_are_put_one_after_another(documents, monkeypatch):
     assert n == 300 and sorted(r.number for r in numbered.collect()) == list(range(300))
 
 
+@pytest.mark.parametrize("kind", ["long", "double", "string"])
+def test_ranges_of_the_key_change_no_number(documents, monkeypatch, kind):
+    """A task numbers whole rows, texts among them: those of one range of a bucket, not of the bucket."""
+    monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", 200)
+    rows = documents(*[(None if i % 10 == 0 else i // 2, f"t{i % 7}") for i in range(1000)])
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast(kind))
+    if kind == "double":
+        rows = rows.withColumn("doc_id", F.when(F.col("doc_id") % 9 == 0, float("nan")).otherwise(-F.col("doc_id")))
+    n, cuts = sharding.counted(rows, "doc_id")
+    assert n == 1000 and len(cuts) == (0 if kind == "string" else sharding.RANGES - 1)
+    if kind == "long":
+        ids = [r.doc_id for r in rows.collect() if r.doc_id is not None]
+        ends = [min(ids), *cuts, max(ids) + 1]
+        assert max(sum(a <= i < b for i in ids) for a, b in zip(ends, ends[1:])) <= 1.2 * len(ids) / sharding.RANGES
+    made = []
+    for ranges in (sharding.RANGES, 1):
+        monkeypatch.setattr(sharding, "RANGES", ranges)
+        numbered, _ = sharding.numbered(rows, "doc_id", ("text",), "number")
+        made.append(sorted((r.number, repr(r.doc_id), r.text) for r in numbered.collect()))
+    assert made[0] == made[1] and [r[0] for r in made[0]] == list(range(1000))
+
+
 def test_rows_of_a_hot_key_are_spread_over_buckets(documents, monkeypatch):
     """A third of all rows have no id. No bucket, and so no task that numbers one, may hold them all."""
     monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", 16)

@@ -3,9 +3,11 @@
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import WORD
 from hypothesis import given, settings
@@ -479,6 +481,35 @@ def test_few_labels_and_labels_of_absent_documents(spark, documents):
     assert model.first().n_train == 4
 
 
+def made_sample(n, words):
+    rng = random.Random(5)
+    texts = [" ".join(f"{'fine' if i % 2 else 'junk'}{rng.randrange(3000)}" for _ in range(words)) for i in range(n)]
+    return pa.table({"doc_id": list(range(n)), "text": texts, "quality": [i % 2 for i in range(n)]})
+
+
+def test_the_fit_holds_one_slice_beside_the_entries(monkeypatch):
+    """Slots of all texts, and arrays as long as all entries in every round, were 36 bytes for each byte of the texts."""
+    monkeypatch.setattr(quality, "ROUNDS", 2)
+    sample = made_sample(800, 1000)
+    tracemalloc.start()
+    list(quality.train_task(0.5)(sample.to_batches()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * sample.column("text").nbytes
+
+
+def test_the_fit_does_not_hang_on_the_slices(monkeypatch):
+    """Against the sums over all entries at once."""
+    sample, cut = made_sample(40, 60), quality.tk.slices
+    monkeypatch.setattr(quality, "ROUNDS", 20)
+    whole = list(quality.train_task(0.5)(sample.to_batches()))[0].to_pydict()
+    monkeypatch.setattr(quality.tk, "slices", lambda places: cut(places, 2000))
+    parts = list(quality.train_task(0.5)(sample.to_batches()))[0].to_pydict()
+    one, other = (np.frombuffer(r["weights"][0], dtype=np.float32) for r in (whole, parts))
+    assert one.any() and np.allclose(one, other, rtol=1e-4, atol=1e-6)
+    assert whole["accuracy"] == parts["accuracy"] and whole["n_train"] == parts["n_train"] == [32]
+
+
 # --- pipeline ------------------------------------------------------------------------------------------
 
 
